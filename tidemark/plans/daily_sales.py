@@ -20,22 +20,24 @@ def run_day(
     base: str,
     as_of: dt.date | str,
     backfill: bool = False,
+    grain: str = "day",
     keep_days: int = 7,
 ) -> DataFrame:
     """Run every step for ``as_of`` (with ``backfill``: for all days of ``raw``) below ``base`` and
-    return the report. A repeated run replaces what the first one wrote.
+    return the report. A repeated run replaces what the first one wrote. A backfill of a long
+    history may keep its tables by a coarser ``grain``.
     """
     day = None if backfill else as_of
     staging_path, metrics_path = f"{base}/staging_sales", f"{base}/daily_metrics"
 
-    tables.append_staging(sales.extract_daily_sales(raw, day), staging_path)
+    tables.append_staging(sales.extract_daily_sales(raw, day), staging_path, grain)
     staging = tables.read_staging(spark, staging_path)
 
     failed = quality.validate_extract(staging, raw, day).filter("violations > 0").collect()
     if failed:
         raise ExtractInvalid(", ".join(f"{r['check_name']}: {r['violations']}" for r in failed))
 
-    tables.write_metrics(sales.daily_metrics(staging, day), metrics_path)
+    tables.write_metrics(sales.daily_metrics(staging, day), metrics_path, grain)
     metrics = tables.read_metrics(spark, metrics_path)
 
     tables.replace_table(sales.retain_recent(staging, as_of, keep_days), f"{base}/staging_recent")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark import schemas
 from tidemark.operators import changes as ch
 from tidemark.operators import metrics, parse
 from tidemark.sources.feeds import topic_name
@@ -89,12 +90,23 @@ def watch_stats(
 
 
 def keep_change_log(
-    records: DataFrame, out: str, checkpoint: str, every: str | None = None
+    records: DataFrame,
+    out: str,
+    checkpoint: str,
+    every: str | None = None,
+    grain: str = "day",
 ) -> StreamingQuery:
-    """Append every change to a table partitioned by batch, table and event date."""
+    """Append every change to a table partitioned by batch, table and event date.
+
+    For a replay of a long, thin history, ``grain`` "month" or "year" keeps the folders few.
+    """
     event_date = F.to_date(F.timestamp_millis("source_timestamp"))
     logged = parse.raw_images(records).withColumn("event_date", event_date)
-    write = sinks.batch_table(out, partition_by=["table_name", "event_date"])
+    period = "event_date"
+    if grain != "day":
+        period = "event_period"
+        logged = logged.withColumn(period, F.trunc("event_date", grain))
+    write = sinks.batch_table(out, partition_by=["table_name", period])
     return runner.run_stream(logged, write, checkpoint, every=every, name="change_log")
 
 
@@ -124,7 +136,8 @@ def run_all(
 
 
 def change_log(spark: SparkSession, path: str) -> DataFrame:
-    return sinks.read_batches(spark, path, CHANGE_LOG)
+    columns = [*schemas.struct(CHANGE_LOG).fieldNames(), "batch_id"]
+    return sinks.read_batches(spark, path, CHANGE_LOG).select(*columns)
 
 
 def current_metrics(spark: SparkSession, path: str) -> DataFrame:

@@ -1,8 +1,9 @@
-"""Parquet tables: scans, day-partitioned writes that may be repeated, and archive copies."""
+"""Parquet tables: scans, period-partitioned writes that may be repeated, and archive copies."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark import schemas
 
@@ -26,37 +27,52 @@ def create_staging(spark: SparkSession, name: str, location: str | None = None)
     )
 
 
-def write_days(df: DataFrame, path: str, day: str = "sale_date") -> None:
-    """Replace exactly the days that occur in ``df``; all other days stay.
+def write_periods(df: DataFrame, path: str, grain: str = "day") -> None:
+    """Replace exactly the periods that occur in ``df``; all others stay.
 
-    Rebalancing lets adaptive execution pack small days together and split a large one over several
-    tasks, so neither many tiny files nor one oversized task results.
+    With ``grain="day"`` the table is partitioned by ``sale_date``. A long history with few sales a
+    day is better kept by ``"month"`` or ``"year"`` (partition ``sale_period``); a run must then
+    bring whole months or years, since it replaces them whole. Rows are in day order within a file
+    either way, so a filter on ``sale_date`` skips row groups.
+
+    Rebalancing lets adaptive execution pack small periods together and split a large one over
+    several tasks, so neither many tiny files nor one oversized task results.
     """
+    period = "sale_date"
+    if grain != "day":
+        period = "sale_period"
+        df = df.withColumn(period, F.trunc("sale_date", grain))
     (
-        df.hint("rebalance", day)
+        df.hint("rebalance", period)
+        .sortWithinPartitions(*dict.fromkeys([period, "sale_date"]))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day)
+        .partitionBy(period)
         .parquet(path)
     )
 
 
-def append_staging(df: DataFrame, path: str) -> None:
-    """Add extracted sales; extracting a day again replaces that day instead of doubling it."""
-    write_days(df, path)
+def _read(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    schema = schemas.struct(ddl)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
+def append_staging(df: DataFrame, path: str, grain: str = "day") -> None:
+    """Add extracted sales; extracting a period again replaces it instead of doubling it."""
+    write_periods(df, path, grain)
 
 
 def read_staging(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.struct(schemas.STAGING_SALES)).parquet(path)
+    return _read(spark, path, schemas.STAGING_SALES)
 
 
-def write_metrics(df: DataFrame, path: str) -> None:
-    """Store daily metrics, one partition per day, replacing the days present."""
-    write_days(df, path)
+def write_metrics(df: DataFrame, path: str, grain: str = "day") -> None:
+    """Store daily metrics, replacing the periods present."""
+    write_periods(df, path, grain)
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.struct(schemas.DAILY_METRICS)).parquet(path)
+    return _read(spark, path, schemas.DAILY_METRICS)
 
 
 def archive_metrics(df: DataFrame, path: str) -> None:
