@@ -19,10 +19,16 @@ def join_per_key(
     third of all facts would land in one task. The counts tell the hot keys exactly, and since each
     of them holds more than 1/hot_share of the facts there are fewer than ``hot_share``: they are
     broadcast and joined where the facts lie. All other keys are joined by shuffle.
+
+    The columns of ``per_key`` travel as one struct, so that every use asks for the same columns and
+    its aggregation is run once and reused.
     """
+    columns = [c for c in per_key.columns if c != key]
     total = facts.agg(F.count(F.lit(1)).alias("total")).scalar()
-    is_hot = F.col(rows) * hot_share > total
-    hot = F.broadcast(per_key.filter(is_hot))
-    near = facts.join(hot, key)
-    far = facts.join(hot.select(key), key, "left_anti").join(per_key.filter(~is_hot), key)
-    return near.unionByName(far)
+    packed = per_key.select(key, F.struct(*columns).alias("per_key"))
+    is_hot = F.col(f"per_key.{rows}") * hot_share > total
+    with_hot = facts.join(F.broadcast(packed.filter(is_hot)), key, "left")
+    near = with_hot.filter(F.col("per_key").isNotNull())
+    far = with_hot.filter(F.col("per_key").isNull()).drop("per_key")
+    joined = near.unionByName(far.join(packed.filter(~is_hot), key))
+    return joined.select(*facts.columns, "per_key.*")

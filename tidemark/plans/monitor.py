@@ -119,8 +119,10 @@ def run_all(
 ) -> list[StreamingQuery]:
     """Customer changes, product alerts and metrics side by side in one session.
 
-    Follow with ``runner.await_first``, so that the end of any of them is noticed.
+    Follow with ``runner.await_first``, so that the end of any of them is noticed; queries that
+    ended before are forgotten here.
     """
+    records.sparkSession.streams.resetTerminated()
     topics = {
         t: topic_name(t, prefix) if prefix else topic_name(t)
         for t in ("customers", "products", "orders")
