@@ -84,8 +84,8 @@ def watch_stats(
     records: DataFrame, out: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
     """Counts per minute and operation since the start, in complete mode."""
-    stats = metrics.op_stats(parse.topic_ops(records))
-    write = sinks.whole_table(out)
+    stats = metrics.op_stats(parse.topic_ops(records), ordered=False)
+    write = sinks.whole_table(out, metrics.sorted_stats)
     return runner.run_stream(stats, write, checkpoint, mode="complete", every=every, name="stats")
 
 

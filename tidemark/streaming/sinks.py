@@ -6,7 +6,8 @@ a repeat overwrites: the folder ``batch_id=N`` of a result table, or the whole t
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -23,23 +24,35 @@ def _overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> No
     writer.parquet(path)
 
 
-def batch_tables(results: dict[str, Transform], base: str) -> BatchFunction:
-    """Write each named result of a micro-batch to ``base/<name>/batch_id=N``.
+@contextmanager
+def _kept(batch: DataFrame) -> Iterator[DataFrame]:
+    """The micro-batch, evaluated once for several reads.
 
-    With several results the parsed batch is kept while they are written, so that the messages are
-    read and parsed once; it may spill to disk and is rebuilt from the source if an executor is lost.
+    A second evaluation would parse every message again and, behind a windowed count, update the
+    state store again. Kept rows may spill to disk and are rebuilt from the source if an executor is
+    lost.
     """
+    kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
+def _skipped(kept: DataFrame, batch_id: int) -> bool:
+    """Empty micro-batches write nothing, save the first, which leaves an empty table to read."""
+    return batch_id > 0 and kept.isEmpty()
+
+
+def batch_tables(results: dict[str, Transform], base: str) -> BatchFunction:
+    """Write each named result of a micro-batch to ``base/<name>/batch_id=N``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        shared = len(results) > 1
-        if shared:
-            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        with _kept(batch) as kept:
+            if _skipped(kept, batch_id):
+                return
             for name, transform in results.items():
-                _overwrite(transform(batch), f"{base}/{name}/batch_id={batch_id}")
-        finally:
-            if shared:
-                batch.unpersist()
+                _overwrite(transform(kept), f"{base}/{name}/batch_id={batch_id}")
 
     return write
 
@@ -47,22 +60,31 @@ def batch_tables(results: dict[str, Transform], base: str) -> BatchFunction:
 def batch_table(
     path: str, transform: Transform | None = None, partition_by: Sequence[str] = ()
 ) -> BatchFunction:
-    """Write a micro-batch to ``path/batch_id=N``, optionally partitioned further."""
+    """Write a micro-batch to ``path/batch_id=N``, either transformed or partitioned further.
+
+    With a ``transform`` the batch is kept meanwhile, since a sort reads its input twice.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        result = transform(batch) if transform else batch
-        if partition_by:
-            result = result.hint("rebalance", *partition_by)
-        _overwrite(result, f"{path}/batch_id={batch_id}", partition_by)
+        target = f"{path}/batch_id={batch_id}"
+        if transform:
+            with _kept(batch) as kept:
+                if not _skipped(kept, batch_id):
+                    _overwrite(transform(kept), target)
+        elif partition_by:
+            _overwrite(batch.hint("rebalance", *partition_by), target, partition_by)
+        else:
+            _overwrite(batch, target)
 
     return write
 
 
-def whole_table(path: str) -> BatchFunction:
-    """Replace the table by the micro-batch, for complete output mode."""
+def whole_table(path: str, transform: Transform) -> BatchFunction:
+    """Replace the table by the transformed micro-batch, for complete output mode."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _overwrite(batch, path)
+        with _kept(batch) as kept:
+            _overwrite(transform(kept), path)
 
     return write
 
