@@ -24,6 +24,23 @@ def db():
     return con
 
 
+# Spark type names and their counterparts.
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp": "TIMESTAMP",
+}
+
+
+def _type(field):
+    name = field.dataType.simpleString()
+    return TYPES.get(name, name.upper())
+
+
 def _plain(value):
     if isinstance(value, float):
         return None if math.isnan(value) else float(f"{value:.12g}")
@@ -44,6 +61,8 @@ def test_query(spark, db, name):
     want = db.sql(expected.SQL[name])
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)
+    stated_types = dict(zip(want.columns, map(str, want.types)))
+    assert {f.name: _type(f) for f in got.schema} == stated_types
     found = _sorted(got.select(*[got[c] for c in columns]).collect())
     chosen = ", ".join(f'"{c}"' for c in columns)
     stated = _sorted(db.sql(f"SELECT {chosen} FROM ({expected.SQL[name]})").fetchall())
