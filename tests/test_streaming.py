@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from pathlib import Path
 from unittest import mock
 
 import pytest
@@ -97,6 +98,16 @@ def test_update_mode_result_is_the_last_count_per_window(spark, out):
     assert counted(got) == [("01", "c", 2), ("01", "u", 2)]
 
 
+def test_state_is_sized_for_the_query_alone(spark, out):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    arrive(spark, f"{out}/feed", [((1, 1), "u")])
+    stream = replay.replay_stream(spark, f"{out}/feed")
+    runner.drain(monitor.watch_metrics(stream, f"{out}/m", f"{out}/cp"))
+    state = [p for p in Path(f"{out}/cp/state/0").iterdir() if p.name.isdigit()]
+    assert len(state) == monitor.STATE_PARTITIONS != int(before)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_restart_neither_loses_nor_repeats(spark, out):
     for n in range(3):
         arrive(spark, f"{out}/feed", [((n, s), "u") for s in range(10)])

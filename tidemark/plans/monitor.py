@@ -15,6 +15,10 @@ from tidemark.operators import metrics, parse
 from tidemark.sources.feeds import topic_name
 from tidemark.streaming import runner, sinks
 
+# Counts are folded per task before they meet the state, so what arrives is one row per task, window,
+# table and operation, whatever the number of changes.
+STATE_PARTITIONS = 8
+
 METRICS = (
     "window_start timestamp, window_end timestamp, table_name string, operation string, "
     "change_count bigint"
@@ -77,7 +81,15 @@ def watch_metrics(
     """Counts per minute, table and operation, in update mode."""
     counts = metrics.change_metrics(parse.topic_ops(records))
     write = sinks.batch_table(out, metrics.sorted_metrics)
-    return runner.run_stream(counts, write, checkpoint, mode="update", every=every, name="metrics")
+    return runner.run_stream(
+        counts,
+        write,
+        checkpoint,
+        mode="update",
+        every=every,
+        name="metrics",
+        state_partitions=STATE_PARTITIONS,
+    )
 
 
 def watch_stats(
@@ -86,7 +98,15 @@ def watch_stats(
     """Counts per minute and operation since the start, in complete mode."""
     stats = metrics.op_stats(parse.topic_ops(records), ordered=False)
     write = sinks.whole_table(out, metrics.sorted_stats)
-    return runner.run_stream(stats, write, checkpoint, mode="complete", every=every, name="stats")
+    return runner.run_stream(
+        stats,
+        write,
+        checkpoint,
+        mode="complete",
+        every=every,
+        name="stats",
+        state_partitions=STATE_PARTITIONS,
+    )
 
 
 def keep_change_log(

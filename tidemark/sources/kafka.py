@@ -33,8 +33,9 @@ def change_stream(
 ) -> DataFrame:
     """Unbounded records of one or several topics, from ``latest`` or ``earliest``.
 
-    ``options`` passes through further source settings, such as ``kafka.security.protocol`` or
-    ``maxOffsetsPerTrigger``, which bounds a micro-batch after a long stop.
+    ``options`` passes through further source settings, such as ``kafka.security.protocol``,
+    ``maxOffsetsPerTrigger``, which bounds a micro-batch after a long stop, or ``minPartitions``,
+    which splits a topic partition that holds most of the messages over several tasks.
     """
     reader = spark.readStream.format("kafka").options(**_options(servers, topics, options))
     return _columns(reader.option("startingOffsets", starting).load())

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,12 +18,17 @@ def run_stream(
     mode: str = "append",
     every: str | None = None,
     name: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a query that hands each micro-batch to ``write``.
 
     ``checkpoint`` is mandatory: a restart with the same folder resumes after the last finished
     batch. ``mode`` is append, update or complete. ``every`` is a trigger interval such as
     ``"10 seconds"``; without it the query works off what is available and ends.
+
+    ``state_partitions`` sizes the state of an aggregating query, which is fixed when the checkpoint
+    is made and which adaptive execution does not resize. The session's shuffle partitions, made for
+    large batch shuffles, would cost as many state files per micro-batch.
     """
     writer = (
         df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -28,7 +36,21 @@ def run_stream(
     if name:
         writer = writer.queryName(name)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.start()
+    if state_partitions is None:
+        return writer.start()
+    with _shuffle_partitions(df.sparkSession, state_partitions):
+        return writer.start()
+
+
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, n: int) -> Iterator[None]:
+    """A query copies the session's settings as it starts, so this reaches that query only."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", n)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def drain(query: StreamingQuery) -> None:
