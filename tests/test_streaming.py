@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators import changes as ch
-from tidemark.operators import metrics, parse
+from tidemark.operators import insight, metrics, parse
 from tidemark.plans import monitor
-from tidemark.session import scratch_dir
+from tidemark.session import ROCKSDB_PROVIDER, scratch_dir
 from tidemark.sources import feeds, kafka, replay
 from tidemark.streaming import runner, sinks
 
@@ -203,6 +203,43 @@ def test_change_log_keeps_row_images_as_text(spark, out):
     assert (row["table_name"], row["event_date"]) == ("t", dt.date(1970, 1, 1))
 
 
+def test_orders_are_joined_adaptively_per_batch(spark, out):
+    image = {"id": 1, "customer_id": 7, "total_amount": 1.5, "status": "P"}
+    value = {"op": "c", "source": {"table": "orders"}, "after": image}
+    data = [(None, json.dumps(value).encode(), "x", 0, n, dt.datetime(2024, 1, 1), 0) for n in (1, 2)]
+    replay.write_records(spark.createDataFrame(data, schemas.struct(schemas.RECORD)), f"{out}/feed")
+    customers = spark.createDataFrame(
+        [(7, "A", "B", "e")], "id int, first_name string, last_name string, email string"
+    )
+    plans = []
+
+    def planned(batch, batch_id):
+        joined = insight.enrich_changes(batch, customers)
+        plans.append(joined._jdf.queryExecution().executedPlan().toString())
+
+    stream = replay.replay_stream(spark, f"{out}/feed")
+    parsed = parse.changes(stream, "orders", ["id", "customer_id", "total_amount", "status"])
+    runner.drain(runner.run_stream(parsed, planned, f"{out}/cp1"))
+    assert plans and all("AdaptiveSparkPlan" in plan for plan in plans)
+    runner.drain(monitor.watch_orders(stream, customers, f"{out}/o", f"{out}/cp2"))
+    got = sinks.read_batches(spark, f"{out}/o/enriched", monitor.ENRICHED)
+    assert rows(got.select("order_id", "email")) == [(1, "e"), (1, "e")]
+
+
+def test_state_in_rocksdb(spark, out):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(key, ROCKSDB_PROVIDER)
+    try:
+        for _ in range(2):
+            arrive(spark, f"{out}/feed", [((1, 1), "u")])
+            stream = replay.replay_stream(spark, f"{out}/feed")
+            runner.drain(monitor.watch_stats(stream, f"{out}/m", f"{out}/cp"))
+    finally:
+        spark.conf.unset(key)
+    stats = spark.read.schema(schemas.struct(monitor.STATS)).parquet(f"{out}/m")
+    assert counted(stats) == [("01", "u", 2)]
+
+
 def test_console_prints_a_batch(spark, capsys):
     sinks.console(2)(spark.range(5), 7)
     printed = capsys.readouterr().out

@@ -139,6 +139,14 @@ SELECT id AS product_id, name AS product_name, old_stock, new_stock,
 FROM p WHERE op = 'u' AND old_stock <> new_stock
 """
 
+ENRICHED = f"""
+WITH {ORDERS}
+SELECT customer_id, id AS order_id, total_amount, status, op AS operation,
+  ts_ms AS source_timestamp, c_mktsegment AS first_name, c_name AS last_name,
+  lower(c_name) AS email
+FROM o LEFT JOIN customer ON customer_id = c_custkey
+"""
+
 SQL: dict[str, str] = {
     # ---- sources and sinks
     "change_stream": f"""
@@ -429,13 +437,8 @@ FROM c, cuts
 """,
     "current_state": STATE,
     "merged_state": STATE,
-    "enrich_changes": f"""
-WITH {ORDERS}
-SELECT customer_id, id AS order_id, total_amount, status, op AS operation,
-  ts_ms AS source_timestamp, c_mktsegment AS first_name, c_name AS last_name,
-  lower(c_name) AS email
-FROM o LEFT JOIN customer ON customer_id = c_custkey
-""",
+    "enrich_changes": ENRICHED,
+    "enrich_change_stream": ENRICHED,
     "transaction_anomalies": f"""
 WITH {ORDERS},
 usual AS (

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
 from tidemark.operators import changes as ch
-from tidemark.operators import metrics, parse
+from tidemark.operators import insight, metrics, parse
 from tidemark.sources.feeds import topic_name
 from tidemark.streaming import runner, sinks
 
@@ -40,6 +40,10 @@ PRICE_CHANGES = (
 STOCK_CHANGES = (
     "product_id int, product_name string, old_stock int, new_stock int, change int"
 )
+ENRICHED = (
+    "customer_id int, order_id int, total_amount decimal(10,2), status string, operation string, "
+    "source_timestamp bigint, first_name string, last_name string, email string"
+)
 CHANGE_LOG = (
     "topic string, partition int, offset bigint, kafka_timestamp timestamp, operation string, "
     "source_timestamp bigint, before_data string, after_data string, table_name string, "
@@ -68,13 +72,40 @@ def watch_customers(
 def watch_products(
     records: DataFrame, out: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Price and stock alerts."""
-    results = {"price_changes": ch.price_changes, "stock_changes": ch.stock_changes}
+    """Price and stock alerts, and products to restock."""
+    results = {
+        "price_changes": ch.price_changes,
+        "stock_changes": ch.stock_changes,
+        "restock_alerts": insight.restock_alerts,
+    }
     parsed = parse.changes(records, "products", ["id", "name", "price", "quantity_in_stock"])
     write = sinks.batch_tables(results, out)
     return runner.run_stream(parsed, write, checkpoint, every=every, name="products")
 
 
+def watch_orders(
+    records: DataFrame,
+    customers: DataFrame,
+    out: str,
+    checkpoint: str,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Order changes with their customers.
+
+    The join is made per micro-batch, where it is planned adaptively: by broadcast while the
+    customers are small, else by a shuffle that splits a customer with very many changes. Each batch
+    reads the customers as they are by then.
+    """
+
+    def enriched(batch: DataFrame) -> DataFrame:
+        return insight.enrich_changes(batch, customers)
+
+    columns = ["id", "customer_id", "total_amount", "status"]
+    parsed = parse.changes(records, "orders", columns)
+    write = sinks.batch_tables({"enriched": enriched}, out)
+    return runner.run_stream(parsed, write, checkpoint, every=every, name="orders")
+
+
 def watch_metrics(
     records: DataFrame, out: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:

@@ -610,6 +610,18 @@ def enrich_changes(spark: SparkSession, d: str) -> DataFrame:
     return insight.enrich_changes(order_changes, _stored(spark, d)["customers"])
 
 
+@_query
+def enrich_change_stream(spark: SparkSession, d: str) -> DataFrame:
+    customers = _stored(spark, d)["customers"]
+
+    def start(records, out, checkpoint):
+        return monitor.watch_orders(records, customers, out, checkpoint)
+
+    arrivals = [feeds.order_feed(p) for p in _slices(_t(spark, d, "orders"), "o_orderdate")]
+    out = _replayed(spark, "enriched", arrivals, start)
+    return sinks.read_batches(spark, f"{out}/enriched", monitor.ENRICHED).drop("batch_id")
+
+
 @_query
 def transaction_anomalies(spark: SparkSession, d: str) -> DataFrame:
     flagged = insight.transaction_anomalies(_stored(spark, d)["orders"])
