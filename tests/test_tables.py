@@ -2,6 +2,7 @@
 
 import datetime as dt
 import decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +97,32 @@ def test_coarser_grain_replaces_its_periods(spark, raw, out):
     assert rows(tables.read_staging(spark, out + "/s")) == rows(staging)
 
 
+def test_a_large_day_is_written_by_several_tasks(spark, out):
+    sizes = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+    }
+    hot = F.when(F.col("id") % 100 > 0, dt.date(2024, 1, 1)).otherwise(dt.date(2024, 1, 2))
+    rows_in = spark.range(0, 200_000, 1, 8).select(
+        F.col("id").cast("int").alias("customer_id"),
+        F.hash("id").alias("product_id"),
+        F.lit(1).alias("quantity"),
+        F.lit(1).cast("decimal(10,2)").alias("price"),
+        F.lit(day(1)).alias("created_at"),
+        hot.alias("sale_date"),
+    )
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        tables.append_staging(rows_in, f"{out}/s")
+    finally:
+        for key in sizes:
+            spark.conf.unset(key)
+    files = [len(list(Path(f"{out}/s/sale_date=2024-01-0{d}").glob("*.parquet"))) for d in (1, 2)]
+    assert files[0] > 1 and files[1] == 1
+    assert tables.read_staging(spark, f"{out}/s").count() == 200_000
+
+
 def test_staging_table_in_the_catalog(spark, raw, out):
     tables.create_staging(spark, "staging_once", out + "/t")
     tables.create_staging(spark, "staging_once", out + "/t")

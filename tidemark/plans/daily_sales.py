@@ -26,6 +26,9 @@ def run_day(
     """Run every step for ``as_of`` (with ``backfill``: for all days of ``raw``) below ``base`` and
     return the report. A repeated run replaces what the first one wrote. A backfill of a long
     history may keep its tables by a coarser ``grain``.
+
+    Spark cannot delete rows of plain Parquet tables, so the cleaned staging table is written beside
+    the full one, as ``staging_recent``; a catalog table is moved over by ``ALTER TABLE .. SET LOCATION``.
     """
     day = None if backfill else as_of
     staging_path, metrics_path = f"{base}/staging_sales", f"{base}/daily_metrics"
