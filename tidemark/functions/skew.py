@@ -5,28 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than one row in HOT_SHARE; fewer than HOT_SHARE keys can.
-HOT_SHARE = 1000
+# A key is hot when it holds more than KEY_ROWS rows and more than one row in HOT_SHARE. Fewer than
+# HOT_SHARE keys can be, so what is broadcast is bounded, and every other key is bounded in rows: by
+# KEY_ROWS up to KEY_ROWS * HOT_SHARE rows in all, by a hundred-thousandth of the rows beyond.
+KEY_ROWS = 100_000
+HOT_SHARE = 100_000
 
 
 def join_per_key(
-    facts: DataFrame, per_key: DataFrame, key: str, rows: str, hot_share: int = HOT_SHARE
+    facts: DataFrame,
+    per_key: DataFrame,
+    key: str,
+    rows: str,
+    key_rows: int = KEY_ROWS,
+    hot_share: int = HOT_SHARE,
 ) -> DataFrame:
     """Inner join of ``facts`` with ``per_key``, which has one row per key and counts in ``rows``
     how many facts that key has.
 
     Adaptive skew handling does not reach a join whose one side is an aggregate, so a key with a
-    third of all facts would land in one task. The counts tell the hot keys exactly, and since each
-    of them holds more than 1/hot_share of the facts there are fewer than ``hot_share``: they are
-    broadcast and joined where the facts lie. All other keys are joined by shuffle.
+    third of all facts would land in one task. The counts tell the hot keys exactly; these are
+    broadcast and joined where the facts lie. All other keys are joined by shuffle, and the rows of
+    one of them fit a task.
 
     The columns of ``per_key`` travel as one struct, so that every use asks for the same columns and
-    its aggregation is run once and reused.
+    its aggregation is run once and reused; the number of facts is the sum of its counts.
     """
     columns = [c for c in per_key.columns if c != key]
-    total = facts.agg(F.count(F.lit(1)).alias("total")).scalar()
     packed = per_key.select(key, F.struct(*columns).alias("per_key"))
-    is_hot = F.col(f"per_key.{rows}") * hot_share > total
+    total = packed.agg(F.sum(f"per_key.{rows}")).scalar()
+    is_hot = (F.col(f"per_key.{rows}") > key_rows) & (F.col(f"per_key.{rows}") * hot_share > total)
     with_hot = facts.join(F.broadcast(packed.filter(is_hot)), key, "left")
     near = with_hot.filter(F.col("per_key").isNotNull())
     far = with_hot.filter(F.col("per_key").isNull()).drop("per_key")
