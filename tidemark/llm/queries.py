@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, secret_scan, warc
+from tidemark.llm import mixing, packing, secret_scan, simhash, warc
 from tidemark.session import scratch_dir
 from tidemark.sources.tables import table
 
@@ -17,6 +17,10 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, "documents", sf_dir))
 
 
+def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, "documents", sf_dir))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, "documents", sf_dir))
 
@@ -28,5 +32,9 @@ def op9_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, "documents", sf_dir))
+
+
 def all_queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
