@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, packing, secret_scan, simhash, warc
+from tidemark.llm import mixing, packing, quality, rules, secret_scan, simhash, warc
 from tidemark.session import scratch_dir
 from tidemark.sources.tables import table
 
@@ -17,10 +17,19 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, "documents", sf_dir))
 
 
+def op2_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, "documents", sf_dir)
+    return quality.score(docs, quality.fit(docs, table(spark, "labels", sf_dir)))
+
+
 def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, "documents", sf_dir))
 
 
+def op6_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(table(spark, "documents", sf_dir), table(spark, "labels", sf_dir))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, "documents", sf_dir))
 
