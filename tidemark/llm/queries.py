@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, packing, quality, rules, secret_scan, simhash, warc
+from tidemark.llm import embeddings, mixing, packing, pii, quality, rules, secret_scan, simhash, warc
 from tidemark.session import scratch_dir
 from tidemark.sources.tables import table
 
@@ -26,10 +26,19 @@ def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, "documents", sf_dir))
 
 
+def op5_itq_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, "embeddings", sf_dir))
+
+
 def op6_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(table(spark, "documents", sf_dir), table(spark, "labels", sf_dir))
 
 
+def op7_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, "documents", sf_dir)
+    return pii.find(docs, pii.fit(docs))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, "documents", sf_dir))
 
