@@ -78,8 +78,12 @@ def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def ranged(df: DataFrame, *order: Column | str) -> DataFrame:
-    """``df`` dealt out in ``order``, its partition number kept as ``part``; cuts the lineage."""
-    return cut_lineage(df.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+    """``df`` dealt out in ``order``, its partition number kept as ``part``; cuts the lineage.
+
+    Dealing out by range reads its input twice, the first time for a sample of the order, so what
+    makes the rows is run and checkpointed before.
+    """
+    return cut_lineage(cut_lineage(df).repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
 
 
 def offsets(cut: DataFrame, amount: str, by: Sequence[str] = ()) -> DataFrame:
