@@ -32,8 +32,12 @@ CAPACITY = 4096
 END = (1).to_bytes(4, "little")
 VOCABULARY = "word_bpe_49k.json"
 
-_CACHE_WORDS = 300_000
+#: Bounds of what one Python worker remembers: parts, words, and the characters of a part.
+_CACHE_PARTS = 250_000
+_CACHE_WORDS = 500_000
 _CACHE_CHARS = 48
+_TAILS = ".,;:!?$%&#*|"
+_WORDS_AT_ONCE = 128
 
 
 class Encoder:
@@ -41,7 +45,9 @@ class Encoder:
 
     The vocabulary's tokens never cross white space, so a text is encoded by its blank-separated parts,
     and short parts are remembered. Only plain blanks and line feeds separate; the library itself sees
-    every other white space.
+    every other white space. A part that is a word with a tail of signs is the word's tokens and the
+    tail's. Unknown words are given to the library as one string: a word of letters alone ends with
+    the one token in it that closes a word.
     """
 
     _made: dict[str, Encoder] = {}
@@ -51,7 +57,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        size = self.library.get_vocab_size(with_added_tokens=True)
+        self.closes = np.array([(self.library.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        self.parts: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str | None) -> Encoder:
@@ -66,20 +75,42 @@ class Encoder:
 
     def __call__(self, text: str) -> bytes:
         parts = text.replace("\n", " ").split(" ")
-        known = self.known
-        missing = list({p for p in parts if p not in known})
-        extra = {}
-        if missing:
-            if len(known) > _CACHE_WORDS:
-                known.clear()
-                known[""] = b""
-                missing = list({p for p in parts if p})
-            for part, found in zip(missing, self.library.encode_batch(missing, add_special_tokens=False)):
-                ids = np.array(found.ids, dtype="<u4").tobytes()
-                (known if len(part) <= _CACHE_CHARS else extra)[part] = ids
-        if extra:
-            return b"".join([known[p] if p in known else extra[p] for p in parts])
-        return b"".join([known[p] for p in parts])
+        found = list(map(self.parts.get, parts))
+        if None in found:
+            missing = {p for p, ids in zip(parts, found) if ids is None}
+            new = self._encoded(missing)
+            found = [new[p] if ids is None else ids for p, ids in zip(parts, found)]
+            if len(self.parts) + len(new) > _CACHE_PARTS:
+                self.parts = {"": b""}
+            self.parts.update((p, ids) for p, ids in new.items() if len(p) <= _CACHE_CHARS)
+        return b"".join(found)
+
+    def _encoded(self, parts: set[str]) -> dict[str, bytes]:
+        split = {p: (w.lower() if w.isascii() else w, p[len(w) :]) for p in parts if (w := p.rstrip(_TAILS)).isalpha()}
+        words = {w for w, _ in split.values() if w not in self.words}
+        others = [*(p for p in parts if p not in split), *{t for _, t in split.values()}]
+        if len(self.words) + len(words) > _CACHE_WORDS:
+            self.words = {}
+            words = {w for w, _ in split.values()}
+        known = self.words
+        known.update(self._words(sorted(words)))
+        plain = dict(zip(others, self._plain(others)))
+        return plain | {p: known[w] + plain[t] for p, (w, t) in split.items()}
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        batch = self.library.encode_batch(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in batch]
+
+    def _words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        for at in range(0, len(words), _WORDS_AT_ONCE):
+            some = words[at : at + _WORDS_AT_ONCE]
+            ids = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(some):
+                yield from zip(some, self._plain(some))
+                continue
+            data, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
+            yield from ((w, data[a:b]) for w, a, b in zip(some, bounds, bounds[1:]))
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, with_ids: bool = False) -> DataFrame:
