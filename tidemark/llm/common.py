@@ -62,11 +62,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read back."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written as Parquet in the shared folder and read back.
+
+    Its shuffle files go when the write has ended, so the steps of a long job do not add up on disk.
+    """
+    spark = df.sparkSession
+    path, before = scratch_dir(spark, label), spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embeddings, mixing, packing, pii, quality, rules, secret_scan, simhash, warc
+from tidemark.llm import embeddings, mixing, packing, pii, quality, rules, secret_scan, simhash, suffix_dedup, warc
 from tidemark.session import scratch_dir
 from tidemark.sources.tables import table
 
@@ -26,6 +26,10 @@ def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, "documents", sf_dir))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, "documents", sf_dir))
+
+
 def op5_itq_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, "embeddings", sf_dir))
 
