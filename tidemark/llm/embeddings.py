@@ -1,7 +1,7 @@
 """Near-duplicate embeddings by iterative quantisation and multi-index Hamming tables.
 
-A rotation learned by iterative quantisation turns unit vectors into balanced binary codes. The code is
-cut into substrings of about 16 bits, a table each. A vector enters a table under its substring and
+A rotation learned by iterative quantisation turns unit vectors into balanced binary codes. It leaves the
+origin in place, from which cosine is measured; centring would cut a dense group apart. The code is cut into substrings of about 16 bits, a table each. A vector enters a table under its substring and
 under every substring one bit off, so two vectors meet where their substrings differ in at most two
 bits. Pairs that meet are counted in one place only: in the first table and under the smallest key they
 share. There the codes tell which members have a candidate, and only these are sent with their original
@@ -17,7 +17,7 @@ Recall: two vectors at the least cosine of 0.93 differ in a bit with probability
 against brute force.
 
 Defined cases: vectors that are null, empty or zero, hold null or non-finite components, or have no
-label link with nothing; vectors of different length never link; rows that repeat a vec_id are vectors
+label or no vec_id link with nothing; vectors of different length never link; rows that repeat a vec_id are vectors
 of their own; an empty table gives no rows; other columns are ignored.
 """
 
@@ -52,10 +52,9 @@ _TILE = 1_024
 
 @dataclass(frozen=True)
 class Quantiser:
-    """Centre and rotation; ``length`` is that of the longest vectors, shorter ones are padded."""
+    """A rotation; ``length`` is that of the longest vectors, shorter ones are padded."""
 
     length: int
-    mean: np.ndarray
     rotation: np.ndarray
 
     @property
@@ -66,7 +65,7 @@ class Quantiser:
 
     def codes(self, vectors: list[np.ndarray]) -> np.ndarray:
         x = unit(vectors, self.length)
-        bits = ((x - self.mean) @ self.rotation > 0).astype(np.uint64)
+        bits = (x @ self.rotation > 0).astype(np.uint64)
         return bits @ (np.uint64(1) << np.arange(bits.shape[1], dtype=np.uint64))
 
 
@@ -82,14 +81,13 @@ def unit(vectors: list[np.ndarray], length: int) -> np.ndarray:
 
 def learned(x: np.ndarray, bits: int = BITS) -> Quantiser:
     """Principal axes, then the rotation that brings their values closest to their signs."""
-    mean = x.mean(axis=0)
-    axes = np.linalg.svd(np.cov((x - mean).T, bias=True).reshape(x.shape[1], -1))[0][:, :bits]
-    v = (x - mean) @ axes
+    axes = np.linalg.svd(x.T @ x)[0][:, :bits]
+    v = x @ axes
     turn = np.linalg.qr(np.random.default_rng(7).normal(size=(v.shape[1], v.shape[1])))[0]
     for _ in range(ROUNDS):
         left, _, right = np.linalg.svd(v.T @ np.where(v @ turn > 0, 1.0, -1.0))
         turn = left @ right
-    return Quantiser(x.shape[1], mean, axes @ turn)
+    return Quantiser(x.shape[1], axes @ turn)
 
 
 def substrings(codes: np.ndarray, widths: list[int]) -> list[np.ndarray]:
@@ -216,10 +214,10 @@ def _pairs(table: pa.Table, codes: np.ndarray, widths: list[int]) -> Iterator[tu
 
 
 def _usable() -> Column:
-    """Whether a row has a label and a vector with a direction; never null."""
+    """Whether a row has an id, a label and a vector with a direction; never null."""
     finite = F.forall("embedding", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     some = F.exists("embedding", lambda c: c != 0)
-    return F.coalesce(F.col("label").isNotNull() & finite & some, F.lit(False))
+    return F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & finite & some, F.lit(False))
 
 
 def fit(reps: DataFrame, sample: int = SAMPLE) -> Quantiser | None:
@@ -321,9 +319,9 @@ def near_duplicates(rows: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     # Equal for copies only.
     form = F.md5(F.concat_ws("|", F.col("label").cast("string"), F.to_json(F.col("embedding"))))
     usable = stored(rows.filter(_usable()).withColumn("form", form), "vectors")
-    per_form = usable.groupBy("form").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("alike"))
-    firsts = usable.join(per_form, (usable["form"] == per_form["form"]) & (usable["vec_id"] == per_form["id"]))
-    reps = firsts.select("id", usable["form"], "label", "embedding", "alike").dropDuplicates(["form"])
+    per_form = usable.groupBy("form").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("alike"))
+    firsts = usable.join(per_form, ["form", "vec_id"]).dropDuplicates(["form"])
+    reps = firsts.select(F.col("vec_id").alias("id"), "form", "label", "embedding", "alike")
     reps = stored(reps, "distinct-vectors")
     quantiser = fit(reps)
     if quantiser is None:
