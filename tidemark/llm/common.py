@@ -80,12 +80,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Equality of ``keys`` in which null equals null."""
+def joined(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys``, in which null equals null; keeps the keys of ``left``."""
+    names = {k: f"same_{k}" for k in keys}
     found = F.lit(True)
-    for k in keys:
-        found = found & left[k].eqNullSafe(right[k])
-    return found
+    for k, other in names.items():
+        found = found & F.col(k).eqNullSafe(F.col(other))
+    return left.join(right.withColumnsRenamed(names), found).drop(*names.values())
 
 
 def ranged(df: DataFrame, *order: Column | str) -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import n_words, offsets, ranged, running, same
+from tidemark.llm.common import joined, n_words, offsets, ranged, running
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -88,12 +88,11 @@ def schedule(items: DataFrame, shares: DataFrame, most: int = MOST) -> DataFrame
     subtotal per partition (and source), so a source with a third of all rows is spread like any.
     """
     cut = ranged(items, *_SHUFFLED)
-    per_part = offsets(cut, "words", ["source"])
-    per_part = per_part.join(shares, per_part["source"].eqNullSafe(shares["source"])).drop(shares["source"])
+    per_part = joined(offsets(cut, "words", ["source"]), shares, ["source"])
     inside = cut.withColumn("inside", running("words", _SHUFFLED, ["source"]))
-    queued = inside.join(per_part, same(inside, per_part, ["part", "source"])).select(
-        *[inside[c] for c in [*_SHUFFLED, "alike", "words"]],
-        *["source_size", "target", "budget"],
+    queued = joined(inside, per_part, ["part", "source"]).select(
+        *_SHUFFLED,
+        *["alike", "words", "source_size", "target", "budget"],
         (F.col("inside") + F.col("before")).alias("upto"),
     )
     passed = F.col("epoch") * F.col("source_size") + F.col("upto")
@@ -118,8 +117,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
     rows = docs.select(
         F.struct(*docs.columns).alias("doc"), "source", "doc_id", n_words(F.col("text")).alias("size")
     )
-    found = rows.join(taken, same(rows, taken, _KEY))
-    return found.select("doc.*", *(["place"] if placed else []))
+    return joined(rows, taken, _KEY).select("doc.*", *(["place"] if placed else []))
 
 
 def taken_words(docs: DataFrame) -> DataFrame:
