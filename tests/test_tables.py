@@ -68,10 +68,18 @@ def test_retention_of_rows_goes_by_creation_time(raw):
 
 def test_validation_finds_lost_and_misdated_rows(raw):
     staging = sales.extract_daily_sales(raw)
-    assert {r["violations"] for r in quality.validate_extract(staging, raw).collect()} == {0}
+    found = {r["check_name"]: r["violations"] for r in quality.validate_extract(staging, raw).collect()}
+    assert {k for k, v in found.items() if v} == {"undated rows"} and found["undated rows"] == 1
     bad = staging.filter("product_id <> 12").withColumn("sale_date", F.lit(dt.date(2024, 1, 1)))
     found = {r["check_name"]: r["violations"] for r in quality.validate_extract(bad, raw).collect()}
-    assert (found["wrong day"], found["row count difference"]) == (1, 1)
+    assert (found["wrong day"], found["lost rows"], found["gained rows"]) == (1, 1, 0)
+
+
+def test_validation_tells_lost_from_doubled_rows(raw):
+    staging = sales.extract_daily_sales(raw)
+    bad = staging.filter("product_id <> 11").unionByName(staging.filter("product_id = 12"))
+    found = {r["check_name"]: r["violations"] for r in quality.validate_extract(bad, raw).collect()}
+    assert {k: v for k, v in found.items() if v} == {"lost rows": 1, "gained rows": 1, "undated rows": 1}
 
 
 def test_daily_run_repeats_without_doubling(spark, raw, out):
@@ -309,5 +317,6 @@ def test_activity_change(spark):
         (1, 0, 1),
         (2, 1, 1),
         (1, 2, -1),
+        (0, 1, -1),
         (2, 0, 2),
     ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.skew import join_per_key
@@ -66,16 +66,32 @@ def restock_alerts(changes: DataFrame, threshold: int = 10) -> DataFrame:
 def customer_activity_change(events: DataFrame, period: str = "week") -> DataFrame:
     """Events per user and period, those of the period before, and the difference.
 
-    Counting comes first: the window then sees one row per user and period, however many events a
-    user has. A period without events before the current one counts as zero.
+    A period without events is reported once, as the fall to zero behind an active one, up to the
+    last period on record. Counting comes first: each active period then brings two rows, for itself
+    and for its successor, which are summed; nothing is gathered per user.
     """
     counts = events.groupBy(
         "user_id", F.date_trunc(period, "ts").cast("date").alias("period_start")
     ).agg(F.count(F.lit(1)).alias("event_count"))
-    by_user = Window.partitionBy("user_id").orderBy("period_start")
-    expected = F.date_trunc(period, F.date_sub("period_start", 1)).cast("date")
-    adjacent = F.lag("period_start").over(by_user) == expected
-    previous = F.when(adjacent, F.lag("event_count").over(by_user)).otherwise(F.lit(0))
-    return counts.withColumn("previous_count", previous.cast("bigint")).withColumn(
-        "difference", F.col("event_count") - F.col("previous_count")
+    last = counts.agg(F.max("period_start").alias("last")).scalar()
+    following = F.date_trunc(
+        period, F.col("period_start").cast("timestamp_ntz") + F.expr(f"INTERVAL 1 {period}")
+    ).cast("date")
+    none = F.lit(0).cast("bigint")
+    own = F.struct("period_start", "event_count", none.alias("previous_count"))
+    next_ = F.struct(
+        following.alias("period_start"),
+        none.alias("event_count"),
+        F.col("event_count").alias("previous_count"),
+    )
+    moved = counts.select("user_id", F.inline(F.array(own, next_)))
+    return (
+        moved.filter(F.col("period_start").isNull() | (F.col("period_start") <= last))
+        .groupBy("user_id", "period_start")
+        .agg(
+            F.sum("event_count").alias("event_count"),
+            F.sum("previous_count").alias("previous_count"),
+        )
+        .filter((F.col("event_count") > 0) | (F.col("previous_count") > 0))
+        .withColumn("difference", F.col("event_count") - F.col("previous_count"))
     )

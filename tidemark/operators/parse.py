@@ -112,7 +112,7 @@ def parse_change_paths(records: DataFrame, typed: bool = False) -> DataFrame:
     return decoded.select(
         "timestamp",
         operation,
-        _either("after.id").try_cast("int").alias("customer_id"),
+        _either("after.id").try_cast("bigint").alias("customer_id"),
         _either("after.first_name").alias("first_name"),
         _either("after.last_name").alias("last_name"),
         email,

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Operations that create, read, update or delete a row.
+ROW_OPERATIONS = ("c", "r", "u", "d")
+
+
 def _positioned(changes: DataFrame, key: str) -> DataFrame:
-    """Key, position, operation and the row image that stands for the row."""
+    """Key, position, operation and the row image that stands for the row, of the changes that name one."""
     image = F.coalesce("after_data", "before_data")
-    return changes.select(
+    return changes.filter(_names_a_row(image[key])).select(
         image[key].alias("row_key"),
         "source_timestamp",
         "offset",
@@ -18,6 +22,19 @@ def _positioned(changes: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _names_a_row(key: Column) -> Column:
+    return F.coalesce(F.col("operation").isin(*ROW_OPERATIONS) & key.isNotNull(), F.lit(False))
+
+
+def set_aside(changes: DataFrame, key: str = "id") -> DataFrame:
+    """operation and change_count of the changes that no row can be rebuilt from: of an operation
+    that is no row change (such as a truncation), or without a key.
+    """
+    image = F.coalesce("after_data", "before_data")
+    left = changes.filter(~_names_a_row(image[key]))
+    return left.groupBy("operation").agg(F.count(F.lit(1)).alias("change_count"))
+
+
 def _last_per_key(positioned: DataFrame) -> DataFrame:
     """``max_by`` keeps one candidate per key and task before the shuffle, so a row that changes
     very often does not gather in one place.

@@ -11,7 +11,7 @@ T0 = 1704067200000
 
 CUSTOMERS = f"""
 c AS (
-  SELECT c_custkey AS k, CAST(c_custkey AS INTEGER) AS id, c_mktsegment AS first_name,
+  SELECT c_custkey AS k, CAST(c_custkey AS BIGINT) AS id, c_mktsegment AS first_name,
     c_name AS last_name,
     CASE WHEN c_custkey % 10 = 0 THEN 'd' WHEN c_custkey % 10 <= 3 THEN 'u'
          WHEN c_custkey % 10 = 4 THEN 'r' ELSE 'c' END AS op,
@@ -30,7 +30,7 @@ c AS (
 
 PRODUCTS = f"""
 p AS (
-  SELECT p_partkey AS k, CAST(p_partkey AS INTEGER) AS id, p_name AS name, p_type AS category,
+  SELECT p_partkey AS k, CAST(p_partkey AS BIGINT) AS id, p_name AS name, p_type AS category,
     CASE WHEN p_partkey % 5 = 0 THEN 'c' WHEN p_partkey % 5 = 4 THEN 'd' ELSE 'u' END AS op,
     CASE WHEN p_partkey % 11 <> 0 THEN CAST(p_retailprice AS DECIMAL(10,2)) END AS old_price,
     CAST(CAST(p_retailprice AS DECIMAL(10,2)) + CASE WHEN p_partkey % 4 = 0 THEN 1 ELSE 0 END
@@ -44,9 +44,9 @@ p AS (
 
 ORDERS = """
 o AS (
-  SELECT o_orderkey AS k, CAST(o_orderkey AS INTEGER) AS id,
+  SELECT o_orderkey AS k, CAST(o_orderkey AS BIGINT) AS id,
     CASE WHEN o_orderkey % 3 = 0 THEN 'c' WHEN o_orderkey % 3 = 1 THEN 'u' ELSE 'd' END AS op,
-    CAST(o_custkey AS INTEGER) AS customer_id,
+    CAST(o_custkey AS BIGINT) AS customer_id,
     CAST(o_totalprice AS DECIMAL(10,2)) AS total_amount, o_orderstatus AS status,
     epoch_ms(o_orderdate) AS ts_ms, o_orderdate AS ts
   FROM orders)
@@ -62,7 +62,7 @@ a AS (
 
 RAW_SALES = """
 raw AS (
-  SELECT CAST(o_custkey AS INTEGER) AS customer_id, CAST(l_partkey AS INTEGER) AS product_id,
+  SELECT CAST(o_custkey AS BIGINT) AS customer_id, CAST(l_partkey AS BIGINT) AS product_id,
     CAST(l_quantity AS INTEGER) AS quantity, CAST(l_extendedprice AS DECIMAL(10,2)) AS price,
     o_orderdate AS created_at, CAST(o_orderdate AS DATE) AS sale_date
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
@@ -100,7 +100,7 @@ retained AS (
 
 HISTORY = """
 h AS (
-  SELECT CAST(o_custkey AS INTEGER) AS id, o_orderstatus AS first_name,
+  SELECT CAST(o_custkey AS BIGINT) AS id, o_orderstatus AS first_name,
     o_orderpriority AS last_name, 'order.' || o_orderkey || '@example.com' AS email,
     epoch_ms(o_orderdate) AS created_at, epoch_ms(o_orderdate) AS updated_at,
     o_orderkey % 10 = 0 AS deleted,
@@ -340,7 +340,9 @@ UNION ALL SELECT 'missing quantity', count(*) FILTER (quantity IS NULL) FROM raw
 UNION ALL SELECT 'missing price', count(*) FILTER (price IS NULL) FROM raw
 UNION ALL SELECT 'missing sale_date', count(*) FILTER (sale_date IS NULL) FROM raw
 UNION ALL SELECT 'wrong day', count(*) FILTER (sale_date <> CAST(created_at AS DATE)) FROM raw
-UNION ALL SELECT 'row count difference', count(*) - count(created_at) FROM raw
+UNION ALL SELECT 'lost rows', 0
+UNION ALL SELECT 'gained rows', 0
+UNION ALL SELECT 'undated rows', count(*) - count(created_at) FROM raw
 """,
     "daily_report": REPORT,
     "daily_sales_run": REPORT,
@@ -371,7 +373,7 @@ WITH lines AS (
     sum(CAST(l_quantity AS INTEGER) * CAST(l_extendedprice AS DECIMAL(10,2))) AS line_total
   FROM lineitem GROUP BY l_orderkey),
 compared AS (
-  SELECT CAST(o_orderkey AS INTEGER) AS order_id,
+  SELECT CAST(o_orderkey AS BIGINT) AS order_id,
     CAST(o_totalprice AS DECIMAL(10,2)) AS total_amount,
     CAST(coalesce(line_total, 0) AS DECIMAL(20,2)) AS line_total
   FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey)
@@ -457,10 +459,13 @@ WITH {PRODUCTS}, s AS ({STOCK}) SELECT * FROM s WHERE old_stock >= 10 AND new_st
 WITH counts AS (
   SELECT user_id, CAST(date_trunc('week', ts) AS DATE) AS period_start, count(*) AS event_count
   FROM events GROUP BY 1, 2)
-SELECT now.user_id, now.period_start, now.event_count,
+SELECT coalesce(now.user_id, before.user_id) AS user_id,
+  coalesce(now.period_start, before.period_start + 7) AS period_start,
+  coalesce(now.event_count, 0) AS event_count,
   coalesce(before.event_count, 0) AS previous_count,
-  now.event_count - coalesce(before.event_count, 0) AS difference
-FROM counts now LEFT JOIN counts before
+  coalesce(now.event_count, 0) - coalesce(before.event_count, 0) AS difference
+FROM counts now FULL JOIN counts before
   ON now.user_id = before.user_id AND now.period_start = before.period_start + 7
+WHERE coalesce(now.period_start, before.period_start + 7) <= (SELECT max(period_start) FROM counts)
 """,
 }

@@ -29,19 +29,19 @@ STATS = (
 OP_COUNTS = "operation string, change_count bigint"
 VOLUME = "change_count bigint"
 INSERTED = (
-    "id int, first_name string, last_name string, email string, created_at bigint, updated_at bigint"
+    "id bigint, first_name string, last_name string, email string, created_at bigint, updated_at bigint"
 )
 EMAIL_CHANGES = (
-    "customer_id int, first_name string, last_name string, old_email string, new_email string"
+    "customer_id bigint, first_name string, last_name string, old_email string, new_email string"
 )
 PRICE_CHANGES = (
-    "product_id int, product_name string, old_price decimal(10,2), new_price decimal(10,2)"
+    "product_id bigint, product_name string, old_price decimal(10,2), new_price decimal(10,2)"
 )
 STOCK_CHANGES = (
-    "product_id int, product_name string, old_stock int, new_stock int, change int"
+    "product_id bigint, product_name string, old_stock int, new_stock int, change int"
 )
 ENRICHED = (
-    "customer_id int, order_id int, total_amount decimal(10,2), status string, operation string, "
+    "customer_id bigint, order_id bigint, total_amount decimal(10,2), status string, operation string, "
     "source_timestamp bigint, first_name string, last_name string, email string"
 )
 CHANGE_LOG = (

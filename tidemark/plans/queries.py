@@ -30,7 +30,9 @@ _QUERIES: dict[str, Query] = {}
 
 def _query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+            spark = spark.newSession()
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
         return fn(spark, sf_dir)
 
     _QUERIES[fn.__name__] = run
@@ -103,8 +105,10 @@ def _stored(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 
 
 def _slices(df: DataFrame, column: str, n: int = 2) -> list[DataFrame]:
-    """``df`` in ``n`` parts of ascending ``column``; a filter on the stored column each."""
+    """``df`` in ``n`` parts of ascending ``column``; rows without a value are in the first."""
     low, high = df.agg(F.min(column), F.max(column)).first()
+    if low is None:
+        return [df, *[df.limit(0)] * (n - 1)]
     edges = [low + (high - low) * i / n for i in range(1, n)]
     if isinstance(low, int):
         edges = [int(e) for e in edges]
@@ -115,7 +119,8 @@ def _slices(df: DataFrame, column: str, n: int = 2) -> list[DataFrame]:
         if i > 0:
             part = part.filter(value >= F.lit(edges[i - 1]))
         if i < n - 1:
-            part = part.filter(value < F.lit(edges[i]))
+            below = value < F.lit(edges[i])
+            part = part.filter(below | value.isNull() if i == 0 else below)
         parts.append(part)
     return parts
 

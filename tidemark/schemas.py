@@ -6,42 +6,42 @@ from pyspark.sql import types as T
 
 # Row images as they appear inside change messages. Row times are raw epoch numbers.
 ROW_FIELDS = {
-    "customers": "id int, first_name string, last_name string, email string, "
+    "customers": "id bigint, first_name string, last_name string, email string, "
     "created_at bigint, updated_at bigint",
-    "customers_evolved": "id int, first_name string, last_name string, email string, "
+    "customers_evolved": "id bigint, first_name string, last_name string, email string, "
     "phone string, created_at bigint, updated_at bigint",
-    "products": "id int, name string, description string, price decimal(10,2), "
+    "products": "id bigint, name string, description string, price decimal(10,2), "
     "quantity_in_stock int, category string, created_at bigint, updated_at bigint",
-    "orders": "id int, customer_id int, total_amount decimal(10,2), status string, "
+    "orders": "id bigint, customer_id bigint, total_amount decimal(10,2), status string, "
     "order_date bigint, updated_at bigint",
-    "order_items": "id int, order_id int, product_id int, quantity int, "
+    "order_items": "id bigint, order_id bigint, product_id bigint, quantity int, "
     "unit_price decimal(10,2), created_at bigint",
-    "addresses": "id int, customer_id int, street_address string, city string, state string, "
+    "addresses": "id bigint, customer_id bigint, street_address string, city string, state string, "
     "postal_code string, country string, address_type string, "
     "created_at bigint, updated_at bigint",
 }
 
 # The same tables as stored, with timestamps.
 TABLE_SCHEMAS = {
-    "customers": "id int, first_name string, last_name string, email string, "
+    "customers": "id bigint, first_name string, last_name string, email string, "
     "created_at timestamp, updated_at timestamp",
-    "products": "id int, name string, description string, price decimal(10,2), "
+    "products": "id bigint, name string, description string, price decimal(10,2), "
     "quantity_in_stock int, category string, created_at timestamp, updated_at timestamp",
-    "orders": "id int, customer_id int, total_amount decimal(10,2), status string, "
+    "orders": "id bigint, customer_id bigint, total_amount decimal(10,2), status string, "
     "order_date timestamp, updated_at timestamp",
-    "order_items": "id int, order_id int, product_id int, quantity int, "
+    "order_items": "id bigint, order_id bigint, product_id bigint, quantity int, "
     "unit_price decimal(10,2), created_at timestamp",
-    "addresses": "id int, customer_id int, street_address string, city string, state string, "
+    "addresses": "id bigint, customer_id bigint, street_address string, city string, state string, "
     "postal_code string, country string, address_type string, "
     "created_at timestamp, updated_at timestamp",
 }
 
 # Sales staging and the raw sales it is filled from.
 RAW_SALES = (
-    "customer_id int, product_id int, quantity int, price decimal(10,2), created_at timestamp"
+    "customer_id bigint, product_id bigint, quantity int, price decimal(10,2), created_at timestamp"
 )
 STAGING_SALES = (
-    "customer_id int, product_id int, quantity int, price decimal(10,2), "
+    "customer_id bigint, product_id bigint, quantity int, price decimal(10,2), "
     "created_at timestamp, sale_date date"
 )
 DAILY_METRICS = (

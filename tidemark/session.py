@@ -17,6 +17,9 @@ BASE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Folders handed out, per application.
+_scratch: dict[str, list[str]] = {}
+
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -45,9 +48,24 @@ def build_session(
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh directory below ``spark.checkpoint.dir``, the folder all executors share.
 
-    Only where that setting is absent, as in a local test, is a temporary folder used.
+    Where that setting is absent, a local session uses a temporary folder; a cluster has none that
+    its machines share, so there it is an error. ``clear_scratch`` removes what a session left.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = tempfile.mkdtemp(prefix="tidemark-")
-    return f"{base.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders of this application, once their tables are no longer read."""
+    paths = _scratch.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for path in paths:
+        place = hadoop.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)

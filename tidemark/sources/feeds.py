@@ -70,7 +70,7 @@ def _record(
     if time is None:
         time = F.timestamp_millis(F.col("ts_ms"))
     return rows.select(
-        F.encode(_json(F.col("k").cast("int").alias("id")), "UTF-8").alias("key"),
+        F.encode(_json(F.col("k").cast("bigint").alias("id")), "UTF-8").alias("key"),
         F.encode(value, "UTF-8").alias("value"),
         F.lit(topic_name(table)).alias("topic"),
         F.pmod(F.col("k"), F.lit(PARTITIONS)).cast("int").alias("partition"),
@@ -116,7 +116,7 @@ def customer_feed(customer: DataFrame) -> DataFrame:
 
     def image(present: Column, email: str) -> Column:
         common = [
-            F.col("k").cast("int").alias("id"),
+            F.col("k").cast("bigint").alias("id"),
             F.col("first_name"),
             F.col("last_name"),
             F.col(email).alias("email"),
@@ -156,7 +156,7 @@ def product_feed(part: DataFrame) -> DataFrame:
     def image(present: Column, side: str) -> Column:
         return _image(
             present,
-            F.col("k").cast("int").alias("id"),
+            F.col("k").cast("bigint").alias("id"),
             F.col("p_name").alias("name"),
             F.lit(None).cast("string").alias("description"),
             F.col(f"{side}_price").alias("price"),
@@ -190,8 +190,8 @@ def order_feed(orders: DataFrame) -> DataFrame:
     def image(present: Column) -> Column:
         return _image(
             present,
-            F.col("k").cast("int").alias("id"),
-            F.col("o_custkey").cast("int").alias("customer_id"),
+            F.col("k").cast("bigint").alias("id"),
+            F.col("o_custkey").cast("bigint").alias("customer_id"),
             F.col("total").alias("total_amount"),
             F.col("o_orderstatus").alias("status"),
             F.col("ts_ms").alias("order_date"),
@@ -221,7 +221,7 @@ def customer_history_feed(orders: DataFrame) -> DataFrame:
     def image(present: Column) -> Column:
         return _image(
             present,
-            F.col("k").cast("int").alias("id"),
+            F.col("k").cast("bigint").alias("id"),
             F.col("o_orderstatus").alias("first_name"),
             F.col("o_orderpriority").alias("last_name"),
             F.concat(F.lit("order."), F.col("seq").cast("string"), F.lit("@example.com")).alias(
@@ -247,7 +247,7 @@ def event_feed(events: DataFrame) -> DataFrame:
         "user_id",
         "value",
     ).withColumn("ts_ms", F.unix_millis("ts"))
-    after = F.struct(F.col("k").cast("int").alias("id"), "user_id", "value")
+    after = F.struct(F.col("k").cast("bigint").alias("id"), "user_id", "value")
     body = _body("events", F.lit(None).cast("string"), after)
     return _record(rows, "events", _json(*body), F.col("ts"))
 
@@ -276,25 +276,25 @@ def stored_tables(test_tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     orders, lineitem = test_tables["orders"], test_tables["lineitem"]
     return {
         "customers": customer.select(
-            F.col("c_custkey").cast("int").alias("id"),
+            F.col("c_custkey").cast("bigint").alias("id"),
             F.col("c_mktsegment").alias("first_name"),
             F.col("c_name").alias("last_name"),
             F.lower("c_name").alias("email"),
         ),
         "products": part.select(
-            F.col("p_partkey").cast("int").alias("id"),
+            F.col("p_partkey").cast("bigint").alias("id"),
             F.col("p_name").alias("name"),
             F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
         ),
         "orders": orders.select(
-            F.col("o_orderkey").cast("int").alias("id"),
-            F.col("o_custkey").cast("int").alias("customer_id"),
+            F.col("o_orderkey").cast("bigint").alias("id"),
+            F.col("o_custkey").cast("bigint").alias("customer_id"),
             F.col("o_totalprice").cast("decimal(10,2)").alias("total_amount"),
         ),
         "order_items": lineitem.select(
             (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
-            F.col("l_orderkey").cast("int").alias("order_id"),
-            F.col("l_partkey").cast("int").alias("product_id"),
+            F.col("l_orderkey").cast("bigint").alias("order_id"),
+            F.col("l_partkey").cast("bigint").alias("product_id"),
             F.col("l_quantity").cast("int").alias("quantity"),
             F.col("l_extendedprice").cast("decimal(10,2)").alias("unit_price"),
         ),
@@ -304,8 +304,8 @@ def stored_tables(test_tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def raw_sales(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Order lines with their order's customer and time, in the raw sales layout."""
     return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_custkey").cast("int").alias("customer_id"),
-        F.col("l_partkey").cast("int").alias("product_id"),
+        F.col("o_custkey").cast("bigint").alias("customer_id"),
+        F.col("l_partkey").cast("bigint").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").cast("decimal(10,2)").alias("price"),
         F.col("o_orderdate").cast("timestamp").alias("created_at"),
