@@ -87,17 +87,45 @@ def test_daily_run_repeats_without_doubling(spark, raw, out):
         report = daily_sales.run_day(spark, raw, out, "2024-01-01")
     assert rows(report) == [(dt.date(2024, 1, 1), 2, D("10.10"), 5.05, 1)]
     daily_sales.run_day(spark, raw, out, "2024-01-09")
-    assert tables.read_staging(spark, out + "/staging_sales").count() == 3
+    staged = tables.read_staging(spark, out + "/staging_sales")
+    assert rows(staged.select("sale_date")) == [(dt.date(2024, 1, 9),)]
     assert rows(tables.read_metrics(spark, out + "/daily_metrics").select("sale_date")) == [
         (dt.date(2024, 1, 1),),
         (dt.date(2024, 1, 9),),
     ]
-    recent = tables._read(spark, out + "/staging_recent", schemas.STAGING_SALES)
-    assert rows(recent.select("sale_date")) == [(dt.date(2024, 1, 9),)]
     archived = spark.read.parquet(out + "/archive/2024-01-09")
     assert archived.count() == 2
 
 
+@pytest.mark.parametrize("grain", ["day", "month", "year"])
+def test_single_days_keep_the_others_at_any_grain(spark, raw, out, grain):
+    for n in (1, 2, 2):
+        report = daily_sales.run_day(spark, raw, out, dt.date(2024, 1, n), grain=grain)
+    assert [r["sale_date"].day for r in report.collect()] == [1, 2]
+    assert tables.read_staging(spark, out + "/staging_sales").count() == 3
+    none = raw.filter("customer_id <> 2")
+    report = daily_sales.run_day(spark, none, out, "2024-01-02", grain=grain)
+    assert [r["sale_date"].day for r in report.collect()] == [1]
+    assert tables.read_staging(spark, out + "/staging_sales").count() == 2
+    report = daily_sales.run_day(spark, raw, out, "2024-01-09", grain=grain)
+    assert [r["sale_date"].day for r in report.collect()] == [1, 9]
+    staged = tables.read_staging(spark, out + "/staging_sales")
+    assert rows(staged.select("sale_date")) == [(dt.date(2024, 1, 9),)]
+
+
+def test_cleanup_drops_periods_without_reading_them(spark, raw, out):
+    tables.append_staging(sales.extract_daily_sales(raw), out + "/s", "day")
+    assert len(tables.periods(spark, out + "/s")) == 3
+    tables.drop_before(spark, out + "/s", schemas.STAGING_SALES, dt.date(2024, 1, 2))
+    assert tables.periods(spark, out + "/s") == [dt.date(2024, 1, 2), dt.date(2024, 1, 9)]
+
+
+def test_gate_stops_the_run(spark, raw, out):
+    with pytest.raises(ValueError, match="too few records: 2"):
+        daily_sales.run_day(spark, raw, out, "2024-01-01", minimum=3)
+    assert not Path(out, "daily_metrics").exists()
+
+
 def test_coarser_grain_replaces_its_periods(spark, raw, out):
     staging = sales.extract_daily_sales(raw)
     for _ in range(2):

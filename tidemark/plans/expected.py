@@ -345,7 +345,10 @@ UNION ALL SELECT 'gained rows', 0
 UNION ALL SELECT 'undated rows', count(*) - count(created_at) FROM raw
 """,
     "daily_report": REPORT,
-    "daily_sales_run": REPORT,
+    "daily_sales_run": f"""
+SELECT * FROM ({REPORT})
+WHERE sale_date < (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)
+""",
     "cohort_retention": f"""
 WITH {COHORTS}
 SELECT signup_date, day_diff, retained_users, cohort_size,

@@ -8,6 +8,7 @@ from its checkpoint, with state and watermark carried over.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -510,11 +511,16 @@ def daily_report(spark: SparkSession, d: str) -> DataFrame:
 
 @_query
 def daily_sales_run(spark: SparkSession, d: str) -> DataFrame:
+    """A backfill by month, then runs of single days: the last three, and again the last, by then
+    without sales.
+    """
     base = scratch_dir(spark, "daily-sales")
-    last_day = _last_order_day(spark, d)
-    return daily_sales.run_day(
-        spark, _raw(spark, d), base, last_day, backfill=True, grain="month"
-    )
+    last_day, raw = _last_order_day(spark, d), _raw(spark, d)
+    daily_sales.run_day(spark, raw, base, last_day, backfill=True, grain="month")
+    for back in (2, 1, 0):
+        daily_sales.run_day(spark, raw, base, last_day - dt.timedelta(days=back), grain="month")
+    gone = raw.filter(F.to_date("created_at") < F.lit(last_day))
+    return daily_sales.run_day(spark, gone, base, last_day, grain="month")
 
 
 @_query

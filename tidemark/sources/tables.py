@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+from collections.abc import Sequence
+
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
 
@@ -27,21 +32,39 @@ def create_staging(spark: SparkSession, name: str, location: str | None = None)
     )
 
 
-def write_periods(df: DataFrame, path: str, grain: str = "day") -> None:
-    """Replace exactly the periods that occur in ``df``; all others stay.
+def _period(column: Column | str, grain: str) -> Column:
+    return F.trunc(column, grain) if grain != "day" else F.col(column)
 
-    With ``grain="day"`` the table is partitioned by ``sale_date``. A long history with few sales a
-    day is better kept by ``"month"`` or ``"year"`` (partition ``sale_period``); a run must then
-    bring whole months or years, since it replaces them whole. Rows are in day order within a file
-    either way, so a filter on ``sale_date`` skips row groups.
 
-    Rebalancing lets adaptive execution pack small periods together and split a large one over
-    several tasks, so neither many tiny files nor one oversized task results.
-    """
-    period = "sale_date"
+def _partition(grain: str) -> str:
+    return "sale_date" if grain == "day" else "sale_period"
+
+
+def _place(spark: SparkSession, path: str):
+    """File system and path object of a folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def periods(spark: SparkSession, path: str, grain: str = "day") -> list[dt.date]:
+    """The stored periods, from the folder names alone."""
+    files, place = _place(spark, path)
+    if not files.exists(place):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(place)]
+    marks = [n.removeprefix(f"{_partition(grain)}=") for n in names if n.startswith(f"{_partition(grain)}=")]
+    return sorted(dt.date.fromisoformat(m) for m in marks)
+
+
+def _drop(spark: SparkSession, path: str, grain: str, period: dt.date) -> None:
+    files, place = _place(spark, f"{path}/{_partition(grain)}={period.isoformat()}")
+    files.delete(place, True)
+
+
+def _overwrite_periods(df: DataFrame, path: str, grain: str) -> None:
+    period = _partition(grain)
     if grain != "day":
-        period = "sale_period"
-        df = df.withColumn(period, F.trunc("sale_date", grain))
+        df = df.withColumn(period, _period("sale_date", grain))
     (
         df.hint("rebalance", period)
         .sortWithinPartitions(*dict.fromkeys([period, "sale_date"]))
@@ -52,23 +75,91 @@ def write_periods(df: DataFrame, path: str, grain: str = "day") -> None:
     )
 
 
+def write_periods(
+    df: DataFrame, path: str, grain: str = "day", days: Sequence[dt.date] | None = None
+) -> None:
+    """Replace the days given, or without them exactly the periods that occur in ``df``.
+
+    With ``grain="day"`` the table is partitioned by ``sale_date``. A long history with few sales a
+    day is better kept by ``"month"`` or ``"year"`` (partition ``sale_period``). A run for single days
+    must name them: the other days of their periods are then kept, and a day that ``df`` has no rows
+    for is emptied. Rows are in day order within a file either way, so a filter on ``sale_date`` skips
+    row groups.
+
+    Rebalancing lets adaptive execution pack small periods together and split a large one over
+    several tasks, so neither many tiny files nor one oversized task results.
+    """
+    if days is None:
+        return _overwrite_periods(df, path, grain)
+    spark = df.sparkSession
+    first = {d: _first_day(d, grain) for d in days}
+    touched = sorted(set(first.values()) & set(periods(spark, path, grain)))
+    new = df.filter(F.col("sale_date").isin(list(days)))
+    if touched and grain != "day":
+        stored = spark.read.schema(_with_period(df.schema)).parquet(path)
+        others = stored.filter(F.col("sale_period").isin(touched) & ~F.col("sale_date").isin(list(days)))
+        # Read to the end before its own folders are replaced.
+        new = new.unionByName(others.select(*df.columns)).persist(StorageLevel.DISK_ONLY_2)
+    present = {r[0] for r in new.select(_period("sale_date", grain)).distinct().collect()}
+    if present:
+        _overwrite_periods(new, path, grain)
+    for period in touched:
+        if period not in present:
+            _drop(spark, path, grain, period)
+    if touched and grain != "day":
+        new.unpersist()
+
+
+def _with_period(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("sale_period", T.DateType())])
+
+
+def _first_day(day: dt.date, grain: str) -> dt.date:
+    if grain == "year":
+        return day.replace(month=1, day=1)
+    return day.replace(day=1) if grain == "month" else day
+
+
+def drop_before(spark: SparkSession, path: str, ddl: str, day: dt.date, grain: str = "day") -> None:
+    """Remove the stored days before ``day``: whole periods by their folders, without reading them; of
+    the period that holds ``day``, the later days are written anew.
+    """
+    for period in periods(spark, path, grain):
+        if period < _first_day(day, grain):
+            _drop(spark, path, grain, period)
+    holding = _first_day(day, grain)
+    if grain != "day" and holding < day and holding in periods(spark, path, grain):
+        stored = spark.read.schema(_with_period(schemas.struct(ddl))).parquet(path)
+        kept = stored.filter((F.col("sale_period") == F.lit(holding)) & (F.col("sale_date") >= F.lit(day)))
+        kept = kept.drop("sale_period").persist(StorageLevel.DISK_ONLY_2)
+        if kept.isEmpty():
+            _drop(spark, path, grain, holding)
+        else:
+            _overwrite_periods(kept, path, grain)
+        kept.unpersist()
+
+
 def _read(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     schema = schemas.struct(ddl)
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
-def append_staging(df: DataFrame, path: str, grain: str = "day") -> None:
+def append_staging(
+    df: DataFrame, path: str, grain: str = "day", days: Sequence[dt.date] | None = None
+) -> None:
     """Add extracted sales; extracting a period again replaces it instead of doubling it."""
-    write_periods(df, path, grain)
+    write_periods(df, path, grain, days)
 
 
 def read_staging(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, schemas.STAGING_SALES)
 
 
-def write_metrics(df: DataFrame, path: str, grain: str = "day") -> None:
-    """Store daily metrics, replacing the periods present."""
-    write_periods(df, path, grain)
+def write_metrics(
+    df: DataFrame, path: str, grain: str = "day", days: Sequence[dt.date] | None = None
+) -> None:
+    """Store daily metrics, replacing the periods present or the days given."""
+    write_periods(df, path, grain, days)
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
@@ -78,14 +169,3 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
 def archive_metrics(df: DataFrame, path: str) -> None:
     """Full backup copy of the metrics."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-
-
-def replace_table(df: DataFrame, path: str, day: str = "sale_date") -> None:
-    """Write ``df`` as the whole content of ``path``, which must not be one of its inputs."""
-    (
-        df.hint("rebalance", day)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(day)
-        .parquet(path)
-    )
