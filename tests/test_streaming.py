@@ -102,9 +102,9 @@ def test_state_is_sized_for_the_query_alone(spark, out):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     arrive(spark, f"{out}/feed", [((1, 1), "u")])
     stream = replay.replay_stream(spark, f"{out}/feed")
-    runner.drain(monitor.watch_metrics(stream, f"{out}/m", f"{out}/cp"))
+    runner.drain(monitor.watch_metrics(stream, f"{out}/m", f"{out}/cp", state_partitions=6))
     state = [p for p in Path(f"{out}/cp/state/0").iterdir() if p.name.isdigit()]
-    assert len(state) == monitor.STATE_PARTITIONS != int(before)
+    assert len(state) == 6 != int(before)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
@@ -136,6 +136,37 @@ def test_failed_batch_is_done_again_without_repeats(spark, out):
     assert sinks.read_batches(spark, f"{out}/t", "operation string").count() == 10
 
 
+def test_another_checkpoint_on_an_output_is_refused(spark, out):
+    def run(checkpoint):
+        ops = parse.topic_ops(replay.replay_stream(spark, f"{out}/feed")).select("operation")
+        runner.drain(runner.run_stream(ops, sinks.batch_table(f"{out}/t"), checkpoint))
+
+    arrive(spark, f"{out}/feed", [((1, s), "u") for s in range(10)])
+    run(f"{out}/cp")
+    arrive(spark, f"{out}/feed", [((2, s), "u") for s in range(5)])
+    with pytest.raises(Exception, match="holds results of query"):
+        run(f"{out}/other")
+    assert sinks.read_batches(spark, f"{out}/t", "operation string").count() == 10
+    run(f"{out}/cp")
+    assert sinks.read_batches(spark, f"{out}/t", "operation string").count() == 15
+
+
+def test_folding_batches_keeps_every_row(spark, out):
+    def run():
+        ops = parse.topic_ops(replay.replay_stream(spark, f"{out}/feed")).select("timestamp")
+        runner.drain(runner.run_stream(ops, sinks.batch_table(f"{out}/t"), f"{out}/cp"))
+
+    ddl = "timestamp timestamp"
+    for n in range(5):
+        arrive(spark, f"{out}/feed", [((n, s), "u") for s in range(10)])
+        run()
+        before = rows(sinks.read_batches(spark, f"{out}/t", ddl))
+        if n % 2:
+            assert sinks.fold_batches(spark, f"{out}/t", ddl) == n - 1
+            assert rows(sinks.read_batches(spark, f"{out}/t", ddl)) == before
+    assert len(before) == 50 and len(list(Path(f"{out}/t").glob("batch_id=*"))) == 2
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "json"])
 def test_stream_equals_batch(spark, out, fmt):
     part = spark.read.parquet(f"{SF_DIR}/part.parquet")
@@ -177,8 +208,15 @@ def test_topics_are_selected(spark, out):
 
 def test_running_queries_are_awaited_and_stopped(spark, out):
     arrive(spark, f"{out}/feed", [((0, 1), "c")], topic="shop.sales.customers", table="customers")
-    stream = replay.replay_stream(spark, f"{out}/feed")
-    started = monitor.run_all(stream, f"{out}/o", f"{out}/cp", every="1 second")
+    asked = []
+
+    def subscribe(topics):
+        asked.append(topics)
+        return replay.replay_stream(spark, f"{out}/feed", topics)
+
+    started = monitor.run_all(subscribe, f"{out}/o", f"{out}/cp", every="1 second")
+    own = ["shop.sales.customers"], ["shop.sales.products"]
+    assert asked == [*own, ["shop.sales.customers", "shop.sales.products", "shop.sales.orders"]]
     assert {q.name for q in started} == {"customers", "products", "metrics"}
     runner.await_first(spark, timeout=1)
     for query in started:
@@ -236,7 +274,7 @@ def test_state_in_rocksdb(spark, out):
             runner.drain(monitor.watch_stats(stream, f"{out}/m", f"{out}/cp"))
     finally:
         spark.conf.unset(key)
-    stats = spark.read.schema(schemas.struct(monitor.STATS)).parquet(f"{out}/m")
+    stats = monitor.current_stats(spark, f"{out}/m")
     assert counted(stats) == [("01", "u", 2)]
 
 

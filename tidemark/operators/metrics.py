@@ -39,11 +39,6 @@ def op_stats(
     return stats.orderBy("window_start") if ordered else stats
 
 
-def sorted_metrics(batch: DataFrame) -> DataFrame:
-    """One micro-batch of metrics in reading order."""
-    return batch.orderBy("window_start", "table_name")
-
-
 def sorted_stats(batch: DataFrame) -> DataFrame:
     """All windows of a complete-mode micro-batch in time order.
 

@@ -172,9 +172,9 @@ FROM orders GROUP BY o_orderstatus
 """,
     "run_stream": f"""
 WITH {PRODUCTS}
-SELECT 'changes' AS result, count(*) AS row_count FROM p
-UNION ALL SELECT 'restock', count(*) FROM p
-  WHERE op = 'u' AND old_stock >= 10 AND new_stock < 10
+SELECT 'op_counts' AS result, op || '|' || count(*) AS "row" FROM p GROUP BY op
+UNION ALL SELECT 'restock', concat_ws('|', id, name, old_stock, new_stock, new_stock - old_stock)
+  FROM p WHERE op = 'u' AND old_stock >= 10 AND new_stock < 10
 """,
     "append_staging": f"WITH {RAW_SALES} SELECT * FROM raw",
     "write_metrics": f"WITH {DAILY} SELECT * FROM daily",
@@ -311,12 +311,18 @@ GROUP BY ALL
 """,
     "run_all": f"""
 WITH {ALL_CHANGES}
-SELECT 'inserted' AS result, count(*) AS row_count FROM c WHERE op IN ('c', 'r')
-UNION ALL SELECT 'email_changes', count(*) FROM c WHERE op = 'u' AND old_email <> new_email
-UNION ALL SELECT 'price_changes', count(*) FROM p WHERE op = 'u' AND old_price <> new_price
-UNION ALL SELECT 'stock_changes', count(*) FROM p WHERE op = 'u' AND old_stock <> new_stock
-UNION ALL SELECT 'metrics', count(*)
-  FROM (SELECT DISTINCT date_trunc('minute', ts), table_name, op FROM a)
+SELECT 'inserted' AS result,
+  concat_ws('|', id, first_name, last_name, new_email, created_at, ts_ms) AS "row"
+FROM c WHERE op IN ('c', 'r')
+UNION ALL SELECT 'email_changes', concat_ws('|', id, first_name, last_name, old_email, new_email)
+  FROM c WHERE op = 'u' AND old_email <> new_email
+UNION ALL SELECT 'price_changes', concat_ws('|', id, name, old_price, new_price)
+  FROM p WHERE op = 'u' AND old_price <> new_price
+UNION ALL SELECT 'stock_changes', concat_ws('|', id, name, old_stock, new_stock, new_stock - old_stock)
+  FROM p WHERE op = 'u' AND old_stock <> new_stock
+UNION ALL SELECT 'metrics', concat_ws('|', minute, table_name, op, count(*))
+  FROM (SELECT strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M') AS minute, table_name, op FROM a)
+  GROUP BY minute, table_name, op
 """,
     # ---- sales, retention, quality
     "staging_sales": f"WITH {RAW_SALES} SELECT * FROM raw",

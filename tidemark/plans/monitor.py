@@ -5,6 +5,8 @@ Each takes records (from Kafka or a replay directory), an output folder and a ch
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,12 +14,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark import schemas
 from tidemark.operators import changes as ch
 from tidemark.operators import insight, metrics, parse
-from tidemark.sources.feeds import topic_name
 from tidemark.streaming import runner, sinks
 
-# Counts are folded per task before they meet the state, so what arrives is one row per task, window,
-# table and operation, whatever the number of changes.
-STATE_PARTITIONS = 8
+TOPIC_PREFIX = "shop.sales"
 
 METRICS = (
     "window_start timestamp, window_end timestamp, table_name string, operation string, "
@@ -107,11 +106,20 @@ def watch_orders(
 
 
 def watch_metrics(
-    records: DataFrame, out: str, checkpoint: str, every: str | None = None
+    records: DataFrame,
+    out: str,
+    checkpoint: str,
+    every: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Counts per minute, table and operation, in update mode."""
+    """Counts per minute, table and operation, in update mode; to be sorted by whoever reads them.
+
+    Counts are folded per task before they meet the state, so what arrives there is one row per
+    task, window, table and operation. ``state_partitions`` (the session's shuffle partitions, if not
+    given) is fixed by the first run on a checkpoint.
+    """
     counts = metrics.change_metrics(parse.topic_ops(records))
-    write = sinks.batch_table(out, metrics.sorted_metrics)
+    write = sinks.batch_table(out)
     return runner.run_stream(
         counts,
         write,
@@ -119,24 +127,34 @@ def watch_metrics(
         mode="update",
         every=every,
         name="metrics",
-        state_partitions=STATE_PARTITIONS,
+        state_partitions=state_partitions,
     )
 
 
 def watch_stats(
-    records: DataFrame, out: str, checkpoint: str, every: str | None = None
+    records: DataFrame,
+    out: str,
+    checkpoint: str,
+    every: str | None = None,
+    state_partitions: int | None = None,
+    complete: bool = False,
 ) -> StreamingQuery:
-    """Counts per minute and operation since the start, in complete mode."""
+    """Counts per minute and operation, in update mode: windows that are over leave the state.
+
+    With ``complete`` every window since the start is kept, counted however late, and written anew
+    at each trigger; read that with ``sinks.latest_table``. Its state grows without bound, so the
+    session should keep it in the RocksDB store.
+    """
     stats = metrics.op_stats(parse.topic_ops(records), ordered=False)
-    write = sinks.whole_table(out, metrics.sorted_stats)
+    write = sinks.whole_table(out, metrics.sorted_stats) if complete else sinks.batch_table(out)
     return runner.run_stream(
         stats,
         write,
         checkpoint,
-        mode="complete",
+        mode="complete" if complete else "update",
         every=every,
         name="stats",
-        state_partitions=STATE_PARTITIONS,
+        state_partitions=state_partitions,
     )
 
 
@@ -147,7 +165,7 @@ def keep_change_log(
     every: str | None = None,
     grain: str = "day",
 ) -> StreamingQuery:
-    """Append every change to a table partitioned by batch, table and event date.
+    """Append every change to a table partitioned by table, event date and batch.
 
     For a replay of a long, thin history, ``grain`` "month" or "year" keeps the folders few.
     """
@@ -157,34 +175,34 @@ def keep_change_log(
     if grain != "day":
         period = "event_period"
         logged = logged.withColumn(period, F.trunc("event_date", grain))
-    write = sinks.batch_table(out, partition_by=["table_name", period])
+    write = sinks.partitioned_table(out, ["table_name", period])
     return runner.run_stream(logged, write, checkpoint, every=every, name="change_log")
 
 
 def run_all(
-    records: DataFrame,
+    subscribe: Callable[[list[str]], DataFrame],
     out: str,
     checkpoint: str,
     every: str | None = None,
-    prefix: str | None = None,
+    prefix: str = TOPIC_PREFIX,
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Customer changes, product alerts and metrics side by side in one session.
 
+    ``subscribe`` gives the records of some topics. Each program subscribes to its own, so no message is
+    fetched by a program that has no use for it.
+
     Follow with ``runner.await_first``, so that the end of any of them is noticed; queries that
     ended before are forgotten here.
     """
-    records.sparkSession.streams.resetTerminated()
-    topics = {
-        t: topic_name(t, prefix) if prefix else topic_name(t)
-        for t in ("customers", "products", "orders")
-    }
-    customers = records.filter(F.col("topic") == topics["customers"])
-    products = records.filter(F.col("topic") == topics["products"])
-    watched = records.filter(F.col("topic").isin(list(topics.values())))
+    topics = {t: f"{prefix}.{t}" for t in ("customers", "products", "orders")}
+    customers, products = subscribe([topics["customers"]]), subscribe([topics["products"]])
+    watched = subscribe(list(topics.values()))
+    watched.sparkSession.streams.resetTerminated()
     return [
         watch_customers(customers, f"{out}/customers", f"{checkpoint}/customers", every),
         watch_products(products, f"{out}/products", f"{checkpoint}/products", every),
-        watch_metrics(watched, f"{out}/metrics", f"{checkpoint}/metrics", every),
+        watch_metrics(watched, f"{out}/metrics", f"{checkpoint}/metrics", every, state_partitions),
     ]
 
 
@@ -197,3 +215,8 @@ def current_metrics(spark: SparkSession, path: str) -> DataFrame:
     """The metrics table with each window's last count."""
     batches = sinks.read_batches(spark, path, METRICS)
     return metrics.latest_metrics(batches, ["table_name", "operation"])
+
+
+def current_stats(spark: SparkSession, path: str) -> DataFrame:
+    """The table of update-mode stats with each window's last count."""
+    return metrics.latest_metrics(sinks.read_batches(spark, path, STATS), ["operation"])

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,9 @@ from tidemark.streaming import runner, sinks
 Query = Callable[[SparkSession, str], DataFrame]
 Start = Callable[[DataFrame, str, str], StreamingQuery | list[StreamingQuery]]
 
+# The windowed counts of the test streams need little state.
+STATE_PARTITIONS = 8
+
 _QUERIES: dict[str, Query] = {}
 
 
@@ -132,13 +136,15 @@ def _replayed(
     arrivals: list[DataFrame],
     start: Start,
     topics: str | None = None,
+    by_topic: bool = False,
 ) -> str:
     """Let records arrive slice by slice, run the stream after each, and return its output folder."""
     base = scratch_dir(spark, label)
     for records in arrivals:
         replay.write_records(records, f"{base}/feed")
-        stream = replay.replay_stream(spark, f"{base}/feed", topics)
-        started = start(stream, f"{base}/out", f"{base}/checkpoint")
+        subscribe = partial(replay.replay_stream, spark, f"{base}/feed")
+        records = subscribe if by_topic else subscribe(topics)
+        started = start(records, f"{base}/out", f"{base}/checkpoint")
         for query in started if isinstance(started, list) else [started]:
             runner.drain(query)
     return f"{base}/out"
@@ -217,13 +223,9 @@ def run_stream(spark: SparkSession, d: str) -> DataFrame:
 
     out = _replayed(spark, "run-stream", _product_arrivals(spark, d), start)
     counted = sinks.read_batches(spark, f"{out}/op_counts", monitor.OP_COUNTS)
-    alerts = sinks.read_batches(spark, f"{out}/restock", monitor.STOCK_CHANGES)
-    per_result = counted.agg(F.sum("change_count").alias("row_count")).withColumn(
-        "result", F.lit("changes")
-    )
-    return per_result.unionByName(
-        alerts.agg(F.count(F.lit(1)).alias("row_count")).withColumn("result", F.lit("restock"))
-    )
+    alerts = sinks.read_batches(spark, f"{out}/restock", monitor.STOCK_CHANGES).drop("batch_id")
+    counts = counted.groupBy("operation").agg(F.sum("change_count").alias("change_count"))
+    return _as_text({"op_counts": counts, "restock": alerts})
 
 
 @_query
@@ -428,7 +430,8 @@ def batch_volume(spark: SparkSession, d: str) -> DataFrame:
 
 @_query
 def change_metrics(spark: SparkSession, d: str) -> DataFrame:
-    out = _replayed(spark, "metrics-stream", _mixed_arrivals(spark, d), monitor.watch_metrics)
+    watch = partial(monitor.watch_metrics, state_partitions=STATE_PARTITIONS)
+    out = _replayed(spark, "metrics-stream", _mixed_arrivals(spark, d), watch)
     return monitor.current_metrics(spark, out)
 
 
@@ -440,8 +443,8 @@ def change_metrics_history(spark: SparkSession, d: str) -> DataFrame:
 @_query
 def op_stats(spark: SparkSession, d: str) -> DataFrame:
     arrivals = [feeds.event_feed(p) for p in _slices(_t(spark, d, "events"), "ts")]
-    out = _replayed(spark, "stats-stream", arrivals, monitor.watch_stats)
-    return spark.read.schema(schemas.struct(monitor.STATS)).parquet(out)
+    watch = partial(monitor.watch_stats, state_partitions=STATE_PARTITIONS)
+    return monitor.current_stats(spark, _replayed(spark, "stats-stream", arrivals, watch))
 
 
 @_query
@@ -452,27 +455,39 @@ def late_changes(spark: SparkSession, d: str) -> DataFrame:
     orders = _t(spark, d, "orders")
     late = F.col("o_orderkey") % 4 == 0
     arrivals = [feeds.order_feed(orders.filter(~late)), feeds.order_feed(orders.filter(late))]
-    out = _replayed(spark, "late-stream", arrivals, monitor.watch_metrics)
+    watch = partial(monitor.watch_metrics, state_partitions=STATE_PARTITIONS)
+    out = _replayed(spark, "late-stream", arrivals, watch)
     return monitor.current_metrics(spark, out)
 
 
 @_query
 def run_all(spark: SparkSession, d: str) -> DataFrame:
-    """The three monitoring queries side by side; rows per result."""
-    out = _replayed(spark, "all", _mixed_arrivals(spark, d), monitor.run_all)
+    """The three monitoring queries side by side; the rows of their results, as text."""
+    watch = partial(monitor.run_all, state_partitions=STATE_PARTITIONS)
+    out = _replayed(spark, "all", _mixed_arrivals(spark, d), watch, by_topic=True)
     results = {
         "inserted": (f"{out}/customers/inserted", monitor.INSERTED),
         "email_changes": (f"{out}/customers/email_changes", monitor.EMAIL_CHANGES),
         "price_changes": (f"{out}/products/price_changes", monitor.PRICE_CHANGES),
         "stock_changes": (f"{out}/products/stock_changes", monitor.STOCK_CHANGES),
     }
-    frames = {n: sinks.read_batches(spark, p, ddl) for n, (p, ddl) in results.items()}
-    frames["metrics"] = monitor.current_metrics(spark, f"{out}/metrics")
-    counted = None
-    for name, df in frames.items():
-        row = df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("result", F.lit(name))
-        counted = row if counted is None else counted.unionByName(row)
-    return counted
+    frames = {n: sinks.read_batches(spark, p, ddl).drop("batch_id") for n, (p, ddl) in results.items()}
+    metrics_ = monitor.current_metrics(spark, f"{out}/metrics")
+    minute = F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("minute")
+    frames["metrics"] = metrics_.select(minute, "table_name", "operation", "change_count")
+    return _as_text(frames)
+
+
+def _as_text(frames: dict[str, DataFrame]) -> DataFrame:
+    """result and row: every row of every frame, its values joined."""
+    stacked = [
+        df.select(
+            F.lit(name).alias("result"),
+            F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]).alias("row"),
+        )
+        for name, df in frames.items()
+    ]
+    return reduce(DataFrame.unionByName, stacked)
 
 
 # ---- sales, retention, quality --------------------------------------------------------------

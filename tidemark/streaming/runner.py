@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.streaming import sinks
 from tidemark.streaming.sinks import BatchFunction
 
 
@@ -26,25 +28,50 @@ def run_stream(
     batch. ``mode`` is append, update or complete. ``every`` is a trigger interval such as
     ``"10 seconds"``; without it the query works off what is available and ends.
 
+    The output of ``write`` is claimed for the query before its first batch; see ``sinks.claim``.
+
     ``state_partitions`` sizes the state of an aggregating query, which is fixed when the checkpoint
     is made and which adaptive execution does not resize. The session's shuffle partitions, made for
     large batch shuffles, would cost as many state files per micro-batch.
     """
-    writer = (
-        df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
-    )
+    started, query_id = threading.Event(), []
+    output = getattr(write, "output", None)
+
+    def owned(batch: DataFrame, batch_id: int) -> None:
+        started.wait()
+        if output and query_id:
+            sinks.claim(batch.sparkSession, output, query_id[0])
+        write(batch, batch_id)
+
+    writer = df.writeStream.outputMode(mode).foreachBatch(owned).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    if state_partitions is None:
-        return writer.start()
-    with _shuffle_partitions(df.sparkSession, state_partitions):
-        return writer.start()
+    try:
+        if state_partitions is None:
+            query = writer.start()
+        else:
+            with _shuffle_partitions(df.sparkSession, state_partitions):
+                query = writer.start()
+        query_id.append(query.id)
+    finally:
+        started.set()
+    return query
 
 
 @contextmanager
 def _shuffle_partitions(spark: SparkSession, n: int) -> Iterator[None]:
-    """A query copies the session's settings as it starts, so this reaches that query only."""
+    """A query copies the session's settings as it starts, so this reaches that query only. Starts of
+    sized queries wait for each other; other threads should not plan on this session meanwhile.
+    """
+    with _starting:
+        yield from _set_partitions(spark, n)
+
+
+_starting = threading.Lock()
+
+
+def _set_partitions(spark: SparkSession, n: int) -> Iterator[None]:
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", n)
     try:

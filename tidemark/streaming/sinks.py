@@ -1,7 +1,9 @@
 """What a stream does with each micro-batch.
 
 A micro-batch may be delivered again after a failure, so every sink writes to a place of its own that
-a repeat overwrites: the folder ``batch_id=N`` of a result table, or the whole table.
+a repeat overwrites: the folder ``batch_id=N`` of a result table. Batch numbers start anew with each
+checkpoint, so an output belongs to the query that wrote it first; another one - a lost checkpoint, a
+changed query - is refused instead of overwriting its results.
 """
 
 from __future__ import annotations
@@ -11,11 +13,51 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 Transform = Callable[[DataFrame], DataFrame]
 BatchFunction = Callable[[DataFrame, int], None]
 
+_FOLDED = "__folded"
+
+
+class OutputTaken(RuntimeError):
+    """The output folder belongs to another query."""
+
+
+def _place(spark: SparkSession, path: str):
+    """File system and path object of a folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """N of the folders ``prefix=N`` below ``path``, in order."""
+    files, place = _place(spark, path)
+    if not files.exists(place):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(place)]
+    return sorted(int(n.removeprefix(f"{prefix}=")) for n in names if n.startswith(f"{prefix}="))
+
+
+def claim(spark: SparkSession, path: str, query_id: str) -> None:
+    """Make ``path`` the output of this query; OutputTaken if it is another's. The mark is a folder,
+    whose creation is atomic and which readers pass over.
+    """
+    files, place = _place(spark, f"{path}/_queries")
+    names = [s.getPath().getName() for s in files.listStatus(place)] if files.exists(place) else []
+    if not names:
+        files.mkdirs(_place(spark, f"{path}/_queries/{query_id}")[1])
+        names = [s.getPath().getName() for s in files.listStatus(place)]
+    if names != [query_id]:
+        raise OutputTaken(f"{path} holds results of query {names[0]}; start {query_id} on a folder of its own")
+
+
+def _for_output(write: BatchFunction, path: str) -> BatchFunction:
+    write.output = path
+    return write
+
 
 def _overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -54,39 +96,72 @@ def batch_tables(results: dict[str, Transform], base: str) -> BatchFunction:
             for name, transform in results.items():
                 _overwrite(transform(kept), f"{base}/{name}/batch_id={batch_id}")
 
-    return write
+    return _for_output(write, base)
 
 
-def batch_table(
-    path: str, transform: Transform | None = None, partition_by: Sequence[str] = ()
-) -> BatchFunction:
-    """Write a micro-batch to ``path/batch_id=N``, either transformed or partitioned further.
+def batch_table(path: str, transform: Transform | None = None) -> BatchFunction:
+    """Write a micro-batch to ``path/batch_id=N``, transformed if asked for.
 
-    With a ``transform`` the batch is kept meanwhile, since a sort reads its input twice.
+    With a ``transform`` the batch is kept meanwhile, since it may read its input twice.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         target = f"{path}/batch_id={batch_id}"
-        if transform:
-            with _kept(batch) as kept:
-                if not _skipped(kept, batch_id):
-                    _overwrite(transform(kept), target)
-        elif partition_by:
-            _overwrite(batch.hint("rebalance", *partition_by), target, partition_by)
-        else:
+        if not transform:
             _overwrite(batch, target)
+            return
+        with _kept(batch) as kept:
+            if not _skipped(kept, batch_id):
+                _overwrite(transform(kept), target)
 
-    return write
+    return _for_output(write, path)
+
+
+def partitioned_table(path: str, partition_by: Sequence[str]) -> BatchFunction:
+    """Write a micro-batch below ``path/<partition_by>/batch_id=N``: what reads one table and day visits
+    that folder alone. A repeated batch overwrites exactly its own leaf folders.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (
+            batch.hint("rebalance", *partition_by)
+            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partition_by, "batch_id")
+            .parquet(path)
+        )
+
+    return _for_output(write, path)
 
 
 def whole_table(path: str, transform: Transform) -> BatchFunction:
-    """Replace the table by the transformed micro-batch, for complete output mode."""
+    """Keep the last micro-batch, transformed, for complete output mode.
+
+    Each is written to a folder of its own; the one before goes when it is complete, so readers of
+    ``latest_table`` never meet a table that is gone or half written.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         with _kept(batch) as kept:
-            _overwrite(transform(kept), path)
+            _overwrite(transform(kept), f"{path}/version={batch_id}")
+        for old in _numbers(spark, path, "version"):
+            if old < batch_id:
+                files, place = _place(spark, f"{path}/version={old}")
+                files.delete(place, True)
 
-    return write
+    return _for_output(write, path)
+
+
+def latest_table(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """The table that ``whole_table`` wrote last and completely."""
+    complete = [
+        n
+        for n in _numbers(spark, path, "version")
+        if (found := _place(spark, f"{path}/version={n}/_SUCCESS"))[0].exists(found[1])
+    ]
+    return spark.read.schema(T.StructType.fromDDL(ddl)).parquet(f"{path}/version={complete[-1]}")
 
 
 def console(rows: int = 20) -> BatchFunction:
@@ -99,7 +174,36 @@ def console(rows: int = 20) -> BatchFunction:
     return show
 
 
+def _with_batch(ddl: str) -> T.StructType:
+    return T.StructType.fromDDL(ddl).add("batch_id", T.LongType())
+
+
 def read_batches(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """A result table with its ``batch_id``."""
-    schema = T.StructType.fromDDL(ddl).add("batch_id", T.LongType())
-    return spark.read.schema(schema).parquet(path)
+    """A result table with its ``batch_id``: the folded batches and those behind them."""
+    batches = spark.read.schema(_with_batch(ddl)).parquet(path)
+    folded = _numbers(spark, path + _FOLDED, "upto")
+    if not folded:
+        return batches
+    earlier = spark.read.schema(_with_batch(ddl)).parquet(f"{path}{_FOLDED}/upto={folded[-1]}")
+    return earlier.unionByName(batches.filter(F.col("batch_id") > folded[-1]))
+
+
+def fold_batches(spark: SparkSession, path: str, ddl: str) -> int:
+    """Gather all batches but the last, which may still be repeated, in one table beside ``path``; gives
+    the last batch folded, or -1. A stream of small batches is so kept readable: run it now and then.
+
+    Readers take batches up to the newest folded table from there alone, so nothing is lost or seen
+    twice if this ends at any point; the folders folded before go last.
+    """
+    done = _numbers(spark, path, "batch_id")[:-1]
+    if not done:
+        return -1
+    upto, target = done[-1], f"{path}{_FOLDED}"
+    rows = read_batches(spark, path, ddl).filter(F.col("batch_id") <= upto)
+    before = _numbers(spark, target, "upto")
+    _overwrite(rows.hint("rebalance"), f"{target}/_next")
+    files, written = _place(spark, f"{target}/_next")
+    files.rename(written, _place(spark, f"{target}/upto={upto}")[1])
+    for old in [f"{target}/upto={n}" for n in before] + [f"{path}/batch_id={n}" for n in done]:
+        files.delete(_place(spark, old)[1], True)
+    return upto
