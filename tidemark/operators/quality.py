@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Constraints of the captured tables. Every primary key is NOT NULL and unique.
@@ -86,56 +87,68 @@ def reconcile_order_totals(
     return compared.filter(~F.col("total_amount").eqNullSafe(F.col("line_total")))
 
 
-def _report(df: DataFrame, table: str, rule: str, column: str) -> DataFrame:
-    return df.select(
-        F.lit(table).alias("table_name"),
-        F.lit(rule).alias("rule"),
-        F.lit(column).alias("column_name"),
-        F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"),
-    )
-
-
-def missing_values(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    """NULLs per column, all columns of the table in one pass."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return counts.unpivot([], columns, "column_name", "violations").select(
-        F.lit(table).alias("table_name"), F.lit("not null").alias("rule"), "column_name", "violations"
-    )
+def _declared(names: Collection[str]) -> list[tuple[str, str, str]]:
+    """(table, rule, column) of every constraint that the tables given allow to check."""
+    out = []
+    for name in names:
+        out += [(name, "not null", c) for c in NOT_NULL[name]]
+        out += [(name, "unique", c) for c in UNIQUE[name]]
+        out += [(name, "foreign key", c) for c, p in FOREIGN_KEYS.get(name, {}).items() if p in names]
+    return out
 
 
-def repeated_values(df: DataFrame, table: str, column: str) -> DataFrame:
-    """Rows beyond the first of each value; NULLs do not count."""
-    per_value = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    extra = per_value.filter(F.col("n") > 1).agg(F.sum(F.col("n") - 1).alias("violations"))
-    return _report(extra, table, "unique", column)
+def _constrained_values(df: DataFrame, table: str, rules: list[tuple[str, str, str]]) -> DataFrame:
+    """A row per value that a rule speaks of, made in one scan: NULLs for "not null", else the values."""
 
+    def value(rule: str, column: str) -> Column:
+        wanted = F.col(column).isNull() if rule == "not null" else F.col(column).isNotNull()
+        named = F.struct(
+            F.lit(rule).alias("rule"),
+            F.lit(column).alias("column_name"),
+            F.col(column).cast("string").alias("value"),
+        )
+        return F.when(wanted, named)
 
-def orphans(child: DataFrame, table: str, column: str, parent: DataFrame) -> DataFrame:
-    """Rows whose reference names no parent.
-
-    References are counted per value first, so a value held by many rows meets the parents once.
-    """
-    references = (
-        child.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("id"))
-        .agg(F.count("*").alias("n"))
-    )
-    lost = references.join(parent.select("id"), "id", "left_anti")
-    return _report(lost.agg(F.sum("n").alias("violations")), table, "foreign key", column)
+    values = F.array_compact(F.array(*[value(rule, c) for _, rule, c in rules]))
+    return df.select(F.lit(table).alias("table_name"), F.inline(values))
 
 
 def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
     """table_name, rule, column_name and violations for every declared constraint of the tables
     given. A foreign key is checked when its parent is given too.
+
+    Each table is scanned once. Values are counted per rule, folded per task first, so a reference
+    held by very many rows is one row from then on. References meet the ids of their parents by one
+    more grouping, in which an id without a parent row is an orphan. Text forms of values are compared.
     """
-    checks = []
-    for name, df in tables.items():
-        checks.append(missing_values(df, name, NOT_NULL[name]))
-        checks += [repeated_values(df, name, column) for column in UNIQUE[name]]
-        for column, parent in FOREIGN_KEYS.get(name, {}).items():
-            if parent in tables:
-                checks.append(orphans(df, name, column, tables[parent]))
-    return _stack(checks)
+    rules = _declared(tables)
+    spark = next(iter(tables.values())).sparkSession
+    every = spark.createDataFrame(rules, "table_name string, rule string, column_name string")
+    counted = _stack(
+        [_constrained_values(df, name, [r for r in rules if r[0] == name]) for name, df in tables.items()]
+    )
+    keys = ["table_name", "rule", "column_name"]
+    counted = counted.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
+
+    beyond_first = F.when(F.col("rule") == "unique", F.col("n") - 1).otherwise(F.col("n"))
+    own = counted.filter("rule <> 'foreign key'").groupBy(*keys).agg(F.sum(beyond_first).alias("violations"))
+
+    parents = {(name, c): p for name in tables for c, p in FOREIGN_KEYS.get(name, {}).items()}
+    parent = F.lit(None).cast("string")
+    for (name, column), p in parents.items():
+        of = (F.col("table_name") == name) & (F.col("column_name") == column)
+        parent = F.when(of, F.lit(p)).otherwise(parent)
+    references = counted.filter("rule = 'foreign key'").withColumn("parent", parent)
+    ids = counted.filter("rule = 'unique' AND column_name = 'id'").withColumn("parent", F.col("table_name"))
+    met = references.unionByName(ids).groupBy("parent", "value").agg(
+        F.max(F.col("rule") == "unique").alias("known"),
+        F.collect_list(F.when(F.col("rule") == "foreign key", F.struct(*keys, "n"))).alias("held"),
+    )
+    lost = met.filter(~F.col("known")).select(F.inline("held")).groupBy(*keys)
+    found = own.unionByName(lost.agg(F.sum("n").alias("violations")))
+    return every.join(F.broadcast(found), keys, "left").select(
+        *keys, F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations")
+    )
 
 
 SALE = ("customer_id", "product_id", "quantity", "price", "created_at")

@@ -9,6 +9,11 @@ from __future__ import annotations
 # Must equal the base time in sources.feeds.
 T0 = 1704067200000
 
+ITEM_KEY = "(l_orderkey * 8 + l_linenumber)"
+ITEM = f"""{ITEM_KEY} AS id, l_orderkey AS order_id, l_partkey AS product_id,
+  CAST(l_quantity AS INTEGER) AS quantity, CAST(l_extendedprice AS DECIMAL(10,2)) AS unit_price,
+  epoch_ms(l_shipdate) AS created_at"""
+
 CUSTOMERS = f"""
 c AS (
   SELECT c_custkey AS k, CAST(c_custkey AS BIGINT) AS id, c_mktsegment AS first_name,
@@ -259,6 +264,8 @@ WITH {CUSTOMERS}
 SELECT id, first_name, last_name, new_email AS email, created_at, ts_ms AS updated_at
 FROM c WHERE op IN ('c', 'r')
 """,
+    "inserted_order_items": f"SELECT {ITEM} FROM lineitem WHERE {ITEM_KEY} % 4 IN (0, 3)",
+    "deleted_order_items": f"SELECT {ITEM} FROM lineitem WHERE {ITEM_KEY} % 4 = 2",
     "updated_emails": f"""
 WITH {CUSTOMERS}
 SELECT id AS customer_id, old_email, new_email, ts_ms AS source_timestamp FROM c WHERE op = 'u'
@@ -427,7 +434,17 @@ WITH checks AS (
   UNION ALL SELECT 'order_items', 'foreign key', 'order_id', count(*) FROM lineitem
     WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders)
   UNION ALL SELECT 'order_items', 'foreign key', 'product_id', count(*) FROM lineitem
-    WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part))
+    WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part)
+  UNION ALL SELECT 'addresses', 'not null', 'id', count(*) FILTER (s_suppkey IS NULL) FROM supplier
+  UNION ALL SELECT 'addresses', 'not null', 'street_address', count(*) FILTER (s_name IS NULL)
+    FROM supplier
+  UNION ALL SELECT 'addresses', 'not null', 'city', count(*) FILTER (s_nationkey IS NULL) FROM supplier
+  UNION ALL SELECT 'addresses', 'not null', 'country', count(*) FILTER (s_nationkey IS NULL)
+    FROM supplier
+  UNION ALL SELECT 'addresses', 'unique', 'id', count(s_suppkey) - count(DISTINCT s_suppkey)
+    FROM supplier
+  UNION ALL SELECT 'addresses', 'foreign key', 'customer_id', count(*) FROM supplier
+    WHERE s_suppkey IS NOT NULL AND s_suppkey NOT IN (SELECT c_custkey FROM customer))
 SELECT * FROM checks
 """,
     # ---- change log, state, insight
@@ -448,6 +465,14 @@ FROM c, cuts
 """,
     "current_state": STATE,
     "merged_state": STATE,
+    "address_state": f"""
+SELECT s_suppkey AS id, s_suppkey AS customer_id, 'new ' || s_name AS street_address,
+  'city ' || s_nationkey AS city, CAST(NULL AS VARCHAR) AS state, 'P-' || s_suppkey AS postal_code,
+  'country ' || s_nationkey AS country,
+  CASE WHEN s_suppkey % 2 = 0 THEN 'billing' ELSE 'shipping' END AS address_type,
+  {T0} AS created_at, {T0} + s_suppkey * 1000 + 1 AS updated_at
+FROM supplier WHERE s_suppkey % 5 <> 0
+""",
     "enrich_changes": ENRICHED,
     "enrich_change_stream": ENRICHED,
     "transaction_anomalies": f"""

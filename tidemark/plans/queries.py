@@ -105,7 +105,7 @@ def _activity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _stored(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    names = ("customer", "part", "orders", "lineitem")
+    names = ("customer", "part", "orders", "lineitem", "supplier")
     return feeds.stored_tables({n: _t(spark, d, n) for n in names})
 
 
@@ -400,6 +400,20 @@ def stock_changes(spark: SparkSession, d: str) -> DataFrame:
     return ch.stock_changes(_product_changes(spark, d))
 
 
+def _item_changes(spark: SparkSession, d: str) -> DataFrame:
+    return parse.changes(feeds.order_item_feed(_t(spark, d, "lineitem")), "order_items")
+
+
+@_query
+def inserted_order_items(spark: SparkSession, d: str) -> DataFrame:
+    return ch.inserted_rows(_item_changes(spark, d))
+
+
+@_query
+def deleted_order_items(spark: SparkSession, d: str) -> DataFrame:
+    return ch.deleted_rows(_item_changes(spark, d))
+
+
 @_query
 def schema_versions(spark: SparkSession, d: str) -> DataFrame:
     records = _customer_records(spark, d)
@@ -617,6 +631,11 @@ def current_state(spark: SparkSession, d: str) -> DataFrame:
     return state.current_state(_history_changes(spark, d))
 
 
+@_query
+def address_state(spark: SparkSession, d: str) -> DataFrame:
+    return state.current_state(parse.changes(feeds.address_feed(_t(spark, d, "supplier")), "addresses"))
+
+
 @_query
 def merged_state(spark: SparkSession, d: str) -> DataFrame:
     """State kept as a table and brought up to date with the second half of the changes."""

@@ -114,7 +114,7 @@ def customer_feed(customer: DataFrame) -> DataFrame:
         F.when(k % 3 == 0, F.concat(F.lit("555-"), k.cast("string"))).alias("phone"),
     )
 
-    def image(present: Column, email: str) -> Column:
+    def image(present: Column, email: str, phone: list[Column]) -> Column:
         common = [
             F.col("k").cast("bigint").alias("id"),
             F.col("first_name"),
@@ -122,18 +122,92 @@ def customer_feed(customer: DataFrame) -> DataFrame:
             F.col(email).alias("email"),
         ]
         times = [(F.lit(T0) + F.col("k")).alias("created_at"), F.col("ts_ms").alias("updated_at")]
-        return _image(present, *common, F.col("phone"), *times)
+        return _image(present, *common, *phone, *times)
 
-    body = _body(
-        "customers",
-        image(F.col("op").isin("u", "d"), "old_email"),
-        image(F.col("op") != "d", "new_email"),
+    def message(phone: list[Column]) -> Column:
+        body = _body(
+            "customers",
+            image(F.col("op").isin("u", "d"), "old_email", phone),
+            image(F.col("op") != "d", "new_email", phone),
+        )
+        described = _described("customers", F.col("version")).alias("schema")
+        wrapped = _json(described, F.struct(*body).alias("payload"))
+        return F.when(F.col("k") % 2 == 0, _json(*body)).otherwise(wrapped)
+
+    value = F.when(F.col("version") == 2, message([F.col("phone")])).otherwise(message([]))
+    return _record(rows, "customers", value)
+
+
+def order_item_feed(lineitem: DataFrame) -> DataFrame:
+    """One change per order line at its shipping date."""
+    k = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    rows = lineitem.select(
+        k.alias("k"),
+        k.alias("seq"),
+        F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("ts_ms"),
+        F.when(k % 4 == 0, "c").when(k % 4 == 1, "u").when(k % 4 == 2, "d").otherwise("r").alias("op"),
+        "l_orderkey",
+        "l_partkey",
+        "l_quantity",
+        "l_extendedprice",
     )
-    wrapped = _json(
-        _described("customers", F.col("version")).alias("schema"), F.struct(*body).alias("payload")
+
+    def image(present: Column) -> Column:
+        return _image(
+            present,
+            F.col("k").alias("id"),
+            F.col("l_orderkey").alias("order_id"),
+            F.col("l_partkey").alias("product_id"),
+            F.col("l_quantity").cast("int").alias("quantity"),
+            F.col("l_extendedprice").cast("decimal(10,2)").alias("unit_price"),
+            F.col("ts_ms").alias("created_at"),
+        )
+
+    body = _body("order_items", image(F.col("op").isin("u", "d")), image(F.col("op") != "d"))
+    return _record(rows, "order_items", _json(*body))
+
+
+def address_columns() -> list[Column]:
+    """An address per supplier, whose key also names the customer."""
+    nation = F.col("s_nationkey").cast("string")
+    return [
+        F.col("s_suppkey").alias("id"),
+        F.col("s_suppkey").alias("customer_id"),
+        F.col("s_name").alias("street_address"),
+        F.concat(F.lit("city "), nation).alias("city"),
+        F.lit(None).cast("string").alias("state"),
+        F.concat(F.lit("P-"), F.col("s_suppkey").cast("string")).alias("postal_code"),
+        F.concat(F.lit("country "), nation).alias("country"),
+        F.when(F.col("s_suppkey") % 2 == 0, "billing").otherwise("shipping").alias("address_type"),
+    ]
+
+
+def address_feed(supplier: DataFrame) -> DataFrame:
+    """Two changes per address: it is created, then moved or, every fifth, deleted."""
+    k = F.col("s_suppkey")
+    rows = supplier.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("step")).select(
+        "s_suppkey",
+        "s_name",
+        "s_nationkey",
+        k.alias("k"),
+        (k * 2 + F.col("step")).alias("seq"),
+        (F.lit(T0) + k * 1000 + F.col("step")).alias("ts_ms"),
+        F.when(F.col("step") == 0, "c").when(k % 5 == 0, "d").otherwise("u").alias("op"),
+        "step",
     )
-    value = F.when(F.col("k") % 2 == 0, _json(*body)).otherwise(wrapped)
-    return _record(rows, "customers", value)
+
+    def image(present: Column, moved: Column) -> Column:
+        columns = address_columns()
+        columns[2] = F.when(moved, F.concat(F.lit("new "), F.col("s_name"))).otherwise(F.col("s_name"))
+        times = [F.lit(T0).alias("created_at"), F.col("ts_ms").alias("updated_at")]
+        return _image(present, *columns[:2], columns[2].alias("street_address"), *columns[3:], *times)
+
+    body = _body(
+        "addresses",
+        image(F.col("op") != "c", F.lit(False)),
+        image(F.col("op") != "d", F.col("op") == "u"),
+    )
+    return _record(rows, "addresses", _json(*body))
 
 
 def product_feed(part: DataFrame) -> DataFrame:
@@ -271,7 +345,7 @@ def opaque_feed(customer: DataFrame) -> DataFrame:
 
 
 def stored_tables(test_tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """customers, products, orders and order_items laid over the test tables of the same meaning."""
+    """The five captured tables laid over the test tables of the same meaning."""
     customer, part = test_tables["customer"], test_tables["part"]
     orders, lineitem = test_tables["orders"], test_tables["lineitem"]
     return {
@@ -298,6 +372,7 @@ def stored_tables(test_tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
             F.col("l_quantity").cast("int").alias("quantity"),
             F.col("l_extendedprice").cast("decimal(10,2)").alias("unit_price"),
         ),
+        "addresses": test_tables["supplier"].select(*address_columns()),
     }
 
 
