@@ -315,8 +315,8 @@ def test_enrichment_keeps_unknown_customers(spark):
     ]
 
 
-@pytest.mark.parametrize("hot_share", [1, 3, 10, 1000])
-def test_join_per_key_with_a_hot_key(spark, hot_share):
+@pytest.mark.parametrize("key_rows,hot_share", [(0, 1), (0, 10), (0, 1000), (4, 1000), (5, 1000), (99, 1000)])
+def test_join_per_key_with_hot_keys_and_keys_just_below(spark, key_rows, hot_share):
     facts = spark.range(300).select(
         "id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k")
     )
@@ -324,7 +324,7 @@ def test_join_per_key_with_a_hot_key(spark, hot_share):
     per_key = facts.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("low"))
     per_key = per_key.filter("n > 4")
     want = facts.join(per_key, "k").select("id", "k", "n", "low")
-    assert rows(join_per_key(facts, per_key, "k", "n", hot_share)) == rows(want)
+    assert rows(join_per_key(facts, per_key, "k", "n", key_rows, hot_share)) == rows(want)
 
 
 def test_anomalies(spark):
@@ -337,6 +337,21 @@ def test_anomalies(spark):
     assert [(r["order_id"], r["order_count"]) for r in got.collect()] == [(99, 21)]
 
 
+def test_constraints_scan_each_table_once(spark, out):
+    for name, ddl in (("a", "id bigint, email string"), ("b", "id bigint, customer_id bigint")):
+        spark.createDataFrame([(1, "1"), (2, None)], "x bigint, y string").selectExpr(
+            *[f"CAST({c} AS {f.split()[1]}) AS {f.split()[0]}" for c, f in zip("xy", ddl.split(", "))]
+        ).write.parquet(f"{out}/{name}")
+    customers = spark.read.parquet(f"{out}/a").withColumns({"first_name": F.lit("f"), "last_name": F.lit("l")})
+    orders = spark.read.parquet(f"{out}/b").withColumn("total_amount", F.lit(1))
+    report = quality.constraint_report({"customers": customers, "orders": orders})
+    found = {tuple(r)[:3]: r["violations"] for r in report.collect()}
+    assert {k for k, v in found.items() if v} == {("customers", "not null", "email")} and len(found) == 10
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    lines = [x for x in plan.splitlines() if "Scan parquet" in x]
+    assert len(lines) - plan.count("ReusedExchange") <= 2 or len(lines) <= 2
+
+
 def test_activity_change(spark):
     days = [1, 2, 2, 3, 5, 5]
     events = spark.createDataFrame([(1, day(d)) for d in days], "user_id int, ts timestamp")
