@@ -44,7 +44,7 @@ from tidemark.llm.common import stored
 from tidemark.llm.losertree import Run, common_prefixes, merged
 
 LENGTH = 100
-GRAM = 50
+GRAM = 60
 #: Suffixes that splitters are taken from, those of the smallest hash.
 SAMPLE = 20_000
 
