@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import joined, n_words, offsets, ranged, running
+from tidemark.llm.common import cut_lineage, joined, n_words, offsets, ranged, running
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -112,7 +112,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
         placed: bool = False) -> DataFrame:
     """The mixed documents: each as often as it is taken, with its columns; ``placed`` adds ``place``,
     the words of the mix up to and including the document, by which a training run reads it."""
-    items = sized(docs)
+    items = cut_lineage(sized(docs))
     taken = schedule(items, targets(items, weights, share, most), most).filter("taken")
     rows = docs.select(
         F.struct(*docs.columns).alias("doc"), "source", "doc_id", n_words(F.col("text")).alias("size")
@@ -122,7 +122,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
 
 def taken_words(docs: DataFrame) -> DataFrame:
     """Per document, how many of its words the mix takes, repeats counted."""
-    items = sized(docs)
+    items = cut_lineage(sized(docs))
     entries = schedule(items, targets(items))
     per_item = entries.groupBy(*_KEY, "alike", "source_size", "target").agg(
         F.sum(F.when(F.col("taken"), F.col("size")).otherwise(0)).alias("taken")
