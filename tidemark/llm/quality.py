@@ -130,9 +130,10 @@ def minimise(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Mode
     return Model(mean, scale, w[:-1], float(w[-1]), prior)
 
 
-@F.pandas_udf(T.ArrayType(T.FloatType()))
+@F.pandas_udf(T.BinaryType())
 def _vectors(texts: pd.Series) -> pd.Series:
-    return pd.Series([features(t) for t in texts])
+    """Feature vectors as bytes, a quarter of the size they have as numbers of Python."""
+    return pd.Series([features(t).tobytes() for t in texts])
 
 
 def _sampled(docs: DataFrame, ids: DataFrame, sample: int) -> np.ndarray:
@@ -141,7 +142,7 @@ def _sampled(docs: DataFrame, ids: DataFrame, sample: int) -> np.ndarray:
     chosen = ids.select("doc_id").distinct().orderBy(hashed, "doc_id").limit(sample)
     rows = docs.join(F.broadcast(chosen), "doc_id", "left_semi").select("doc_id", _vectors("text").alias("x"))
     found = sorted(rows.dropDuplicates(["doc_id"]).collect(), key=lambda r: r["doc_id"])
-    return np.array([r["x"] for r in found], np.float32).reshape(-1, N_FEATURES)
+    return np.frombuffer(b"".join(r["x"] for r in found), np.float32).reshape(-1, N_FEATURES)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
