@@ -21,6 +21,13 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches cut smaller, so that of their texts only few are Python strings at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def mapped(
     df: DataFrame,
     columns: Sequence[str],
@@ -36,7 +43,7 @@ def mapped(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             rows: list[tuple] = []
             for values in zip(*(c.to_pylist() for c in batch.columns)):
                 rows.extend(fn(*values))

@@ -33,8 +33,8 @@ END = (1).to_bytes(4, "little")
 VOCABULARY = "word_bpe_49k.json"
 
 #: Bounds of what one Python worker remembers: parts, words, and the characters of a part.
-_CACHE_PARTS = 250_000
-_CACHE_WORDS = 500_000
+_CACHE_PARTS = 100_000
+_CACHE_WORDS = 250_000
 _CACHE_CHARS = 48
 _TAILS = ".,;:!?$%&#*|"
 _WORDS_AT_ONCE = 128

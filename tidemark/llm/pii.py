@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import in_slices
 from tidemark.llm.trees import Trees, boosted
 
 # Kinds and patterns of the base.
@@ -300,7 +301,7 @@ def find(docs: DataFrame, model: Model | None) -> DataFrame:
     ddl = f"doc_id {doc_id}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             bases = [base_spans(t) for t in texts]
             more = added(texts, bases, model)

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import mapped
+from tidemark.llm.common import in_slices, mapped
 
 # Kinds and patterns of the base.
 KINDS = ("assign", "access", "hex")
@@ -226,7 +226,7 @@ def redact(docs: DataFrame) -> DataFrame:
     """The documents with secrets replaced in ``text``; ``n_chars`` follows where it is there."""
 
     def batch(batches):
-        for b in batches:
+        for b in in_slices(batches):
             names = b.schema.names
             old = b.column(names.index("text")).to_pylist()
             new = [redacted(t) for t in old]
