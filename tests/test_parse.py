@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators import changes as ch
-from tidemark.operators import insight, parse
+from tidemark.operators import insight, parse, state
 
 NOON = dt.datetime(2024, 1, 1, 12)
 
@@ -110,7 +110,7 @@ def test_paths_as_text_and_typed(spark):
         [("c", "1", "a@x"), ("c", "abc", "a@x"), ("d", None, None), ("u", "4", "n@x")], key=repr
     )
     typed = parse.parse_change_paths(df, typed=True)
-    assert typed.schema["customer_id"].dataType.simpleString() == "int"
+    assert typed.schema["customer_id"].dataType.simpleString() == "bigint"
     assert [r["customer_id"] for r in typed.collect()] == [1, None, None, 4]
     assert {r["source_timestamp"] for r in typed.collect()} == {1704067201999}
 
@@ -194,3 +194,16 @@ def test_each_message_is_parsed_once(spark):
     ):
         text = plan._jdf.queryExecution().optimizedPlan().toString()
         assert text.count("from_json") == 1
+
+
+def test_large_ids_and_changes_that_name_no_row(spark):
+    """Ids beyond 32 bits stay apart; truncations and keyless changes are set aside and counted."""
+    ids = (3_000_000_000, 3_000_000_001, None)
+    bodies = [{"op": "c", "after": {"id": i, "first_name": f"n{i}"}, "source": {"ts_ms": 1}} for i in ids]
+    bodies.append({"op": "t", "source": {"ts_ms": 2}})
+    data = [(None, json.dumps(b).encode(), "x", 0, n, None, 0) for n, b in enumerate(bodies)]
+    arrived = spark.createDataFrame(data, schemas.struct(schemas.RECORD))
+    changes = parse.changes(arrived, "customers")
+    live = state.current_state(changes).select("id", "first_name")
+    assert sorted(map(tuple, live.collect())) == [(i, f"n{i}") for i in ids[:2]]
+    assert sorted(map(tuple, state.set_aside(changes).collect())) == [("c", 1), ("t", 1)]
