@@ -49,6 +49,7 @@ GRAM = 60
 SAMPLE = 20_000
 
 _LAST = (1 << 63) - 1
+_WORD = (1 << 64) - 1
 _SLICE = 1 << 22
 _PLACE = 26
 _RUN = 400_000
@@ -103,7 +104,7 @@ def gram_hashes(data: np.ndarray, width: int = GRAM) -> np.ndarray:
         if size * 2 > width:
             return _mixed(total)
         h = h[:-size] * power + h[size:]
-        power, size = power * power, size * 2
+        power, size = np.uint64(int(power) ** 2 & _WORD), size * 2
 
 
 def _window_least(v: np.ndarray, width: int) -> np.ndarray:
