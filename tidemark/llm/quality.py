@@ -112,14 +112,20 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 def minimise(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Model:
     """Fit by full-batch Adam steps on the non-negative risk."""
-    both = np.concatenate([positive, unlabelled]).astype(np.float64)
-    mean, scale = both.mean(axis=0), np.maximum(both.std(axis=0), 1e-3)
-    p, u = ((x - mean) / scale for x in (positive, unlabelled))
-    p, u = (np.clip(np.column_stack([x, np.ones(len(x))]), -8, 8) for x in (p, u))
+    both = np.concatenate([positive, unlabelled]).astype(np.float32)
+    mean = both.mean(axis=0, dtype=np.float64)
+    scale = np.sqrt(((both - mean.astype(np.float32)) ** 2).mean(axis=0, dtype=np.float64))
+    scale = np.maximum(scale, 1e-3)
+    both -= mean.astype(np.float32)
+    both /= scale.astype(np.float32)
+    np.clip(both, -8, 8, out=both)
+    both = np.column_stack([both, np.ones(len(both), np.float32)])
+    p, u = both[: len(positive)], both[len(positive) :]
     w = np.zeros(p.shape[1])
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, STEPS + 1):
-        zp, zu = p @ w, u @ w
+        now = w.astype(np.float32)
+        zp, zu = p @ now, u @ now
         negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
         up = -p.T @ _sigmoid(-zp) / len(p)
         down = u.T @ _sigmoid(zu) / len(u) - prior * (p.T @ _sigmoid(zp)) / len(p)
