@@ -40,7 +40,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import in_slices, stored
 from tidemark.llm.losertree import Run, common_prefixes, merged
 
 LENGTH = 100
@@ -50,9 +50,11 @@ SAMPLE = 20_000
 
 _LAST = (1 << 63) - 1
 _WORD = (1 << 64) - 1
-_SLICE = 1 << 22
+_SLICE = 1 << 21
 _PLACE = 26
-_RUN = 400_000
+_RUN = 250_000
+#: Documents whose anchors are sorted together.
+_TOGETHER = 4_096
 _SAMPLED = 40
 
 _BLOBS = "part int, kind int, blob binary"
@@ -193,7 +195,7 @@ def _anchored(texts: DataFrame, parts: int) -> DataFrame:
     """Packed anchors of all texts, by the part of the hash that has to meet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, _TOGETHER):
             doc, tie = (batch.column(i).to_numpy() for i in (0, 1))
             found: list[list[np.ndarray]] = []
             for rows, offsets, pieces in _pieces(range(batch.num_rows), batch.column(2).to_pylist()):
