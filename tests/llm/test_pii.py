@@ -98,3 +98,35 @@ def test_trees_learn_and_thresholds_hold():
 
 def test_redaction():
     assert pii.redact("mail a@b.c now", "email:5:10") == "mail [EMAIL] now"
+
+
+def test_rare_kinds_are_calibrated_on_all_documents(spark):
+    """Few documents have a card or address of a machine; most are full of plain numbers."""
+    draw, rows = random.Random(6), []
+    for i in range(3000):
+        text = f"in {draw.randint(1900, 2020)} we counted {draw.randint(10**7, 10**9)} words and {draw.randint(10**6, 10**8)} lines"
+        if i % 20 == 0:
+            text += f" the host is {'.'.join(str(draw.randint(1, 254)) for _ in range(4))} now"
+        rows.append((i, text))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    model = pii.fit(docs, sample=200)
+    text = "the host is 161[.]17[.]88[.]162 now"
+    assert [k for k, _, _ in pii.added([text], [[]], model)[0]] == ["ip"], model.thresholds
+    # The counts behind the thresholds grow with the table, not with the sample.
+    seen = []
+    keep = pii.calibrated
+    try:
+        pii.calibrated = lambda s, y, **k: seen.append(k["counts"].sum()) or keep(s, y, **k)
+        pii.fit(docs, sample=200)
+    finally:
+        pii.calibrated = keep
+    assert sum(seen) > 3000
+
+
+def test_counts_stand_for_rows():
+    draw = np.random.default_rng(8)
+    s = draw.integers(0, 9, 400) / 9
+    y = (draw.random(400) < s).astype(float)
+    rows, n = np.unique(np.column_stack([s, y]), axis=0, return_counts=True)
+    for precision in (0.5, 0.8, 0.95, 0.98):
+        assert pii.calibrated(rows[:, 0], rows[:, 1], precision, counts=n) == pii.calibrated(s, y, precision)

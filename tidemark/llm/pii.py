@@ -6,12 +6,16 @@ numbers without an international prefix, addresses of machines with bracketed do
 separators. Boosted trees judge each candidate by its format and by the words around it; what reaches the
 threshold of its kind and touches no base span is added, the most likely of overlapping ones first.
 
-The trees learn from the corpus itself. In a bounded sample - at most ``SAMPLE`` documents with a base
-span, those of the smallest hash - base spans are examples, also rewritten into the other forms where
-they stand; counter-examples are base spans damaged so that they fail their check, and candidates that are
-no base span. A third of the sample, by document, is kept back to set the thresholds: the smallest score
-from which on at least ``PRECISION`` of the candidates are examples. A kind without such a score adds
-nothing.
+The trees learn from the corpus itself, from a bounded sample of at most ``SAMPLE`` documents: a fifth for
+each kind, of documents with a base span of it, and a fifth of documents with candidates but no base span;
+of each those of the smallest hash, a third of all documents never being taken. Base spans, rewritten
+into the other forms where they stand, are examples; counter-examples are base spans damaged so that they
+fail their check, and candidates that are no base span.
+
+The thresholds come from all documents that are not in the sample: their examples are scored where they
+lie and counted by kind, score and label. The threshold of a kind is the smallest score from which on at
+least ``PRECISION`` of them are examples. A kind that has none, or fewer than ten from there on in the
+whole table, adds nothing.
 
 Defined cases: a null text is empty; repeated rows get equal results; a table without a base span
 gives the base alone; an empty table gives no rows; other columns are ignored.
@@ -29,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import in_slices
+from tidemark.llm.common import cut_lineage, in_slices
 from tidemark.llm.trees import Trees, boosted
 
 # Kinds and patterns of the base.
@@ -46,6 +50,8 @@ PRECISION = 0.98
 CONTEXT = 32
 #: Most candidates of one sampled document that are learned from.
 PER_DOCUMENT = 40
+#: Scores are told apart in steps of 1 / STEPS, within LARGEST.
+STEPS, LARGEST = 50, 30
 
 Found = tuple[str, int, int]
 
@@ -200,11 +206,11 @@ def _other_forms(kind: str, span: str, pick: int) -> tuple[list[str], list[str]]
     return [forms[pick % 4]], [digits[-9:], digits[-8:-4] + "-" + digits[-4:-2] + "-" + digits[-2:]]
 
 
-def examples(text: str) -> list[tuple[float, list[float]]]:
-    """(1 or 0, features) of what one document teaches."""
+def examples(text: str, most: int | None = None) -> list[tuple[float, list[float]]]:
+    """(1 or 0, features) of what one document teaches; all of it, or of ``most`` spans of either sort."""
     base = base_spans(text)
     out = []
-    for kind, a, b in base[:PER_DOCUMENT]:
+    for kind, a, b in base[:most]:
         pick = int.from_bytes(hashlib.blake2b(text[a:b].encode(), digest_size=4).digest(), "big")
         left, right = text[max(0, a - CONTEXT) : a], text[b : b + CONTEXT]
         good, bad = _other_forms(kind, text[a:b], pick)
@@ -212,7 +218,7 @@ def examples(text: str) -> list[tuple[float, list[float]]]:
             for form in forms:
                 out.append((label, described(left + form + right, kind, len(left), len(left) + len(form))))
     others = [c for c in candidates(text) if not _touches(base, c[1], c[2])]
-    out += [(0.0, described(text, *c)) for c in others[:PER_DOCUMENT]]
+    out += [(0.0, described(text, *c)) for c in others[:most]]
     return out
 
 
@@ -222,51 +228,109 @@ class Model:
     thresholds: dict[str, float]
 
 
+def stepped(margin: np.ndarray) -> np.ndarray:
+    """Scores as multiples of 1 / STEPS."""
+    return np.floor(np.clip(margin, -LARGEST, LARGEST) * STEPS) / STEPS
+
+
+#: What a text with a base span or candidate must hold.
+_SIGNS = r"@|＠|\+[0-9]|[0-9](?:[^0-9]{0,5}[0-9]){3}|(?:^|[^A-Za-z0-9])(?:at|AT)(?:[^A-Za-z0-9]|$)"
+
+
+def _sampled(hashed: DataFrame, sample: int) -> list[int]:
+    """Hashes of the documents to train on: the smallest for each kind, and of those without a base span."""
+
+    def sorts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            hs, masks = [], []
+            for h, text in zip(*(c.to_pylist() for c in batch.columns)):
+                kinds = {kind for kind, _, _ in base_spans(text)}
+                mask = sum(1 << k for k, kind in enumerate(KINDS) if kind in kinds)
+                if not mask and candidates(text):
+                    mask = 1 << len(KINDS)
+                if mask:
+                    hs.append(h)
+                    masks.append(mask)
+            yield pa.RecordBatch.from_arrays([pa.array(hs, pa.int64()), pa.array(masks, pa.int32())], names=["h", "mask"])
+
+    pool = hashed.filter(F.col("text").rlike(_SIGNS) & (F.pmod("h", F.lit(3)) != 0))
+    found = cut_lineage(pool.mapInArrow(sorts, "h bigint, mask int"))
+    chosen: set[int] = set()
+    for k in range(len(KINDS) + 1):
+        of = found.filter(F.col("mask").bitwiseAND(1 << k) != 0).select("h").distinct()
+        chosen |= {r.h for r in of.orderBy("h").limit(max(1, sample // (len(KINDS) + 1))).collect()}
+    return sorted(chosen)
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """Trees and thresholds from the sample; None where the corpus has no base span to learn from."""
-    hashed = F.xxhash64(F.col("doc_id").cast("string"), F.col("text"))
-    signs = F.col("text").rlike(r"@[A-Za-z0-9-]+\.|[0-9][0-9 .()-]{6}")
-    chosen = docs.filter(signs).select("doc_id", hashed.alias("h")).orderBy("h", "doc_id").limit(sample)
-    ids = F.broadcast(chosen.select("doc_id", "h").distinct())
-    rows = docs.select("doc_id", "text", hashed.alias("h")).join(ids, ["doc_id", "h"], "left_semi")
+    """Trees from the sample, thresholds from all other documents; None where no base span is sampled."""
+    h = F.xxhash64(F.col("doc_id").cast("string"), F.col("text")).alias("h")
+    hashed = docs.filter(F.col("text").isNotNull()).select(h, "text")
+    chosen = _sampled(hashed, sample)
+    if not chosen:
+        return None
+    ids = F.broadcast(docs.sparkSession.createDataFrame(pa.table({"h": pa.array(chosen, pa.int64())})))
 
     def teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             h, texts = (c.to_pylist() for c in batch.columns)
-            found = [(k, y, x) for k, t in zip(h, texts) for y, x in examples(t or "")]
+            found = [(k, y, x) for k, t in zip(h, texts) for y, x in examples(t, PER_DOCUMENT)]
             if found:
                 ks, ys, xs = zip(*found)
+                rows = [np.array(x).tobytes() for x in xs]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ks, pa.int64()), pa.array(ys, pa.float64()), pa.array(xs, pa.list_(pa.float64()))],
-                    names=["h", "y", "x"],
+                    [pa.array(ks, pa.int64()), pa.array(ys, pa.float64()), pa.array(rows, pa.binary())], names=["h", "y", "x"]
                 )
 
-    got = rows.select("h", "text").mapInArrow(teach, "h bigint, y double, x array<double>").collect()
+    got = hashed.join(ids, "h", "left_semi").mapInArrow(teach, "h bigint, y double, x binary").collect()
     got.sort(key=lambda r: (r["h"], r["y"], r["x"]))
-    if not got:
-        return None
-    h = np.array([r["h"] for r in got])
     y = np.array([r["y"] for r in got])
-    x = np.array([r["x"] for r in got])
-    back = h % 3 == 0
-    if back.all() or y[~back].min() == y[~back].max():
+    if not got or y.min() == y.max():
         return None
-    trees = boosted(x[~back], y[~back])
-    scores = trees.probability(x[back])
-    thresholds = {}
+    trees = boosted(np.stack([np.frombuffer(r["x"]) for r in got]), y)
+    return Model(trees, _thresholds(hashed, trees, np.array(chosen)))
+
+
+def _thresholds(hashed: DataFrame, trees: Trees, chosen: np.ndarray) -> dict[str, float]:
+    """Per kind, from the examples of every document outside the sample."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple, int] = {}
+        for batch in in_slices(batches):
+            back = ~np.isin(batch.column(0).to_numpy(zero_copy_only=False), chosen)
+            texts = batch.column(1).filter(pa.array(back)).to_pylist()
+            found = [e for t in texts for e in examples(t)]
+            if not found:
+                continue
+            x = np.array([f for _, f in found])
+            score = np.rint(stepped(trees.margin(x)) * STEPS).astype(np.int64)
+            kind = x[:, : len(KINDS)].argmax(axis=1)
+            for key, n in zip(*np.unique(np.column_stack([kind, score, [y for y, _ in found]]).astype(np.int64), axis=0, return_counts=True)):
+                counts[tuple(key.tolist())] = counts.get(tuple(key.tolist()), 0) + int(n)
+        if counts:
+            columns = [*zip(*counts), counts.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=["kind", "score", "y", "n"])
+
+    counted = hashed.filter(F.col("text").rlike(_SIGNS)).mapInArrow(count, "kind bigint, score bigint, y bigint, n bigint")
+    rows = counted.groupBy("kind", "score", "y").agg(F.sum("n").alias("n")).collect()
+    out = {}
     for k, kind in enumerate(KINDS):
-        of = x[back][:, k] == 1
-        if (cut := calibrated(scores[of], y[back][of])) is not None:
-            thresholds[kind] = cut
-    return Model(trees, thresholds)
+        score, y, n = (np.array([r[c] for r in rows if r["kind"] == k], float) for c in ("score", "y", "n"))
+        if (cut := calibrated(score / STEPS, y, counts=n)) is not None:
+            out[kind] = cut
+    return out
 
 
-def calibrated(scores: np.ndarray, truth: np.ndarray, precision: float = PRECISION, least: int = 10) -> float | None:
-    """The smallest score from which on, and from every larger one, examples are this frequent."""
+def calibrated(
+    scores: np.ndarray, truth: np.ndarray, precision: float = PRECISION, least: int = 10, counts: np.ndarray | None = None
+) -> float | None:
+    """The smallest score from which on examples are this frequent; ``counts`` says how many each row stands for."""
     order = np.argsort(-scores, kind="stable")
-    right = np.cumsum(truth[order]) / np.arange(1, len(order) + 1)
+    n = np.ones(len(order)) if counts is None else counts[order]
+    total = np.cumsum(n)
+    right = np.cumsum(truth[order] * n) / total
     ends = np.flatnonzero(np.r_[np.diff(scores[order]) < 0, True]) if len(order) else np.zeros(0, int)
-    good = ends[(right[ends] >= precision) & (ends + 1 >= least)]
+    good = ends[(right[ends] >= precision) & (total[ends] >= least)]
     return float(scores[order][good[-1]]) if good.size else None
 
 
@@ -287,8 +351,9 @@ def added(texts: list[str], bases: list[list[Found]], model: Model | None) -> li
                 x.append(described(text, kind, a, b))
     if not x:
         return out
-    scores = model.trees.probability(np.array(x))
-    for j in np.argsort(-scores, kind="stable"):
+    margin = model.trees.margin(np.array(x))
+    scores = stepped(margin)
+    for j in np.argsort(-margin, kind="stable"):
         kind, a, b = spans[j]
         if scores[j] >= model.thresholds[kind] and not _touches(out[where[j]], a, b):
             out[where[j]].append((kind, a, b))
