@@ -98,3 +98,32 @@ def test_pressed_layer_is_cut_and_says_so(monkeypatch):
     monkeypatch.setattr(secret_scan, "MAX_LAYER", 1000)
     text = _b64(zlib.compress(b"x" * 5000))
     assert secret_scan.find(text)[3] >= 1
+
+
+@pytest.mark.parametrize("pack", [zlib.compress, gzip.compress])
+@pytest.mark.parametrize("where", [0, 900, 1000, 3000, 20_000])
+def test_long_layers_are_searched_whole(monkeypatch, pack, where):
+    monkeypatch.setattr(secret_scan, "MAX_LAYER", 1000)
+    monkeypatch.setattr(secret_scan, "_PIECE", 300)
+    words = ("plain words, " * 4000)[:where]
+    nested = _b64(gzip.compress(b"more text; " * 300 + SECRET.encode()))
+    for inner in (SECRET, KEY, nested):
+        hidden = _b64(pack(f"{words} {inner} {'last words, ' * 900}".encode()))
+        text = f"some words {hidden} and more"
+        _, spans, _, cut = secret_scan.find(text)
+        assert cut and spans and {(a, b) for _, a, b in spans} == {(11, 11 + len(hidden))}
+        assert secret_scan.redacted(text) == "some words [SECRET] and more"
+
+
+def test_equal_windows_in_two_tokens(monkeypatch):
+    monkeypatch.setattr(secret_scan, "MAX_LAYER", 1000)
+    monkeypatch.setattr(secret_scan, "_PIECE", 300)
+    plain = f"{'plain words, ' * 400}{_b64(SECRET.encode())} {'last words, ' * 400}".encode()
+    text = f"one {_b64(zlib.compress(plain))} two {_b64(zlib.compress(plain))} end"
+    assert secret_scan.redacted(text) == "one [SECRET] two [SECRET] end"
+
+
+def test_later_members_and_what_follows_them():
+    first, second = gzip.compress(b"nothing here"), gzip.compress(f" but {SECRET}".encode())
+    for data in (first + second, first + b"\0" * 8 + second, first + f" {SECRET}".encode(), gzip.compress(b"") + second):
+        assert "[SECRET]" in secret_scan.redacted(f"x {_b64(data)} y")

@@ -7,20 +7,22 @@ again, which also ends cycles. Every character of a layer knows the span of the
 so a secret found at any depth is reported where its encoded form stands.
 
 Defined cases: null is the empty text; an empty table gives no rows; equal rows give equal rows; other
-columns are carried by ``redact`` and ignored by ``scan``. Decompression of one token ends at
-``MAX_LAYER`` characters; ``scan`` says so in ``cut_layers`` instead of hiding it, and everything the
-text itself holds is searched whole.
+columns are carried by ``redact`` and ignored by ``scan``. Compressed data of any length is unwrapped whole,
+all of its members. What one token holds beyond ``MAX_LAYER`` characters is searched and unwrapped window by
+window, each as a layer of its own that stands for the token; ``cut_layers`` counts such tokens. Windows end
+only where no secret and no token can go on, so nothing is lost; a run without such a place is one window.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import hashlib
 import re
 import zlib
 from collections import deque
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +43,11 @@ URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_RUN = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 
-#: Most characters that one compressed token may unwrap to.
+#: Characters of one compressed token's content that are looked at together.
 MAX_LAYER = 1 << 25
+#: Places that no secret and no token extends over: characters of none, and one blank between two words.
+BORDER = re.compile(r"""[^A-Za-z0-9+/_.=:"'%\\\x20\r\n-]|(?<=[A-Za-z0-9,.;])\x20(?=[A-Za-z])""")
+_PIECE = 1 << 20
 
 Span = tuple[int, int, str]
 
@@ -86,34 +91,80 @@ def _unicode(token: str) -> str | None:
     return units.decode("utf-16-be", "replace")
 
 
-def _inflate(data: bytes) -> tuple[str | None, bool]:
-    """Text of zlib or gzip data, and whether MAX_LAYER cut it."""
-    unpack = zlib.decompressobj(zlib.MAX_WBITS | 32)
-    try:
-        plain = unpack.decompress(data, MAX_LAYER)
-    except zlib.error:
-        return None, False
-    return (plain.decode("utf-8", "replace") or None), bool(unpack.unconsumed_tail)
-
-
-def _base64(token: str) -> tuple[str | None, bool]:
+def _members(data: bytes) -> Iterator[bytes]:
+    """Content of zlib or gzip data in pieces, member after member; what follows the last one as it is."""
+    while _pressed(data):
+        unpack, rest, got = zlib.decompressobj(zlib.MAX_WBITS | 32), data, False
+        try:
+            while not unpack.eof and (piece := unpack.decompress(rest, _PIECE)):
+                got = True
+                yield piece
+                rest = unpack.unconsumed_tail
+        except zlib.error:
+            if not got:
+                yield data
+            return
+        data = unpack.unused_data.lstrip(b"\0")
+    if data:
+        yield data
+
+
+def _pressed(data: bytes) -> bool:
+    return data[:2] == b"\x1f\x8b" or (len(data) > 1 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0)
+
+
+def _windows(data: bytes) -> Iterator[str]:
+    """Text of zlib or gzip data, cut at borders where it is longer than MAX_LAYER."""
+    decode = codecs.getincrementaldecoder("utf-8")("replace")
+    held, size, tried = [], 0, 0
+    for piece in _members(data):
+        held.append(decode.decode(piece))
+        size += len(held[-1])
+        if size <= MAX_LAYER or size < 2 * tried:
+            continue
+        text = "".join(held)
+        at = _last_border(text)
+        if at:
+            yield text[:at]
+        held, size, tried = [text[at:]], len(text) - at, 0 if at else size
+    yield "".join(held) + decode.decode(b"", True)
+
+
+def _last_border(text: str) -> int:
+    """The last place after the start where no secret or token goes on; 0 if there is none."""
+    back = 1 << 10
+    while True:
+        if found := [m.start() for m in BORDER.finditer(text, max(1, len(text) - back))]:
+            return found[-1]
+        if back >= len(text):
+            return 0
+        back *= 16
+
+
+def _base64(token: str) -> str | Iterator[str] | None:
     body = token.rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
-        return None, False
+        return None
     try:
         data = base64.b64decode(body + "=" * (-len(body) % 4))
     except (binascii.Error, ValueError):
-        return None, False
-    if data[:2] == b"\x1f\x8b" or (data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0):
-        text, cut = _inflate(data)
-        if text:
-            return text, cut
-    return _readable(data), False
+        return None
+    if _pressed(data) and _opens(data):
+        return _windows(data)
+    return _readable(data)
+
+
+def _opens(data: bytes) -> bool:
+    try:
+        unpack = zlib.decompressobj(zlib.MAX_WBITS | 32)
+        return bool(unpack.decompress(data, 1)) or unpack.eof
+    except zlib.error:
+        return False
 
 
 _DECODERS = (
-    (URL_RUN, lambda t: (_url(t), False)),
-    (UNICODE_RUN, lambda t: (_unicode(t), False)),
+    (URL_RUN, _url),
+    (UNICODE_RUN, _unicode),
     (BASE64_RUN, _base64),
 )
 
@@ -129,9 +180,12 @@ class _Layer:
             return a, b
         return int(self.start[a:b].min()), int(self.end[a:b].max())
 
-    def unwrapped(self, pattern: re.Pattern, decode) -> tuple[_Layer | None, bool]:
-        """This layer with every token of one encoding replaced; None if there is none."""
-        pieces, starts, ends, at, cut = [], [], [], 0, False
+    def unwrapped(self, pattern: re.Pattern, decode, aside: Callable[[_Layer], None]) -> tuple[_Layer | None, int]:
+        """This layer with every token of one encoding replaced, None if there is none; and the number of long ones.
+
+        ``aside`` gets the windows of a token that has several; in its place stand their first and last words.
+        """
+        pieces, starts, ends, at, cut = [], [], [], 0, 0
 
         def keep(a: int, b: int) -> None:
             pieces.append(self.text[a:b])
@@ -143,44 +197,83 @@ class _Layer:
                 ends.append(self.end[a:b])
 
         for m in pattern.finditer(self.text):
-            text, short = decode(m.group())
-            cut |= short
+            text = decode(m.group())
             if text is None:
                 continue
-            keep(at, m.start())
             a, b = self.origin(*m.span())
+            if not isinstance(text, str):
+                windows = text
+                text, last = next(windows), None
+                for window in windows:
+                    aside(_Layer(text if last is None else last, *_all_of(a, b, len(text if last is None else last))))
+                    last = window
+                cut += last is not None or len(text) > MAX_LAYER
+                if last is not None:
+                    aside(_Layer(last, *_all_of(a, b, len(last))))
+                    head = BORDER.search(text)
+                    text = f"{text[: head.start()] if head else text}\0{last[_last_border(last) :]}"
+                if not text:
+                    continue
+            keep(at, m.start())
             pieces.append(text)
-            starts.append(np.full(len(text), a))
-            ends.append(np.full(len(text), b))
+            start, end = _all_of(a, b, len(text))
+            starts.append(start)
+            ends.append(end)
             at = m.end()
         if not pieces:
             return None, cut
         keep(at, len(self.text))
+        if self.start is not None and self.start.strides == (0,):
+            text = "".join(pieces)
+            return _Layer(text, *_all_of(*self.origin(0, 1), len(text))), cut
         return _Layer("".join(pieces), np.concatenate(starts), np.concatenate(ends)), cut
 
 
+def _all_of(a: int, b: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of ``n`` characters that all stand for one token; one number each in memory."""
+    return np.broadcast_to(np.int64(a), n), np.broadcast_to(np.int64(b), n)
+
+
 def find(text: str) -> tuple[list[Span], list[Span], int, int]:
     """Base spans, all spans, the number of layers searched and of layers cut, for one text."""
     base = in_order(base_spans(text))
-    spans, work = set(base), deque([_Layer(text)])
-    seen, cut_layers = {hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()}, 0
-    while work:
-        layer = work.popleft()
-        for pattern, decode in _DECODERS:
-            following, cut = layer.unwrapped(pattern, decode)
-            cut_layers += cut
-            if following is None:
-                continue
-            mark = hashlib.blake2b(following.text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-            if mark in seen:
-                continue
-            seen.add(mark)
-            for kind, a, b in base_spans(following.text):
-                spans.add((kind, *following.origin(a, b)))
-            work.append(following)
+    spans, seen, cut_layers = set(base), {_mark(text)}, 0
+
+    def search(first: _Layer, place: str) -> None:
+        """All layers from one on; windows of long tokens are searched through before the next is unwrapped."""
+        nonlocal cut_layers
+        work = deque([first])
+        while work:
+            layer = work.popleft()
+            for pattern, decode in _DECODERS:
+                following, cut = layer.unwrapped(pattern, decode, window)
+                cut_layers += cut
+                if following is not None and taken(following, place):
+                    work.append(following)
+
+    def taken(layer: _Layer, place: str) -> bool:
+        mark = _mark(place + layer.text)
+        if mark in seen:
+            return False
+        seen.add(mark)
+        for kind, a, b in base_spans(layer.text):
+            spans.add((kind, *layer.origin(a, b)))
+        return True
+
+    def window(layer: _Layer) -> None:
+        # The same window may stand for two tokens, so what comes of it is marked with its place.
+        place = f"{layer.start[0]}:{layer.end[0]}:"
+        if layer.text and taken(layer, place):
+            search(layer, place)
+
+    search(_Layer(text), "")
     return base, in_order(spans), len(seen), cut_layers
 
 
+def _mark(text: str) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """Per document: the secrets found, as counts of the base and as written spans."""
 
