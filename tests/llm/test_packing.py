@@ -7,12 +7,12 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tidemark.llm import packing
+from tidemark.llm import bpe, packing
 from tidemark.llm.queries import all_queries
 
 
 def _ids(text):
-    library = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    library = Tokenizer.from_file(public_tokenizers.path(bpe.VOCABULARY))
     return [*library.encode(text or "", add_special_tokens=False).ids, 1]
 
 

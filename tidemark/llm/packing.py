@@ -17,7 +17,6 @@ each for itself; an empty table packs to nothing; other columns are ignored.
 from __future__ import annotations
 
 import bisect
-import os
 import zlib
 from collections.abc import Iterator
 
@@ -26,107 +25,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mapped, offsets, ranged, running
+from tidemark.llm.bpe import Encoder, encodings
+from tidemark.llm.common import offsets, ranged, running
 
 CAPACITY = 4096
-END = (1).to_bytes(4, "little")
-VOCABULARY = "word_bpe_49k.json"
-
-#: Bounds of what one Python worker remembers: parts, words, and the characters of a part.
-_CACHE_PARTS = 100_000
-_CACHE_WORDS = 250_000
-_CACHE_CHARS = 48
-_TAILS = ".,;:!?$%&#*|"
-_WORDS_AT_ONCE = 128
-
-
-class Encoder:
-    """Token ids of a text as little-endian 32-bit bytes.
-
-    The vocabulary's tokens never cross white space, so a text is encoded by its blank-separated parts,
-    and short parts are remembered. Only plain blanks and line feeds separate; the library itself sees
-    every other white space. A part that is a word with a tail of signs is the word's tokens and the
-    tail's. Unknown words are given to the library as one string: a word of letters alone ends with
-    the one token in it that closes a word.
-    """
-
-    _made: dict[str, Encoder] = {}
-
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        size = self.library.get_vocab_size(with_added_tokens=True)
-        self.closes = np.array([(self.library.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.parts: dict[str, bytes] = {"": b""}
-        self.words: dict[str, bytes] = {}
-
-    @classmethod
-    def of(cls, path: str | None) -> Encoder:
-        """One per Python worker; without a path the installed vocabulary."""
-        if path is None:
-            import public_tokenizers
-
-            path = public_tokenizers.path(VOCABULARY)
-        if path not in cls._made:
-            cls._made[path] = cls(path)
-        return cls._made[path]
-
-    def __call__(self, text: str) -> bytes:
-        parts = text.replace("\n", " ").split(" ")
-        found = list(map(self.parts.get, parts))
-        if None in found:
-            missing = {p for p, ids in zip(parts, found) if ids is None}
-            new = self._encoded(missing)
-            found = [new[p] if ids is None else ids for p, ids in zip(parts, found)]
-            if len(self.parts) + len(new) > _CACHE_PARTS:
-                self.parts = {"": b""}
-            self.parts.update((p, ids) for p, ids in new.items() if len(p) <= _CACHE_CHARS)
-        return b"".join(found)
-
-    def _encoded(self, parts: set[str]) -> dict[str, bytes]:
-        split = {p: (w.lower() if w.isascii() else w, p[len(w) :]) for p in parts if (w := p.rstrip(_TAILS)).isalpha()}
-        words = {w for w, _ in split.values() if w not in self.words}
-        others = [*(p for p in parts if p not in split), *{t for _, t in split.values()}]
-        if len(self.words) + len(words) > _CACHE_WORDS:
-            self.words = {}
-            words = {w for w, _ in split.values()}
-        known = self.words
-        known.update(self._words(sorted(words)))
-        plain = dict(zip(others, self._plain(others)))
-        return plain | {p: known[w] + plain[t] for p, (w, t) in split.items()}
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        batch = self.library.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in batch]
-
-    def _words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        for at in range(0, len(words), _WORDS_AT_ONCE):
-            some = words[at : at + _WORDS_AT_ONCE]
-            ids = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) != len(some):
-                yield from zip(some, self._plain(some))
-                continue
-            data, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
-            yield from ((w, data[a:b]) for w, a, b in zip(some, bounds, bounds[1:]))
+END = 1
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """Documents as token pieces; only longer ones are cut. ``with_ids`` adds the tokens themselves."""
 
-    def row(doc_id, text) -> Iterator[tuple]:
-        data = Encoder.of(path)(text or "") + END
-        step = 4 * capacity
-        for piece, at in enumerate(range(0, len(data), step)):
-            part = data[at : at + step]
-            out = (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part))
-            yield (*out, np.frombuffer(part, "<u4").tolist()) if with_ids else out
-
-    doc_id = docs.schema["doc_id"].dataType.simpleString()
-    ddl = f"doc_id {doc_id}, piece int, start bigint, length bigint, ids_crc32 bigint"
-    return mapped(docs, ["doc_id", "text"], row, ddl + (", ids array<int>" if with_ids else ""))
+    def row(_: Encoder, ids: np.ndarray) -> Iterator[tuple]:
+        ids = np.append(ids, np.uint32(END))
+        for piece, at in enumerate(range(0, len(ids), capacity)):
+            part = ids[at : at + capacity]
+            out = (piece, at, len(part), zlib.crc32(part.astype("<u4").tobytes()))
+            yield (*out, part.tolist()) if with_ids else out
+
+    ddl = "piece int, start bigint, length bigint, ids_crc32 bigint"
+    return encodings(docs, row, ddl + (", ids array<int>" if with_ids else ""), path)
 
 
 def patterns(counts: dict[int, int], capacity: int = CAPACITY) -> Iterator[tuple[list[int], int]]:
