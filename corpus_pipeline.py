@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, near_copies, packing, quality, secret_scan
+from tidemark.llm import mixing, packing, quality, secret_scan, simhash
 from tidemark.session import scratch_dir
 from tidemark.sources.tables import table
 
@@ -23,8 +23,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, Jaccard similarity of 0.8 and more."""
-    return near_copies.deduplicated(docs)
+    """One document of each group of near copies: fingerprints of three-word shingles within three bits."""
+    return simhash.deduplicated(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
