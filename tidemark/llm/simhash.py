@@ -296,10 +296,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """One document of each component, that with the smallest doc_id; of rows alike in that, one."""
+    """One document of each component, that with the smallest doc_id; of rows alike in that, one.
+
+    Everything is decided on narrow rows; the documents themselves are stored with a row number and
+    moved once, to meet the numbers that stay.
+    """
     packed = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", print_of("text").alias("print"))
-    rows = stored(packed, "printed")
+    rows = stored(packed.withColumn("row", F.monotonically_increasing_id()), "printed")
     stay = grouped_prints(rows.select("doc_id", "print")).filter("stays")
     stay = stay.select(F.col("print").alias("stay"), F.col("first").alias("stay_id"))
-    kept = rows.join(stay, (F.col("print") == F.col("stay")) & F.col("doc_id").eqNullSafe(F.col("stay_id")))
-    return kept.dropDuplicates(["print", "doc_id"]).select("doc.*")
+    alike = (F.col("print") == F.col("stay")) & F.col("doc_id").eqNullSafe(F.col("stay_id"))
+    kept = rows.select("row", "doc_id", "print").join(stay, alike).groupBy("stay").agg(F.min("row").alias("row"))
+    return rows.join(kept, "row", "left_semi").select("doc.*")
