@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, embeddings, mixing, packing, pii, quality, rules, secret_scan, simhash, suffix_dedup, warc
+from tidemark.llm import bpe, embeddings, mixing, packing, pii, quality, rules, secret_scan, simhash, suffix_dedup, vector_codes, warc
 from tidemark.session import scratch_dir
 from tidemark.sources.tables import table
 
@@ -58,6 +58,10 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, "documents", sf_dir))
 
 
+def op11_anchor_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, "embeddings", sf_dir))
+
+
 def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, "documents", sf_dir))
 
