@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, embeddings, mixing, packing, pii, quality, rules, secret_scan, simhash, suffix_dedup, vector_codes, warc
+from tidemark.llm import (
+    bpe, embeddings, mixing, packing, pii, prefix_trie, quality, rules, secret_scan, simhash, suffix_dedup, vector_codes, warc,
+)
 from tidemark.session import scratch_dir
 from tidemark.sources.tables import table
 
@@ -66,5 +68,9 @@ def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, "documents", sf_dir))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, "conversations", sf_dir))
+
+
 def all_queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
