@@ -154,7 +154,7 @@ def test_a_large_day_is_written_by_several_tasks(spark, out):
     finally:
         for key in sizes:
             spark.conf.unset(key)
-    files = [len(list(Path(f"{out}/s/sale_date=2024-01-0{d}").glob("*.parquet"))) for d in (1, 2)]
+    files = [len(list(Path(f"{out}/s").glob(f"version=*/sale_date=2024-01-0{d}/*.parquet"))) for d in (1, 2)]
     assert files[0] > 1 and files[1] == 1
     assert tables.read_staging(spark, f"{out}/s").count() == 200_000
 
@@ -165,6 +165,9 @@ def test_staging_table_in_the_catalog(spark, raw, out):
     staging = sales.extract_daily_sales(raw)
     staging.write.insertInto("staging_once")
     assert tables.table(spark, "staging_once").count() == 4
+    columns = "customer_id, product_id, quantity, price, sale_date"
+    spark.sql(f"INSERT INTO staging_once ({columns}) VALUES (9, 9, 1, 1.00, DATE '2024-02-01')")
+    assert spark.sql("SELECT created_at FROM staging_once WHERE customer_id = 9").first()[0] is not None
     spark.sql("DROP TABLE staging_once")
 
 

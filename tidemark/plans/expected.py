@@ -152,6 +152,13 @@ SELECT customer_id, id AS order_id, total_amount, status, op AS operation,
 FROM o LEFT JOIN customer ON customer_id = c_custkey
 """
 
+LOG = f"""
+WITH {ALL_CHANGES}
+SELECT table_name, CAST(ts AS DATE) AS event_date, op AS operation, count(*) AS change_count,
+  CAST(sum(k) AS BIGINT) AS id_sum, max(k) AS last_offset
+FROM a GROUP BY ALL
+"""
+
 SQL: dict[str, str] = {
     # ---- sources and sinks
     "change_stream": f"""
@@ -448,12 +455,8 @@ WITH checks AS (
 SELECT * FROM checks
 """,
     # ---- change log, state, insight
-    "change_log": f"""
-WITH {ALL_CHANGES}
-SELECT table_name, CAST(ts AS DATE) AS event_date, op AS operation, count(*) AS change_count,
-  CAST(sum(k) AS BIGINT) AS id_sum, max(k) AS last_offset
-FROM a GROUP BY ALL
-""",
+    "change_log": LOG,
+    "compacted_change_log": LOG,
     "recoverable_stream": f"""
 WITH {CUSTOMERS},
 cuts AS (

@@ -45,8 +45,8 @@ ENRICHED = (
 )
 CHANGE_LOG = (
     "topic string, partition int, offset bigint, kafka_timestamp timestamp, operation string, "
-    "source_timestamp bigint, before_data string, after_data string, table_name string, "
-    "event_date date"
+    "source_timestamp bigint, before_data string, after_data string, row_key bigint, "
+    "table_name string, event_date date"
 )
 
 
@@ -172,7 +172,8 @@ def keep_change_log(
     For a replay of a long, thin history, ``grain`` "month" or "year" keeps the folders few.
     """
     event_date = F.to_date(F.timestamp_millis("source_timestamp"))
-    logged = parse.raw_images(records).withColumn("event_date", event_date)
+    images = [F.get_json_object(image, "$.id").try_cast("bigint") for image in ("after_data", "before_data")]
+    logged = parse.raw_images(records).withColumns({"event_date": event_date, "row_key": F.coalesce(*images)})
     period = "event_date"
     if grain != "day":
         period = "event_period"
@@ -208,6 +209,14 @@ def run_all(
     ]
 
 
+def compact_change_log(spark: SparkSession, path: str) -> int:
+    """Fold the finished batches of the log, each table and period for itself, in order of row and time.
+
+    The history of a row then lies together: its key leads to few files, and to few groups in them.
+    """
+    return sinks.fold_batches(spark, path, CHANGE_LOG, ["row_key", "source_timestamp"])
+
+
 def change_log(spark: SparkSession, path: str) -> DataFrame:
     columns = [*schemas.struct(CHANGE_LOG).fieldNames(), "batch_id"]
     return sinks.read_batches(spark, path, CHANGE_LOG).select(*columns)

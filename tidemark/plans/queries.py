@@ -596,13 +596,7 @@ def constraint_report(spark: SparkSession, d: str) -> DataFrame:
 # ---- change log, state, insight -------------------------------------------------------------
 
 
-@_query
-def change_log(spark: SparkSession, d: str) -> DataFrame:
-    def start(records, out, checkpoint):
-        return monitor.keep_change_log(records, out, checkpoint, grain="month")
-
-    out = _replayed(spark, "change-log", _mixed_arrivals(spark, d), start)
-    logged = monitor.change_log(spark, out)
+def _log_summary(logged: DataFrame) -> DataFrame:
     after_id = F.get_json_object("after_data", "$.id").try_cast("bigint")
     before_id = F.get_json_object("before_data", "$.id").try_cast("bigint")
     return logged.groupBy("table_name", "event_date", "operation").agg(
@@ -612,6 +606,31 @@ def change_log(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@_query
+def change_log(spark: SparkSession, d: str) -> DataFrame:
+    def start(records, out, checkpoint):
+        return monitor.keep_change_log(records, out, checkpoint, grain="month")
+
+    out = _replayed(spark, "change-log", _mixed_arrivals(spark, d), start)
+    return _log_summary(monitor.change_log(spark, out))
+
+
+@_query
+def compacted_change_log(spark: SparkSession, d: str) -> DataFrame:
+    """The log of four batches, compacted after each; the last one always stays as it is."""
+
+    def start(records, out, checkpoint):
+        query = monitor.keep_change_log(records, out, checkpoint, grain="year")
+        runner.drain(query)
+        monitor.compact_change_log(spark, out)
+        return query
+
+    orders = [feeds.order_feed(p) for p in _slices(_t(spark, d, "orders"), "o_orderdate", 2)]
+    rest = [_customer_records(spark, d), _product_records(spark, d)]
+    out = _replayed(spark, "compacted-log", [*orders, *rest], start)
+    return _log_summary(monitor.change_log(spark, out))
+
+
 @_query
 def recoverable_stream(spark: SparkSession, d: str) -> DataFrame:
     """Three runs on one checkpoint: every change once, none lost."""

@@ -5,12 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
+from tidemark.sources import snapshots
 
 
 def table(spark: SparkSession, name: str, base: str | None = None, ddl: str | None = None) -> DataFrame:
@@ -24,12 +24,15 @@ def table(spark: SparkSession, name: str, base: str | None = None, ddl: str | No
 
 
 def create_staging(spark: SparkSession, name: str, location: str | None = None) -> None:
-    """Register the staging table in the catalog, unless it is there already."""
+    """Register the staging table in the catalog, unless it is there already. Inserts that name no
+    creation time get the present one.
+    """
     where = f" LOCATION '{location}'" if location else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({schemas.STAGING_SALES}) USING parquet "
-        f"PARTITIONED BY (sale_date){where}"
+    columns = ", ".join(
+        f"{f.name} {f.dataType.simpleString()}" + " DEFAULT current_timestamp()" * (f.name == "created_at")
+        for f in schemas.struct(schemas.STAGING_SALES).fields
     )
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (sale_date){where}")
 
 
 def _period(column: Column | str, grain: str) -> Column:
@@ -40,39 +43,24 @@ def _partition(grain: str) -> str:
     return "sale_date" if grain == "day" else "sale_period"
 
 
-def _place(spark: SparkSession, path: str):
-    """File system and path object of a folder."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+def _folder(grain: str, period: dt.date) -> str:
+    return f"{_partition(grain)}={period.isoformat()}"
 
 
 def periods(spark: SparkSession, path: str, grain: str = "day") -> list[dt.date]:
-    """The stored periods, from the folder names alone."""
-    files, place = _place(spark, path)
-    if not files.exists(place):
-        return []
-    names = [s.getPath().getName() for s in files.listStatus(place)]
-    marks = [n.removeprefix(f"{_partition(grain)}=") for n in names if n.startswith(f"{_partition(grain)}=")]
-    return sorted(dt.date.fromisoformat(m) for m in marks)
-
-
-def _drop(spark: SparkSession, path: str, grain: str, period: dt.date) -> None:
-    files, place = _place(spark, f"{path}/{_partition(grain)}={period.isoformat()}")
-    files.delete(place, True)
+    """The stored periods, from the snapshot alone."""
+    mark = f"{_partition(grain)}="
+    found = [f.removeprefix(mark) for f in snapshots.latest(spark, path).folders if f.startswith(mark)]
+    return sorted(dt.date.fromisoformat(m) for m in found)
 
 
-def _overwrite_periods(df: DataFrame, path: str, grain: str) -> None:
+def _staged(df: DataFrame, path: str, grain: str, number: int) -> dict[str, list[int]]:
+    """Write rows by period as version ``number``; gives the folders."""
     period = _partition(grain)
     if grain != "day":
         df = df.withColumn(period, _period("sale_date", grain))
-    (
-        df.hint("rebalance", period)
-        .sortWithinPartitions(*dict.fromkeys([period, "sale_date"]))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(period)
-        .parquet(path)
-    )
+    dealt = df.hint("rebalance", period).sortWithinPartitions(*dict.fromkeys([period, "sale_date"]))
+    return {f: [number] for f in snapshots.stage(dealt, path, number, [period])}
 
 
 def write_periods(
@@ -86,28 +74,26 @@ def write_periods(
     for is emptied. Rows are in day order within a file either way, so a filter on ``sale_date`` skips
     row groups.
 
+    All periods of a write become visible together, by one snapshot (``sources.snapshots``): a job that
+    ends on the way has changed nothing, and readers see all days of before or all of after.
+
     Rebalancing lets adaptive execution pack small periods together and split a large one over
     several tasks, so neither many tiny files nor one oversized task results.
     """
-    if days is None:
-        return _overwrite_periods(df, path, grain)
     spark = df.sparkSession
-    first = {d: _first_day(d, grain) for d in days}
-    touched = sorted(set(first.values()) & set(periods(spark, path, grain)))
-    new = df.filter(F.col("sale_date").isin(list(days)))
-    if touched and grain != "day":
-        stored = spark.read.schema(_with_period(df.schema)).parquet(path)
-        others = stored.filter(F.col("sale_period").isin(touched) & ~F.col("sale_date").isin(list(days)))
-        # Read to the end before its own folders are replaced.
-        new = new.unionByName(others.select(*df.columns)).persist(StorageLevel.DISK_ONLY_2)
-    present = {r[0] for r in new.select(_period("sale_date", grain)).distinct().collect()}
-    if present:
-        _overwrite_periods(new, path, grain)
-    for period in touched:
-        if period not in present:
-            _drop(spark, path, grain, period)
-    if touched and grain != "day":
-        new.unpersist()
+    now = snapshots.latest(spark, path)
+    folders = dict(now.folders)
+    if days is not None:
+        touched = {_folder(grain, _first_day(d, grain)) for d in days} & set(folders)
+        df = df.filter(F.col("sale_date").isin(list(days)))
+        if touched and grain != "day":
+            others = snapshots.read(spark, path, _with_period(df.schema), now, sorted(touched))
+            df = df.unionByName(others.filter(~F.col("sale_date").isin(list(days))).select(*df.columns))
+        for folder in touched:
+            del folders[folder]
+    folders |= _staged(df, path, grain, now.number + 1)
+    snapshots.publish(spark, path, snapshots.Snapshot(now.number + 1, folders))
+    snapshots.tidy(spark, path)
 
 
 def _with_period(schema: T.StructType) -> T.StructType:
@@ -122,26 +108,24 @@ def _first_day(day: dt.date, grain: str) -> dt.date:
 
 def drop_before(spark: SparkSession, path: str, ddl: str, day: dt.date, grain: str = "day") -> None:
     """Remove the stored days before ``day``: whole periods by their folders, without reading them; of
-    the period that holds ``day``, the later days are written anew.
+    the period that holds ``day``, the later days are written anew. All of it takes effect at once.
     """
-    for period in periods(spark, path, grain):
-        if period < _first_day(day, grain):
-            _drop(spark, path, grain, period)
-    holding = _first_day(day, grain)
-    if grain != "day" and holding < day and holding in periods(spark, path, grain):
-        stored = spark.read.schema(_with_period(schemas.struct(ddl))).parquet(path)
-        kept = stored.filter((F.col("sale_period") == F.lit(holding)) & (F.col("sale_date") >= F.lit(day)))
-        kept = kept.drop("sale_period").persist(StorageLevel.DISK_ONLY_2)
-        if kept.isEmpty():
-            _drop(spark, path, grain, holding)
-        else:
-            _overwrite_periods(kept, path, grain)
-        kept.unpersist()
+    now, holding = snapshots.latest(spark, path), _first_day(day, grain)
+    folders = {f: v for f, v in now.folders.items() if f >= _folder(grain, holding)}
+    partly = grain != "day" and holding < day and _folder(grain, holding) in folders
+    if not partly and len(folders) == len(now.folders):
+        return
+    if partly:
+        del folders[_folder(grain, holding)]
+        stored = snapshots.read(spark, path, _with_period(schemas.struct(ddl)), now, [_folder(grain, holding)])
+        kept = stored.filter(F.col("sale_date") >= F.lit(day)).drop("sale_period")
+        folders |= _staged(kept, path, grain, now.number + 1)
+    snapshots.publish(spark, path, snapshots.Snapshot(now.number + 1, folders))
+    snapshots.tidy(spark, path)
 
 
 def _read(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    schema = schemas.struct(ddl)
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    return snapshots.read(spark, path, schemas.struct(ddl))
 
 
 def append_staging(

@@ -16,25 +16,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources import snapshots
+
 Transform = Callable[[DataFrame], DataFrame]
 BatchFunction = Callable[[DataFrame, int], None]
 
 _FOLDED = "__folded"
 
+#: Versions of a folded partition that are written as one.
+_RUNS = 8
+
 
 class OutputTaken(RuntimeError):
     """The output folder belongs to another query."""
 
 
-def _place(spark: SparkSession, path: str):
-    """File system and path object of a folder."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
-
-
 def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
     """N of the folders ``prefix=N`` below ``path``, in order."""
-    files, place = _place(spark, path)
+    files, place = snapshots.place(spark, path)
     if not files.exists(place):
         return []
     names = [s.getPath().getName() for s in files.listStatus(place)]
@@ -45,10 +44,10 @@ def claim(spark: SparkSession, path: str, query_id: str) -> None:
     """Make ``path`` the output of this query; OutputTaken if it is another's. The mark is a folder,
     whose creation is atomic and which readers pass over.
     """
-    files, place = _place(spark, f"{path}/_queries")
+    files, place = snapshots.place(spark, f"{path}/_queries")
     names = [s.getPath().getName() for s in files.listStatus(place)] if files.exists(place) else []
     if not names:
-        files.mkdirs(_place(spark, f"{path}/_queries/{query_id}")[1])
+        files.mkdirs(snapshots.place(spark, f"{path}/_queries/{query_id}")[1])
         names = [s.getPath().getName() for s in files.listStatus(place)]
     if names != [query_id]:
         raise OutputTaken(f"{path} holds results of query {names[0]}; start {query_id} on a folder of its own")
@@ -148,7 +147,7 @@ def whole_table(path: str, transform: Transform) -> BatchFunction:
             _overwrite(transform(kept), f"{path}/version={batch_id}")
         for old in _numbers(spark, path, "version"):
             if old < batch_id:
-                files, place = _place(spark, f"{path}/version={old}")
+                files, place = snapshots.place(spark, f"{path}/version={old}")
                 files.delete(place, True)
 
     return _for_output(write, path)
@@ -159,7 +158,7 @@ def latest_table(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     complete = [
         n
         for n in _numbers(spark, path, "version")
-        if (found := _place(spark, f"{path}/version={n}/_SUCCESS"))[0].exists(found[1])
+        if (found := snapshots.place(spark, f"{path}/version={n}/_SUCCESS"))[0].exists(found[1])
     ]
     return spark.read.schema(T.StructType.fromDDL(ddl)).parquet(f"{path}/version={complete[-1]}")
 
@@ -178,32 +177,83 @@ def _with_batch(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl).add("batch_id", T.LongType())
 
 
+def _batch_folders(spark: SparkSession, path: str) -> dict[str, list[int]]:
+    """Per partition folder ("" if batches lie at the top) the numbers of its batches."""
+    found: dict[str, list[int]] = {}
+    waiting = [""]
+    while waiting:
+        folder = waiting.pop()
+        for name in snapshots.names(spark, f"{path}/{folder}".rstrip("/")):
+            if name.startswith("batch_id="):
+                found.setdefault(folder, []).append(int(name.removeprefix("batch_id=")))
+            elif "=" in name:
+                waiting.append(f"{folder}/{name}".lstrip("/"))
+    return found
+
+
 def read_batches(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """A result table with its ``batch_id``: the folded batches and those behind them."""
     batches = spark.read.schema(_with_batch(ddl)).parquet(path)
-    folded = _numbers(spark, path + _FOLDED, "upto")
-    if not folded:
+    folded = snapshots.latest(spark, path + _FOLDED)
+    if not folded.folders:
         return batches
-    earlier = spark.read.schema(_with_batch(ddl)).parquet(f"{path}{_FOLDED}/upto={folded[-1]}")
-    return earlier.unionByName(batches.filter(F.col("batch_id") > folded[-1]))
+    columns = _with_batch(ddl).fieldNames()
+    earlier = snapshots.read(spark, path + _FOLDED, _with_batch(ddl), folded)
+    return earlier.unionByName(batches.select(*columns).filter(F.col("batch_id") > folded.upto))
 
 
-def fold_batches(spark: SparkSession, path: str, ddl: str) -> int:
-    """Gather all batches but the last, which may still be repeated, in one table beside ``path``; gives
+def fold_batches(spark: SparkSession, path: str, ddl: str, order_by: Sequence[str] = ()) -> int:
+    """Gather all batches but the last, which may still be repeated, in few files beside ``path``; gives
     the last batch folded, or -1. A stream of small batches is so kept readable: run it now and then.
 
-    Readers take batches up to the newest folded table from there alone, so nothing is lost or seen
-    twice if this ends at any point; the folders folded before go last.
+    Batches that lie below partition folders are folded partition by partition. Each time only what
+    is new is written; a partition whose rows lie in ``_RUNS`` versions by then is written as one. With
+    ``order_by`` the rows are dealt out and sorted in that order, so that the statistics of the files
+    let a reader of few keys or times skip most of them.
+
+    What counts is named by a snapshot, which also says up to which batch it reaches; readers take
+    later batches alone from their own folders. So nothing is lost or seen twice if this ends at any
+    point: before the snapshot nothing has changed, after it the folders that it covers wait to be deleted.
     """
-    done = _numbers(spark, path, "batch_id")[:-1]
-    if not done:
-        return -1
-    upto, target = done[-1], f"{path}{_FOLDED}"
-    rows = read_batches(spark, path, ddl).filter(F.col("batch_id") <= upto)
-    before = _numbers(spark, target, "upto")
-    _overwrite(rows.hint("rebalance"), f"{target}/_next")
-    files, written = _place(spark, f"{target}/_next")
-    files.rename(written, _place(spark, f"{target}/upto={upto}")[1])
-    for old in [f"{target}/upto={n}" for n in before] + [f"{path}/batch_id={n}" for n in done]:
-        files.delete(_place(spark, old)[1], True)
-    return upto
+    target = path + _FOLDED
+    batches = _batch_folders(spark, path)
+    numbers = sorted({n for found in batches.values() for n in found})
+    now = snapshots.latest(spark, target)
+    upto = max(numbers[-2] if len(numbers) > 1 else -1, now.upto)
+    new = {p: [n for n in found if now.upto < n <= upto] for p, found in batches.items()}
+    new = {p: found for p, found in new.items() if found}
+    if new:
+        now = _fold(spark, path, ddl, new, now, upto, order_by)
+    for partition, found in batches.items():
+        for n in found:
+            if n <= now.upto:
+                snapshots.delete(spark, f"{path}/{partition}/batch_id={n}")
+    snapshots.tidy(spark, target)
+    return now.upto
+
+
+def _fold(
+    spark: SparkSession, path: str, ddl: str, new: dict[str, list[int]], now: snapshots.Snapshot, upto: int, order_by: Sequence[str]
+) -> snapshots.Snapshot:
+    target, schema = path + _FOLDED, _with_batch(ddl)
+    partition_by = [part.split("=")[0] for part in next(iter(new)).split("/") if part]
+    kinds = {f.name: f.dataType for f in schema.fields}
+    schema = T.StructType([*schema.fields, *[T.StructField(c, T.StringType()) for c in partition_by if c not in kinds]])
+    folders = [f"{path}/{p}/batch_id={n}" for p, found in new.items() for n in found]
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*folders).select(*schema.fieldNames())
+    full = [p for p in new if len(now.folders.get(p, [])) + 1 >= _RUNS]
+    if full:
+        rows = rows.unionByName(snapshots.read(spark, target, schema, now, full))
+    order = [*partition_by, *order_by]
+    if order_by:
+        rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    else:
+        rows = rows.hint("rebalance", *partition_by)
+    number = now.number + 1
+    written = snapshots.stage(rows, target, number, partition_by)
+    versions = dict(now.folders)
+    for partition in written:
+        versions[partition] = [number] if partition in full else [*versions.get(partition, []), number]
+    found = snapshots.Snapshot(number, versions, upto)
+    snapshots.publish(spark, target, found)
+    return found
