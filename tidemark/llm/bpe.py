@@ -39,7 +39,7 @@ VOCABULARY = "word_bpe_49k.json"
 FOREST = 64
 
 #: Bounds of what one Python worker remembers: parts of text, and the characters of a part.
-CACHE_PARTS = 100_000
+CACHE_PARTS = 300_000
 CACHE_CHARS = 48
 
 #: Documents, and bytes of them, whose new words are merged together; a longer text is alone.
@@ -134,8 +134,10 @@ class Encoder:
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = split.flatten().dictionary_encode()
         known, parts = self.parts, coded.dictionary.to_pylist()
-        new = self._parts([p for p in parts if p not in known])
-        ids, bounds = _joined([known[p] if p in known else new[p] for p in parts], coded.indices.to_numpy())
+        pieces = list(map(known.get, parts))
+        new = self._parts([p for p, found in zip(parts, pieces) if found is None])
+        pieces = [new[p] if found is None else found for p, found in zip(parts, pieces)]
+        ids, bounds = _joined(pieces, coded.indices.to_numpy())
         if len(known) + len(new) > CACHE_PARTS:
             known.clear()
             known[""] = b""
@@ -148,14 +150,14 @@ class Encoder:
         Parts with special tokens or white space of another kind are split one by one, and such with
         other letters than those of Western Europe by the library.
         """
-        odd = [p for p in parts if "<|" in p or not p.isprintable() or not p.isascii() and len(p.split()) != 1]
-        out = {p: self._alone(p) for p in odd}
-        plain = [p for p in parts if p not in out]
+        text = " ".join(parts)
+        strange = "<|" in text or not text.isprintable() or len(text.split()) != len(parts)
+        out = {p: self._alone(p) for p in parts if strange and self._strange(p)}
+        plain = [p for p in parts if p not in out] if out else parts
         if self._simple:
-            latin = [p for p in plain if p.isascii() or max(p) <= "\xff"]
-            words = _LATIN_WORDS.findall(" ".join(latin).lower())
-            out |= self._regrouped(latin, words)
-            plain = [p for p in plain if p not in out]
+            latin = plain if text.isascii() else [p for p in plain if p.isascii() or max(p) <= "\xff"]
+            out |= self._regrouped(latin, _LATIN_WORDS.findall(" ".join(latin).lower()))
+            plain = [] if latin is plain else [p for p in plain if p not in out]
         text = self._normal(" ".join(plain))
         if plain and text.count(" ") != len(plain) - 1:
             return out | {p: self._alone(p) for p in plain}
@@ -166,11 +168,16 @@ class Encoder:
             at = end
         return out | self._regrouped(plain, words)
 
+    @staticmethod
+    def _strange(part: str) -> bool:
+        return "<|" in part or not part.isprintable() or len(part.split()) != 1
+
     def _regrouped(self, parts: list[str], words: list[str]) -> dict[str, bytes]:
         """Ids of each part from the words of all, which blanks separate by parts."""
-        number = {" ": 0}
-        codes = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
-        ids, bounds = _joined([b"", *self._merged_words(list(number)[1:])], codes)
+        distinct = dict.fromkeys([" ", *words])
+        number = dict(zip(distinct, range(len(distinct))))
+        codes = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+        ids, bounds = _joined([b"", *self._merged_words(list(distinct)[1:])], codes)
         data, cuts = ids.tobytes(), np.r_[0, 4 * bounds[np.flatnonzero(codes == 0)], 4 * len(ids)].tolist()
         return {p: data[a:b] for p, a, b in zip(parts, cuts, cuts[1:])}
 
