@@ -468,6 +468,7 @@ FROM c, cuts
 """,
     "current_state": STATE,
     "merged_state": STATE,
+    "kept_state": STATE,
     "address_state": f"""
 SELECT s_suppkey AS id, s_suppkey AS customer_id, 'new ' || s_name AS street_address,
   'city ' || s_nationkey AS city, CAST(NULL AS VARCHAR) AS state, 'P-' || s_suppkey AS postal_code,

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark import schemas
 from tidemark.operators import changes as ch
 from tidemark.operators import insight, metrics, parse
+from tidemark.sources import state_table
 from tidemark.streaming import runner, sinks
 
 TOPIC_PREFIX = "shop.sales"
@@ -182,6 +183,18 @@ def keep_change_log(
     return runner.run_stream(logged, write, checkpoint, every=every, name="change_log")
 
 
+def keep_state(
+    records: DataFrame, table: str, path: str, checkpoint: str, every: str | None = None, buckets: int = 64
+) -> StreamingQuery:
+    """The rows of ``table`` as they are, in a bucketed table that each micro-batch brings up to date."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        state_table.merge(batch, path, buckets=buckets)
+
+    write.output = path
+    return runner.run_stream(parse.changes(records, table), write, checkpoint, every=every, name=f"{table}_state")
+
+
 def run_all(
     subscribe: Callable[[list[str]], DataFrame],
     out: str,

@@ -21,7 +21,7 @@ from tidemark.operators import changes as ch
 from tidemark.operators import insight, metrics, parse, quality, retention, sales, state
 from tidemark.plans import daily_sales, monitor
 from tidemark.session import scratch_dir
-from tidemark.sources import feeds, replay, tables
+from tidemark.sources import feeds, replay, state_table, tables
 from tidemark.streaming import runner, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -667,6 +667,18 @@ def merged_state(spark: SparkSession, d: str) -> DataFrame:
     return state.live_rows(state.merge_latest(spark.read.parquet(path), later))
 
 
+@_query
+def kept_state(spark: SparkSession, d: str) -> DataFrame:
+    """State as a bucketed table that a stream brings up to date in three batches."""
+
+    def start(records, out, checkpoint):
+        return monitor.keep_state(records, "customers", out, checkpoint, buckets=16)
+
+    arrivals = [feeds.customer_history_feed(p) for p in _slices(_t(spark, d, "orders"), "o_orderdate", 3)]
+    out = _replayed(spark, "kept-state", arrivals, start)
+    return state_table.live(spark, out, schemas.row_schema("customers"))
+
+
 @_query
 def enrich_changes(spark: SparkSession, d: str) -> DataFrame:
     columns = ["id", "customer_id", "total_amount", "status"]
