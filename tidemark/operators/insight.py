@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.skew import join_per_key
+from tidemark.functions.skew import join_per_key, last_before
 from tidemark.operators.changes import stock_changes
+from tidemark.session import stored
 
 
 def enrich_changes(changes: DataFrame, customers: DataFrame) -> DataFrame:
@@ -31,6 +32,32 @@ def enrich_changes(changes: DataFrame, customers: DataFrame) -> DataFrame:
     return orders.join(known, "customer_id", "left")
 
 
+def enrich_changes_as_of(changes: DataFrame, customer_changes: DataFrame) -> DataFrame:
+    """Order changes with the customer as it was when the order changed.
+
+    The customer's last change up to that time counts, at equal times too, that with the largest offset;
+    behind a deletion, and before the first change, the customer is unknown. Both histories become
+    one, in order of customer and time, in which each order takes the last version before it: a sort per
+    customer, no join of ranges. Customers of any size are spread, see ``skew.last_before``.
+    """
+    row = F.coalesce("after_data", "before_data")
+    order = F.struct(
+        row["id"].alias("order_id"), row["total_amount"].alias("total_amount"), row["status"].alias("status"), "operation"
+    )
+    image = F.when(F.col("operation") != "d", F.struct("after_data.first_name", "after_data.last_name", "after_data.email"))
+    orders = changes.select(
+        row["customer_id"].alias("customer_id"), "source_timestamp", F.lit(1).alias("side"), "offset", order.alias("order")
+    )
+    versions = customer_changes.select(
+        row["id"].alias("customer_id"), "source_timestamp", F.lit(0).alias("side"), "offset", F.struct(image.alias("image")).alias("version")
+    )
+    both = stored(orders.unionByName(versions.filter("customer_id IS NOT NULL"), allowMissingColumns=True), "as-of")
+    named = both.filter("customer_id IS NOT NULL")
+    met = last_before(named, "customer_id", ["source_timestamp", "side", "offset"], "version").filter("side = 1")
+    met = met.unionByName(both.filter("customer_id IS NULL"))
+    return met.select("customer_id", "order.*", "source_timestamp", "version.image.*")
+
+
 def transaction_anomalies(
     orders: DataFrame, deviations: float = 2.0, minimum_orders: int = 5
 ) -> DataFrame:

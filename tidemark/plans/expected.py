@@ -478,6 +478,21 @@ SELECT s_suppkey AS id, s_suppkey AS customer_id, 'new ' || s_name AS street_add
 FROM supplier WHERE s_suppkey % 5 <> 0
 """,
     "enrich_changes": ENRICHED,
+    "enrich_changes_as_of": f"""
+WITH {ORDERS},
+history AS (
+  SELECT o_custkey AS customer_id, epoch_ms(o_orderdate) AS since, max(o_orderkey) AS k,
+    arg_max(o_orderstatus, o_orderkey) AS first_name, arg_max(o_orderpriority, o_orderkey) AS last_name
+  FROM orders GROUP BY 1, 2),
+versions AS (
+  SELECT customer_id, since, CASE WHEN k % 10 <> 0 THEN first_name END AS first_name,
+    CASE WHEN k % 10 <> 0 THEN last_name END AS last_name,
+    CASE WHEN k % 10 <> 0 THEN 'order.' || k || '@example.com' END AS email
+  FROM history)
+SELECT o.customer_id, o.id AS order_id, total_amount, status, op AS operation, ts_ms AS source_timestamp,
+  first_name, last_name, email
+FROM o ASOF LEFT JOIN versions v ON o.customer_id = v.customer_id AND o.ts_ms >= v.since
+""",
     "enrich_change_stream": ENRICHED,
     "transaction_anomalies": f"""
 WITH {ORDERS},

@@ -686,6 +686,14 @@ def enrich_changes(spark: SparkSession, d: str) -> DataFrame:
     return insight.enrich_changes(order_changes, _stored(spark, d)["customers"])
 
 
+@_query
+def enrich_changes_as_of(spark: SparkSession, d: str) -> DataFrame:
+    """Order changes with their customer as it was by then, from the customers' history."""
+    columns = ["id", "customer_id", "total_amount", "status"]
+    order_changes = parse.changes(_order_records(spark, d), "orders", columns)
+    return insight.enrich_changes_as_of(order_changes, _history_changes(spark, d))
+
+
 @_query
 def enrich_change_stream(spark: SparkSession, d: str) -> DataFrame:
     customers = _stored(spark, d)["customers"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in this package relies on. Nothing here sizes the cluster: executors, memory
 # and shuffle partitions come from spark-submit, and adaptive execution resizes shuffles at run time.
@@ -61,6 +61,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: several readers, one evaluation."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Remove the scratch folders of this application, once their tables are no longer read."""
     paths = _scratch.pop(spark.sparkContext.applicationId, [])
