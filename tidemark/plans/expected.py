@@ -103,6 +103,21 @@ retained AS (
   FROM base WHERE activity_date >= signup_date GROUP BY 1, 2)
 """
 
+RETENTION = f"""
+WITH {COHORTS}
+SELECT signup_date, day_diff, retained_users, cohort_size,
+  CAST(retained_users AS DOUBLE) / cohort_size AS retention_rate
+FROM retained JOIN sizes USING (signup_date) ORDER BY signup_date, day_diff
+"""
+
+VOLUME = """
+SELECT CAST(c_custkey >= mid AS BIGINT) AS batch_id, count(*) AS change_count
+FROM customer,
+  (SELECT CAST(floor(min(c_custkey) + (max(c_custkey) - min(c_custkey)) / 2.0) AS BIGINT) AS mid
+   FROM customer)
+GROUP BY 1
+"""
+
 HISTORY = """
 h AS (
   SELECT CAST(o_custkey AS BIGINT) AS id, o_orderstatus AS first_name,
@@ -302,13 +317,7 @@ FROM p WHERE op = 'u' AND old_price <> new_price
     "history_op_counts": f"""
 WITH {ORDERS} SELECT op AS operation, count(*) AS change_count FROM o GROUP BY ROLLUP (op)
 """,
-    "batch_volume": """
-SELECT CAST(c_custkey >= mid AS BIGINT) AS batch_id, count(*) AS change_count
-FROM customer,
-  (SELECT CAST(floor(min(c_custkey) + (max(c_custkey) - min(c_custkey)) / 2.0) AS BIGINT) AS mid
-   FROM customer)
-GROUP BY 1
-""",
+    "batch_volume": VOLUME,
     # ---- streaming
     "change_metrics": METRICS,
     "change_metrics_history": METRICS,
@@ -369,11 +378,10 @@ UNION ALL SELECT 'undated rows', count(*) - count(created_at) FROM raw
 SELECT * FROM ({REPORT})
 WHERE sale_date < (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)
 """,
-    "cohort_retention": f"""
-WITH {COHORTS}
-SELECT signup_date, day_diff, retained_users, cohort_size,
-  CAST(retained_users AS DOUBLE) / cohort_size AS retention_rate
-FROM retained JOIN sizes USING (signup_date) ORDER BY signup_date, day_diff
+    "cohort_retention": RETENTION,
+    "kept_cohort_retention": RETENTION,
+    "kept_active_users": """
+SELECT CAST(ts AS DATE) AS activity_date, count(DISTINCT user_id) AS unique_users FROM events GROUP BY 1
 """,
     "cohort_sizes": f"WITH {COHORTS} SELECT * FROM sizes",
     "daily_retention": f"WITH {COHORTS} SELECT * FROM retained",
@@ -494,6 +502,24 @@ SELECT o.customer_id, o.id AS order_id, total_amount, status, op AS operation, t
 FROM o ASOF LEFT JOIN versions v ON o.customer_id = v.customer_id AND o.ts_ms >= v.since
 """,
     "enrich_change_stream": ENRICHED,
+    "order_lines_stream": f"""
+WITH {ORDERS},
+placed AS (SELECT id AS order_id, customer_id, total_amount, make_timestamp(ts_ms * 1000) AS order_time FROM o WHERE op = 'c'),
+items AS (SELECT *, make_timestamp(created_at * 1000) AS item_time FROM (SELECT {ITEM} FROM lineitem) WHERE id % 4 IN (0, 3)),
+mark AS (
+  SELECT least((SELECT max(order_time) FROM placed), (SELECT max(item_time) FROM items)) - INTERVAL 36 HOUR AS passed),
+lines AS (
+  SELECT p.*, i.id AS item_id, product_id, quantity, unit_price, item_time
+  FROM placed p LEFT JOIN items i ON i.order_id = p.order_id
+    AND item_time BETWEEN order_time AND order_time + INTERVAL 60 DAY)
+SELECT lines.* FROM lines, mark WHERE item_id IS NOT NULL OR order_time + INTERVAL 60 DAY < passed
+""",
+    "observed_volume": VOLUME,
+    "observed_late_changes": """
+SELECT count(*) AS change_count,
+  (SELECT max(CAST(o_orderdate AS TIMESTAMP)) FROM orders) - INTERVAL 1 MINUTE AS watermark
+FROM orders
+""",
     "transaction_anomalies": f"""
 WITH {ORDERS},
 usual AS (

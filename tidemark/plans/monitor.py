@@ -44,6 +44,10 @@ ENRICHED = (
     "customer_id bigint, order_id bigint, total_amount decimal(10,2), status string, operation string, "
     "source_timestamp bigint, first_name string, last_name string, email string"
 )
+ORDER_LINES = (
+    "order_id bigint, customer_id bigint, total_amount decimal(10,2), order_time timestamp, item_id bigint, "
+    "product_id bigint, quantity int, unit_price decimal(10,2), item_time timestamp"
+)
 CHANGE_LOG = (
     "topic string, partition int, offset bigint, kafka_timestamp timestamp, operation string, "
     "source_timestamp bigint, before_data string, after_data string, row_key bigint, "
@@ -108,6 +112,45 @@ def watch_orders(
     return runner.run_stream(parsed, write, checkpoint, every=every, name="orders")
 
 
+def watch_order_lines(
+    records: DataFrame,
+    out: str,
+    checkpoint: str,
+    every: str | None = None,
+    late: str = "1 hour",
+    within: str = "1 day",
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """New orders with their new items, two streams joined; an order without any by itself.
+
+    An item may follow its order by ``within``, and either may arrive ``late`` behind the newest of its
+    kind. What both watermarks have passed can meet nothing more: it leaves the state, and an order
+    that met no item is put out, once. So the state holds what came last, not the history.
+    """
+    orders, items = (_inserted(records, table).withWatermark("at", late) for table in ("orders", "order_items"))
+    orders = orders.select(
+        F.col("row.id").alias("order_id"), "row.customer_id", "row.total_amount", F.col("at").alias("order_time")
+    )
+    items = items.select(
+        F.col("row.id").alias("item_id"),
+        F.col("row.order_id").alias("of_order"),
+        *[f"row.{c}" for c in ("product_id", "quantity", "unit_price")],
+        F.col("at").alias("item_time"),
+    )
+    follows = F.expr(f"of_order = order_id AND item_time BETWEEN order_time AND order_time + INTERVAL {within}")
+    lines = orders.join(items, follows, "left").drop("of_order")
+    return runner.run_stream(
+        lines, sinks.batch_table(out), checkpoint, every=every, name="order_lines", state_partitions=state_partitions
+    )
+
+
+def _inserted(records: DataFrame, table: str) -> DataFrame:
+    """New rows of a table, in ``row``, with the time of their change."""
+    own = records.filter(F.col("topic") == f"{TOPIC_PREFIX}.{table}")
+    created = parse.changes(own, table).filter(F.col("operation").isin("c", "r"))
+    return created.select(F.col("after_data").alias("row"), F.timestamp_millis("source_timestamp").alias("at"))
+
+
 def watch_metrics(
     records: DataFrame,
     out: str,

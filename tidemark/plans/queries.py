@@ -18,11 +18,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
 from tidemark.operators import changes as ch
-from tidemark.operators import insight, metrics, parse, quality, retention, sales, state
+from tidemark.operators import cohort_bitmaps, insight, metrics, parse, quality, retention, sales, state
 from tidemark.plans import daily_sales, monitor
 from tidemark.session import scratch_dir
 from tidemark.sources import feeds, replay, state_table, tables
-from tidemark.streaming import runner, sinks
+from tidemark.streaming import progress, runner, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 Start = Callable[[DataFrame, str, str], StreamingQuery | list[StreamingQuery]]
@@ -567,6 +567,26 @@ def daily_retention(spark: SparkSession, d: str) -> DataFrame:
     return retention.daily_retention(_activity(spark, d))
 
 
+def _kept_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Cells kept day after day: the activity in three slices, the middle one once more at the end."""
+    activity = _activity(spark, d)
+    path = scratch_dir(spark, "cells")
+    slices = _slices(activity, "activity_time", 3)
+    for part in [*slices, slices[1]]:
+        cohort_bitmaps.add(part, path)
+    return cohort_bitmaps.kept(spark, path)
+
+
+@_query
+def kept_cohort_retention(spark: SparkSession, d: str) -> DataFrame:
+    return cohort_bitmaps.cohort_retention(_kept_cells(spark, d))
+
+
+@_query
+def kept_active_users(spark: SparkSession, d: str) -> DataFrame:
+    return cohort_bitmaps.active_users(_kept_cells(spark, d))
+
+
 def _totals(spark: SparkSession, d: str) -> DataFrame:
     names = ("customer", "orders", "lineitem", "events")
     return quality.source_totals({n: _t(spark, d, n) for n in names})
@@ -706,6 +726,51 @@ def enrich_change_stream(spark: SparkSession, d: str) -> DataFrame:
     return sinks.read_batches(spark, f"{out}/enriched", monitor.ENRICHED).drop("batch_id")
 
 
+@_query
+def order_lines_stream(spark: SparkSession, d: str) -> DataFrame:
+    """New orders and their new items as two streams, in three batches."""
+    orders, lineitem = _t(spark, d, "orders"), _t(spark, d, "lineitem")
+    low, high = orders.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    edges = [None, *([low + (high - low) * i / 3 for i in (1, 2)] if low else []), None]
+    arrivals = []
+    for start, end in zip(edges, edges[1:]):
+        parts = []
+        for df, column, feed in ((orders, "o_orderdate", feeds.order_feed), (lineitem, "l_shipdate", feeds.order_item_feed)):
+            of = df if start is None else df.filter(F.col(column) >= F.lit(start))
+            parts.append(feed(of if end is None else of.filter(F.col(column) < F.lit(end))))
+        arrivals.append(parts[0].unionByName(parts[1]))
+    watch = partial(monitor.watch_order_lines, late="36 hours", within="60 days", state_partitions=STATE_PARTITIONS)
+    out = _replayed(spark, "order-lines", arrivals, watch)
+    return sinks.read_batches(spark, out, monitor.ORDER_LINES).drop("batch_id")
+
+
+@_query
+def observed_volume(spark: SparkSession, d: str) -> DataFrame:
+    """Rows per micro-batch as the batch itself reports them."""
+    path = scratch_dir(spark, "progress")
+
+    def start(records, out, checkpoint):
+        return runner.run_stream(progress.observed(parse.topic_ops(records)), sinks.batch_table(out), checkpoint)
+
+    with progress.recording(spark, path):
+        _replayed(spark, "observed", _customer_arrivals(spark, d), start)
+    found = progress.read(spark, path).filter("observed['rows'] > 0")
+    return found.select(F.col("observed")["rows"].alias("change_count"), "batch_id")
+
+
+@_query
+def observed_late_changes(spark: SparkSession, d: str) -> DataFrame:
+    """What the stream of ``late_changes`` reports of itself: rows read and the watermark it came to."""
+    orders = _t(spark, d, "orders")
+    late = F.col("o_orderkey") % 4 == 0
+    arrivals = [feeds.order_feed(orders.filter(~late)), feeds.order_feed(orders.filter(late))]
+    path = scratch_dir(spark, "progress")
+    with progress.recording(spark, path):
+        _replayed(spark, "observed-late", arrivals, partial(monitor.watch_metrics, state_partitions=STATE_PARTITIONS))
+    found = progress.read(spark, path)
+    return found.agg(F.sum("input_rows").alias("change_count"), F.max("watermark").alias("watermark"))
+
+
 @_query
 def transaction_anomalies(spark: SparkSession, d: str) -> DataFrame:
     flagged = insight.transaction_anomalies(_stored(spark, d)["orders"])
