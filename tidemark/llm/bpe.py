@@ -48,6 +48,7 @@ BYTES_AT_ONCE = 1 << 22
 
 _NONE = np.iinfo(np.int32).max
 _AT_ONCE = 1 << 14
+_BETWEEN = b"\xff" * 4  # no run of ids below 2**24 has it
 
 # The normaliser and word pattern under which texts of Latin-1 letters need no library -
 # they are in composed form already and have these words.
@@ -108,6 +109,8 @@ class Encoder:
         self._rank_order = np.argsort(keys, kind="stable").astype(np.int32)
         self._pair_keys = keys[self._rank_order]
         self._rank_of = dict(zip(keys.tolist(), range(len(keys))))
+        letters, ends = self._single.astype(np.int64), np.concatenate([self._single, self._last]).astype(np.int64)
+        self._first = self._ranks(np.repeat(letters, 512), np.tile(ends, 256)).astype(np.int32)
         self.parts: dict[str, bytes] = {"": b""}
 
     @classmethod
@@ -131,9 +134,13 @@ class Encoder:
         """Ids of all texts one after another, and where each text's begin and end."""
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(1, np.int64)
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = split.flatten().dictionary_encode()
-        known, parts = self.parts, coded.dictionary.to_pylist()
+        # Parts hold no blank, so one string of all of them is made and cut again.
+        listed = pa.LargeListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary)
+        known, parts = self.parts, pc.binary_join(listed, " ")[0].as_py().split(" ")
         pieces = list(map(known.get, parts))
         new = self._parts([p for p, found in zip(parts, pieces) if found is None])
         pieces = [new[p] if found is None else found for p, found in zip(parts, pieces)]
@@ -156,7 +163,7 @@ class Encoder:
         plain = [p for p in parts if p not in out] if out else parts
         if self._simple:
             latin = plain if text.isascii() else [p for p in plain if p.isascii() or max(p) <= "\xff"]
-            out |= self._regrouped(latin, _LATIN_WORDS.findall(" ".join(latin).lower()))
+            out |= self._latin(latin)
             plain = [] if latin is plain else [p for p in plain if p not in out]
         text = self._normal(" ".join(plain))
         if plain and text.count(" ") != len(plain) - 1:
@@ -166,21 +173,33 @@ class Encoder:
             words += [" "] * (start - at)
             words.append(text[start:end])
             at = end
-        return out | self._regrouped(plain, words)
+        words += [" "] * (len(text) - at)
+        return out | self._regrouped(plain, words, self._ids(dict.fromkeys(words)))
+
+    def _latin(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of parts of Latin-1 characters; one of letters alone is a word."""
+        alone, rest = [], []
+        for p in parts:
+            (alone if p.isalpha() else rest).append(p)
+        whole = " ".join(alone).lower().split(" ") if alone else []
+        words = _LATIN_WORDS.findall(" ".join(rest).lower())
+        ids = self._ids(dict.fromkeys(whole) | dict.fromkeys(words))
+        return dict(zip(alone, map(ids.__getitem__, whole))) | self._regrouped(rest, words, ids)
+
+    def _ids(self, words: dict[str, None]) -> dict[str, bytes]:
+        """Ids of distinct words; a blank, which stands between parts, is no word."""
+        words.pop(" ", None)
+        return dict(zip(words, self._merged_words(list(words)))) | {" ": _BETWEEN}
+
+    @staticmethod
+    def _regrouped(parts: list[str], words: list[str], ids: dict[str, bytes]) -> dict[str, bytes]:
+        """Ids of each part from the words of all, which blanks separate by parts."""
+        return dict(zip(parts, b"".join(map(ids.__getitem__, words)).split(_BETWEEN))) if parts else {}
 
     @staticmethod
     def _strange(part: str) -> bool:
         return "<|" in part or not part.isprintable() or len(part.split()) != 1
 
-    def _regrouped(self, parts: list[str], words: list[str]) -> dict[str, bytes]:
-        """Ids of each part from the words of all, which blanks separate by parts."""
-        distinct = dict.fromkeys([" ", *words])
-        number = dict(zip(distinct, range(len(distinct))))
-        codes = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-        ids, bounds = _joined([b"", *self._merged_words(list(distinct)[1:])], codes)
-        data, cuts = ids.tobytes(), np.r_[0, 4 * bounds[np.flatnonzero(codes == 0)], 4 * len(ids)].tolist()
-        return {p: data[a:b] for p, a, b in zip(parts, cuts, cuts[1:])}
-
     def _alone(self, part: str) -> bytes:
         words = self._words(part)
         strings = [w for w in words if isinstance(w, str)]
@@ -217,6 +236,10 @@ class Encoder:
         lengths = np.diff(ends, prepend=-1) - 1
         symbols = self._single[letters]
         symbols[ends - 1] = self._last[letters[ends - 1]]
+        pairs = letters.astype(np.int64)
+        pairs[:-1] = pairs[:-1] * 512 + pairs[1:]
+        pairs[np.maximum(ends - 2, 0)] += 256
+        ranks = self._first[np.minimum(pairs, len(self._first) - 1)]
         out: list[bytes] = [b""] * len(words)
         sizes = np.maximum(2, 1 << np.ceil(np.log2(np.maximum(lengths, 1))).astype(np.int64))
         for size in np.unique(sizes).tolist():
@@ -230,14 +253,19 @@ class Encoder:
                 some = rows[at : at + _AT_ONCE]
                 places = np.arange(size)
                 inside = places < lengths[some, None]
-                table = np.full((len(some), size + 1), -1, np.int32)
-                table[:, :size][inside] = symbols[((ends - lengths)[some, None] + places)[inside]]
-                for i, ids in zip(some.tolist(), self.merge_forest(table)):
+                at_letter = ((ends - lengths)[some, None] + places)[inside]
+                table, leaves = np.full((len(some), size + 1), -1, np.int32), np.full((len(some), size), _NONE, np.int32)
+                table[:, :size][inside] = symbols[at_letter]
+                leaves[inside] = ranks[at_letter]
+                leaves[np.arange(len(some)), lengths[some] - 1] = _NONE
+                for i, ids in zip(some.tolist(), self.merge_forest(table, leaves)):
                     out[i] = ids
         return out
 
-    def merge_forest(self, symbol: np.ndarray) -> list[bytes]:
-        """Merges all words, one a row, step by step together; rows hold a power of two symbols and one more -1."""
+    def merge_forest(self, symbol: np.ndarray, ranks: np.ndarray) -> list[bytes]:
+        """Merges all words, one a row, step by step together; rows hold a power of two symbols and one more -1,
+        ``ranks`` those of each symbol and the next.
+        """
         n, size = len(symbol), symbol.shape[1] - 1
         follower = np.minimum(np.arange(1, size + 2), size)[None, :].repeat(n, 0)
         leader = np.arange(-1, size)[None, :].repeat(n, 0)
@@ -247,7 +275,7 @@ class Encoder:
         def leaf(ranks: np.ndarray, at: np.ndarray) -> np.ndarray:
             return np.where(ranks == _NONE, _NONE, ranks * size + at)
 
-        tree[:, size:] = leaf(self._ranks(symbol[:, :size], symbol[:, 1:]), places[None, :])
+        tree[:, size:] = leaf(ranks, places[None, :])
         level = size
         while level > 1:
             level //= 2
