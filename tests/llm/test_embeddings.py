@@ -52,6 +52,26 @@ def test_query_recall(spark, sf):
     assert all(r.kept == (r.vec_id == r.component_id) for r in found.values())
 
 
+@pytest.mark.parametrize("length", [2, 8, 12, 16, 24])
+def test_short_vectors(spark, length):
+    """Codes are as long as those of long vectors, so recall is too."""
+    draw = np.random.default_rng(length)
+    rows = []
+    for i in range(300):
+        a = draw.normal(size=length)
+        a /= np.linalg.norm(a)
+        b = draw.normal(size=length)
+        b -= a * (a @ b)
+        c = draw.uniform(0.931, 0.95)
+        near = c * a + np.sqrt(1 - c * c) * b / np.linalg.norm(b)
+        rows += [(2 * i, a.tolist(), i), (2 * i + 1, near.tolist(), i)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)
+    want = {r[0]: r for r in _expected([(i, np.float32(v).tolist(), k) for i, v, k in rows])}
+    found = {r.vec_id: r for r in embeddings.near_duplicates(df).collect()}
+    assert all(found[i].n_links <= want[i][1] for i in want)
+    assert sum(r.n_links for r in found.values()) >= (0.9 if length == 2 else 0.95) * sum(w[1] for w in want.values()) > 0
+
+
 def test_at_the_least_cosine(spark):
     """Recall where it is hardest: pairs just above the threshold."""
     draw = np.random.default_rng(4)

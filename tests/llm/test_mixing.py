@@ -62,6 +62,24 @@ def test_odd_rows(spark, documents, odd):
     assert mixing.taken_words(docs.limit(0)).count() == 0 and mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_copies_are_taken_one_by_one(spark, documents):
+    """A source of rows alike in id comes as near to its target as any."""
+    rows = [(7, "w " * 50, "a")] * 400 + [(100 + i, "w " * 50, "b") for i in range(100)]
+    found = mixing.taken_words(documents(rows)).collect()
+    _check(found, rows)
+    assert sum(r.taken for r in found if r.source == "a") == 27_500 and sum(r.taken for r in found) == 37_500
+    mixed = Counter(r.source for r in mixing.mix(documents(rows)).collect())
+    assert mixed == {"a": 550, "b": 200}
+
+
+def test_copies_with_different_texts(spark, documents):
+    """Which of them the budget leaves out does not change from run to run."""
+    rows = [(None, f"{i} " + "w " * 9, "a") for i in range(90)] + [(i, "w " * 10, "b") for i in range(40)]
+    runs = [Counter(r.text for r in mixing.mix(documents(rows)).collect()) for _ in range(2)]
+    assert runs[0] == runs[1] and sum(runs[0].values()) == 195
+    assert sum(r.taken for r in mixing.taken_words(documents(rows)).collect()) == 1950
+
+
 def test_sources_are_interleaved(spark, documents):
     rows = [(i, "w " * 10, "a" if i % 2 else "b") for i in range(400)]
     placed = mixing.mix(documents(rows), weights=(3.0, 1.0), share=1.0, placed=True).orderBy("place").collect()

@@ -127,3 +127,45 @@ def test_later_members_and_what_follows_them():
     first, second = gzip.compress(b"nothing here"), gzip.compress(f" but {SECRET}".encode())
     for data in (first + second, first + b"\0" * 8 + second, first + f" {SECRET}".encode(), gzip.compress(b"") + second):
         assert "[SECRET]" in secret_scan.redacted(f"x {_b64(data)} y")
+
+
+SECRETS = "password = hunter22x and " + "filler words here, " * 30 + "token: abcdef123456 end"
+
+
+@pytest.mark.parametrize("width", [64, 76])
+@pytest.mark.parametrize("pack", [str.encode, lambda t: gzip.compress(t.encode()), lambda t: zlib.compress(t.encode())])
+@pytest.mark.parametrize("newline", ["\n", "\r\n", "\n    "])
+@pytest.mark.parametrize("around", [("", ""), ("data: ", " rest"), ("see\n", "\nDone\n"), ("x\n", "\nDone with it all")])
+def test_wrapped_base64(width, pack, newline, around):
+    code = base64.b64encode(pack(SECRETS)).decode()
+    body = newline.join(code[i : i + width] for i in range(0, len(code), width))
+    text = around[0] + body + around[1]
+    _, spans, _, _ = secret_scan.find(text)
+    start, end = len(around[0]), len(around[0]) + len(body)
+    assert {k for k, a, b in spans if a <= start and b >= end} >= {"assign"}
+    assert "[SECRET]" in secret_scan.redacted(text) and code[:60] not in secret_scan.redacted(text)
+
+
+def test_wrapped_in_full_lines_before_other_text():
+    """Data that fills its last line, before a line that could be one more."""
+    text = "x" * 2 + " password = hunter22x and so on, and more of the like here"
+    code = base64.b64encode(text[:57].encode() * 2).decode()
+    body = f"{code[:76]}\n{code[76:]}"
+    assert len(code) == 152
+    for after in ("\nDone\n", "\nDone with it", "\n", ""):
+        _, spans, _, _ = secret_scan.find(body + after)
+        assert any(a == 0 and b >= len(body) for _, a, b in spans), after
+
+
+@pytest.mark.parametrize("form", ["\\u{%x}", "\\U%08x", "\\u%04x", "\\x%02x"])
+def test_escapes_of_all_forms(form):
+    text = "see " + "".join(form % ord(c) for c in "password=hunter22x") + " end"
+    _, spans, _, _ = secret_scan.find(text)
+    assert [k for k, _, _ in spans] == ["assign"] and spans[0][1] == 4 and spans[0][2] == len(text) - 4
+    wide = "\\U0001f600\\U99999999" + "".join(form % ord(c) for c in "password=hunter22x")
+    assert [k for k, _, _ in secret_scan.find(wide)[1]] == ["assign"]
+
+
+def test_prose_over_lines_is_left_alone():
+    text = "internationalization\nof averylongwordindeed\nand\nmore"
+    assert secret_scan.redacted(text) == text

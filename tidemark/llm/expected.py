@@ -6,11 +6,11 @@ WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 MIX = f"""
 WITH items AS (
-  SELECT doc_id, source, {WORDS} AS size,
+  SELECT doc_id, source, size, count(*) AS alike, size * count(*) AS words,
     md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS shuffle
-  FROM documents),
+  FROM (SELECT doc_id, source, {WORDS} AS size FROM documents) GROUP BY doc_id, source, size),
 sums AS (
-  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+  SELECT source, CAST(sum(words) AS BIGINT) AS source_size,
     CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5e0 WHEN 1 THEN 2e0 ELSE 1e0 END AS weight
   FROM items GROUP BY source),
 limits AS (
@@ -23,7 +23,7 @@ targets AS (
     ELSE max(CASE WHEN level * weight <= cap THEN level END) OVER () * weight END AS DOUBLE) AS target
   FROM levels),
 queued AS (
-  SELECT *, CAST(sum(size) OVER (PARTITION BY source ORDER BY shuffle, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto
+  SELECT *, CAST(sum(words) OVER (PARTITION BY source ORDER BY shuffle, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto
   FROM items),
 entries AS (
   SELECT q.*, e.epoch, t.source_size, t.target, t.budget,
@@ -31,11 +31,15 @@ entries AS (
   FROM queued q JOIN targets t ON q.source IS NOT DISTINCT FROM t.source
   JOIN (VALUES (0), (1)) e(epoch) ON q.size > 0 OR e.epoch = 0),
 placed AS (
-  SELECT *, sum(size) OVER (ORDER BY finish, source NULLS FIRST, epoch, shuffle, doc_id, size ROWS UNBOUNDED PRECEDING) AS place
-  FROM entries)
+  SELECT *, sum(words) OVER (ORDER BY finish, source NULLS FIRST, epoch, shuffle, doc_id, size ROWS UNBOUNDED PRECEDING) AS place
+  FROM entries),
+fitting AS (
+  SELECT *, CASE WHEN size > 0 THEN greatest(0, least(alike, floor((budget - (place - words)) / nullif(size, 0))))
+    WHEN place <= budget THEN alike ELSE 0 END AS copies
+  FROM placed)
 SELECT doc_id, size, source_size, target,
-  CAST(sum(CASE WHEN place <= budget THEN size ELSE 0 END) AS BIGINT) AS taken, source
-FROM placed GROUP BY doc_id, source, size, source_size, target
+  CAST(sum(CASE WHEN copy <= copies THEN size ELSE 0 END) AS BIGINT) AS taken, source
+FROM fitting, unnest(range(1, alike + 1)) AS t(copy) GROUP BY doc_id, source, size, source_size, target, copy
 """
 
 WARC = """

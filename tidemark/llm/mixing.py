@@ -6,15 +6,19 @@ order of finish time interleave the sources in proportion to their targets; the
 the budget is used up. A source whose target exceeds its size is queued again (another epoch).
 
 Defined cases: a null text has no words; a null source is a source of its own, last in order; rows
-alike in doc_id, source and size share one fate; documents without words are in the mix once at most
-and count nothing; an empty table gives an empty mix. Other columns are carried, whatever their names.
+alike in doc_id, source and size stand one behind the other, and where the budget ends among them, as
+many are in as have room, those of the smallest hash of the text; documents without words are in the mix
+once at most and count nothing; an empty table gives an empty mix. Other columns are carried, whatever
+their names.
+
+The sources themselves are put in order by one task: there must be no more of them than it can sort.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut_lineage, joined, n_words, offsets, ranged, running
@@ -82,7 +86,7 @@ def targets(
 
 
 def schedule(items: DataFrame, shares: DataFrame, most: int = MOST) -> DataFrame:
-    """Every item and epoch with its finish time and whether the mix takes it.
+    """Every item and epoch with its finish time and how many of its copies the mix takes.
 
     Both orders are range sorts of narrow rows whose running sums are put together from one
     subtotal per partition (and source), so a source with a third of all rows is spread like any.
@@ -102,9 +106,12 @@ def schedule(items: DataFrame, shares: DataFrame, most: int = MOST) -> DataFrame
     cut = ranged(entries, *_BY_FINISH)
     per_part = offsets(cut, "words")
     placed = cut.withColumn("inside", running("words", _BY_FINISH)).join(per_part, "part")
-    place = F.col("inside") + F.col("before")
-    return placed.withColumn("place", place).withColumn("taken", F.col("place") <= F.col("budget")).select(
-        *_KEY, "alike", "source_size", "target", "epoch", "finish", "place", "taken"
+    placed = placed.withColumn("place", F.col("inside") + F.col("before"))
+    room = F.floor((F.col("budget") - (F.col("place") - F.col("words"))) / F.col("size"))
+    fitting = F.greatest(F.lit(0), F.least(F.col("alike"), room))
+    copies = F.when(F.col("size") > 0, fitting).when(F.col("place") <= F.col("budget"), F.col("alike")).otherwise(0)
+    return placed.select(
+        *_KEY, "alike", "source_size", "target", "epoch", "finish", "place", copies.cast("bigint").alias("copies")
     )
 
 
@@ -113,19 +120,40 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
     """The mixed documents: each as often as it is taken, with its columns; ``placed`` adds ``place``,
     the words of the mix up to and including the document, by which a training run reads it."""
     items = cut_lineage(sized(docs))
-    taken = schedule(items, targets(items, weights, share, most), most).filter("taken")
+    taken = schedule(items, targets(items, weights, share, most), most).filter("copies > 0")
     rows = docs.select(
         F.struct(*docs.columns).alias("doc"), "source", "doc_id", n_words(F.col("text")).alias("size")
     )
-    return joined(rows, taken, _KEY).select("doc.*", *(["place"] if placed else []))
+    columns = ["doc.*", *(["place"] if placed else [])]
+    whole = joined(rows, taken.filter("copies = alike"), _KEY).select(*columns)
+    # The budget ends within one entry at most.
+    last = taken.filter("copies < alike").select(*_KEY, "place", "copies").collect()
+    if not last:
+        return whole
+    some = rows.withColumn("text_hash", F.md5(F.coalesce(F.col("doc.text"), F.lit(""))))
+    some = some.filter(_is(last[0])).select("doc", "text_hash", F.lit(1).alias("one"))
+    cut = ranged(some, "text_hash")
+    number = F.col("inside") + F.col("before")
+    numbered = cut.withColumn("inside", running("one", ["text_hash"])).join(offsets(cut, "one"), "part")
+    part = numbered.filter(number <= last[0].copies).withColumn("place", F.lit(last[0].place)).select(*columns)
+    return whole.unionByName(part)
+
+
+def _is(row: Row) -> Column:
+    """Whether a row has the key of ``row``."""
+    found = F.lit(True)
+    for c in _KEY:
+        found = found & F.col(c).eqNullSafe(F.lit(row[c]))
+    return found
 
 
 def taken_words(docs: DataFrame) -> DataFrame:
     """Per document, how many of its words the mix takes, repeats counted."""
     items = cut_lineage(sized(docs))
     entries = schedule(items, targets(items))
-    per_item = entries.groupBy(*_KEY, "alike", "source_size", "target").agg(
-        F.sum(F.when(F.col("taken"), F.col("size")).otherwise(0)).alias("taken")
-    )
+    per_item = entries.groupBy(*_KEY, "alike", "source_size", "target").agg(F.collect_list("copies").alias("epochs"))
     each = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("alike")))
-    return per_item.withColumn("each", each).select("doc_id", "size", "source_size", "target", "taken", "source")
+    times = F.size(F.filter("epochs", lambda n: n >= F.col("each")))
+    return per_item.withColumn("each", each).select(
+        "doc_id", "size", "source_size", "target", (times * F.col("size")).cast("bigint").alias("taken"), "source"
+    )

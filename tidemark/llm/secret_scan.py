@@ -1,7 +1,7 @@
 """Secret scans with a recursive decoding worklist.
 
 A text is searched for secrets, then every encoding found in it - URL escapes, Unicode escapes, base64
-text, base64 of zlib or gzip data - is unwrapped in place. The result is a further layer, which is
+text, also wrapped over lines, base64 of zlib or gzip data - is unwrapped in place. The result is a further layer, which is
 searched and unwrapped in turn until no new layer appears; a layer seen before is not taken up
 again, which also ends cycles. Every character of a layer knows the span of the input it comes from,
 so a secret found at any depth is reported where its encoded form stands.
@@ -40,13 +40,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
 URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-UNICODE_RUN = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
+UNICODE_RUN = re.compile(
+    r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8})+"
+)
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+BASE64_LINE = re.compile(r"\r?\n[\x20\t]*([A-Za-z0-9+/_-]+={0,2})")
+BASE64_FIRST = re.compile(r"([A-Za-z0-9+/_-]{16,}={0,2})(?=\r?\n[\x20\t]*[A-Za-z0-9+/_-])")
 
 #: Characters of one compressed token's content that are looked at together.
 MAX_LAYER = 1 << 25
 #: Places that no secret and no token extends over: characters of none, and one blank between two words.
-BORDER = re.compile(r"""[^A-Za-z0-9+/_.=:"'%\\\x20\r\n-]|(?<=[A-Za-z0-9,.;])\x20(?=[A-Za-z])""")
+BORDER = re.compile(r"""[^A-Za-z0-9+/_.=:"'%\\{}\x20\r\n-]|(?<=[A-Za-z0-9,.;])\x20(?=[A-Za-z])""")
 _PIECE = 1 << 20
 
 Span = tuple[int, int, str]
@@ -86,9 +90,16 @@ def _url(token: str) -> str | None:
 
 
 def _unicode(token: str) -> str | None:
-    code = re.findall(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})", token)
-    units = b"".join(int(a or b, 16).to_bytes(2, "big") for a, b in code)
-    return units.decode("utf-16-be", "replace")
+    units = []
+    for four, two, braced, eight in re.findall(
+        r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\u\{([0-9A-Fa-f]{1,6})\}|\\U([0-9A-Fa-f]{8})", token
+    ):
+        code = int(four or two or braced or eight, 16)
+        if code > 0xFFFF:
+            units.append(chr(code).encode("utf-16-be") if code <= 0x10FFFF else b"\xff\xfd")
+        else:
+            units.append(code.to_bytes(2, "big"))
+    return b"".join(units).decode("utf-16-be", "replace")
 
 
 def _members(data: bytes) -> Iterator[bytes]:
@@ -162,10 +173,60 @@ def _opens(data: bytes) -> bool:
         return False
 
 
+class _Token:
+    """A stretch of a text, with the methods of a match that are needed of it."""
+
+    def __init__(self, text: str, a: int, b: int):
+        self.text, self.a, self.b = text, a, b
+
+    def group(self) -> str:
+        return self.text[self.a : self.b]
+
+    def span(self) -> tuple[int, int]:
+        return self.a, self.b
+
+    def start(self) -> int:
+        return self.a
+
+    def end(self) -> int:
+        return self.b
+
+
+class _Wrapped:
+    """Finds base64 that goes on over lines: lines as long as the first, and a last one not longer.
+
+    What stands on the line behind may look like a last line; if all together decode to nothing, the
+    lines without it are the token.
+    """
+
+    @staticmethod
+    def finditer(text: str) -> Iterator[_Token]:
+        at = 0
+        while first := BASE64_FIRST.search(text, at):
+            a, at = first.start(1), first.end(1)
+            width, ends = at - a, [at]
+            while not text[ends[-1] - 1] == "=" and (line := BASE64_LINE.match(text, ends[-1])):
+                if len(line[1]) > width:
+                    break
+                ends.append(line.end(1))
+                if len(line[1]) < width:
+                    break
+            for end in ends[: -3 : -1] if len(ends) > 2 else ends[:0:-1]:
+                if _wrapped(text[a:end]) is not None:
+                    yield _Token(text, a, end)
+                    at = end
+                    break
+
+
+def _wrapped(token: str) -> str | Iterator[str] | None:
+    return _base64("".join(token.split()))
+
+
 _DECODERS = (
     (URL_RUN, _url),
     (UNICODE_RUN, _unicode),
     (BASE64_RUN, _base64),
+    (_Wrapped, _wrapped),
 )
 
 
@@ -180,7 +241,7 @@ class _Layer:
             return a, b
         return int(self.start[a:b].min()), int(self.end[a:b].max())
 
-    def unwrapped(self, pattern: re.Pattern, decode, aside: Callable[[_Layer], None]) -> tuple[_Layer | None, int]:
+    def unwrapped(self, pattern: re.Pattern | type[_Wrapped], decode, aside: Callable[[_Layer], None]) -> tuple[_Layer | None, int]:
         """This layer with every token of one encoding replaced, None if there is none; and the number of long ones.
 
         ``aside`` gets the windows of a token that has several; in its place stand their first and last words.
