@@ -139,8 +139,8 @@ class Encoder:
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = split.flatten().dictionary_encode()
         # Parts hold no blank, so one string of all of them is made and cut again.
-        listed = pa.LargeListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary)
-        known, parts = self.parts, pc.binary_join(listed, " ")[0].as_py().split(" ")
+        listed = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+        known, parts = self.parts, pc.binary_join(listed, pa.scalar(" ", pa.large_string()))[0].as_py().split(" ")
         pieces = list(map(known.get, parts))
         new = self._parts([p for p, found in zip(parts, pieces) if found is None])
         pieces = [new[p] if found is None else found for p, found in zip(parts, pieces)]
