@@ -58,6 +58,9 @@ def enrich_changes_as_of(changes: DataFrame, customer_changes: DataFrame) -> Dat
     return met.select("customer_id", "order.*", "source_timestamp", "version.image.*")
 
 
+MOMENTS = "row_key bigint, order_count bigint, mean_amount double, m2 double"
+
+
 def transaction_anomalies(
     orders: DataFrame, deviations: float = 2.0, minimum_orders: int = 5
 ) -> DataFrame:
@@ -83,6 +86,51 @@ def transaction_anomalies(
     )
 
 
+def order_moments(orders: DataFrame) -> DataFrame:
+    """row_key (the customer), order_count, mean_amount and m2, the sum of squares around the mean: what a
+    mean and a deviation follow from, and what can be merged.
+    """
+    amount = F.col("total_amount").cast("double")
+    named = orders.filter(F.col("customer_id").isNotNull() & F.col("total_amount").isNotNull())
+    return named.groupBy(F.col("customer_id").alias("row_key")).agg(
+        F.count(F.lit(1)).alias("order_count"),
+        F.avg(amount).alias("mean_amount"),
+        (F.var_pop(amount) * F.count(F.lit(1))).alias("m2"),
+    )
+
+
+def merged_moments(kept: DataFrame, new: DataFrame) -> DataFrame:
+    """Moments of both parts together, by the difference of the means, which loses no digits."""
+    a, b = (df.select("row_key", F.struct("order_count", "mean_amount", "m2").alias(s)) for df, s in ((kept, "a"), (new, "b")))
+    met = a.join(b, "row_key", "full")
+    n, apart = F.col("a.order_count") + F.col("b.order_count"), F.col("b.mean_amount") - F.col("a.mean_amount")
+    both = F.struct(
+        n.alias("order_count"),
+        (F.col("a.mean_amount") + apart * F.col("b.order_count") / n).alias("mean_amount"),
+        (F.col("a.m2") + F.col("b.m2") + apart * apart * F.col("a.order_count") * F.col("b.order_count") / n).alias("m2"),
+    )
+    return met.select("row_key", F.when(F.col("a").isNull(), F.col("b")).when(F.col("b").isNull(), F.col("a")).otherwise(both).alias("x")).select("row_key", "x.*")
+
+
+def anomalies_from_moments(
+    orders: DataFrame, moments: DataFrame, deviations: float = 2.0, minimum_orders: int = 5
+) -> DataFrame:
+    """As ``transaction_anomalies``, with limits from kept moments: only the orders asked for are read."""
+    usual = moments.filter(F.col("order_count") >= minimum_orders).select(
+        F.col("row_key").alias("customer_id"),
+        "order_count",
+        "mean_amount",
+        F.sqrt(F.col("m2") / F.nullif(F.col("order_count") - 1, F.lit(0))).alias("deviation"),
+    )
+    placed = orders.select(F.col("id").alias("order_id"), "customer_id", "total_amount")
+    limit = F.col("mean_amount") + deviations * F.col("deviation")
+    return (
+        join_per_key(placed, usual, "customer_id", "order_count")
+        .filter(F.col("total_amount").cast("double") > limit)
+        .select("order_id", "customer_id", "total_amount", "order_count", "mean_amount", "deviation")
+    )
+
+
 def restock_alerts(changes: DataFrame, threshold: int = 10) -> DataFrame:
     """Products whose stock falls from ``threshold`` or more to below it."""
     return stock_changes(changes).filter(

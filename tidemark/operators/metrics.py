@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -53,3 +53,17 @@ def latest_metrics(batches: DataFrame, keys: list[str]) -> DataFrame:
     return batches.groupBy("window_start", "window_end", *keys).agg(
         F.max_by("change_count", "batch_id").alias("change_count")
     )
+
+
+def kept_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The windows a ``change_metrics`` stream still holds, with their counts, from its checkpoint alone: what a
+    restart would go on from, to be set against a count of the history.
+    """
+    held = spark.read.format("statestore").load(checkpoint)
+    return held.select(
+        F.col("key.window.start").alias("window_start"),
+        F.col("key.window.end").alias("window_end"),
+        "key.table_name",
+        "key.operation",
+        F.col("value.count").alias("change_count"),
+    )

@@ -167,6 +167,29 @@ SELECT customer_id, id AS order_id, total_amount, status, op AS operation,
 FROM o LEFT JOIN customer ON customer_id = c_custkey
 """
 
+ANOMALIES = f"""
+WITH {ORDERS},
+usual AS (
+  SELECT customer_id, count(total_amount) AS order_count,
+    avg(CAST(total_amount AS DOUBLE)) AS mean_amount,
+    stddev_samp(CAST(total_amount AS DOUBLE)) AS deviation
+  FROM o GROUP BY customer_id HAVING count(total_amount) >= 5)
+SELECT o.id AS order_id, o.customer_id, o.total_amount, order_count
+FROM o JOIN usual USING (customer_id)
+WHERE CAST(o.total_amount AS DOUBLE) > mean_amount + 2 * deviation
+"""
+
+TYPED_PATHS = f"""
+WITH {CUSTOMERS}
+SELECT ts AS "timestamp", op AS operation,
+  CASE WHEN op <> 'd' THEN id END AS customer_id,
+  CASE WHEN op <> 'd' THEN c.first_name END AS first_name,
+  CASE WHEN op <> 'd' THEN c.last_name END AS last_name,
+  CASE WHEN op <> 'd' THEN new_email END AS email,
+  ts_ms AS source_timestamp
+FROM c
+"""
+
 LOG = f"""
 WITH {ALL_CHANGES}
 SELECT table_name, CAST(ts AS DATE) AS event_date, op AS operation, count(*) AS change_count,
@@ -244,15 +267,29 @@ SELECT ts AS "timestamp", op AS operation,
   CASE WHEN op <> 'd' THEN new_email END AS email
 FROM c
 """,
-    "parse_change_paths_typed": f"""
-WITH {CUSTOMERS}
-SELECT ts AS "timestamp", op AS operation,
-  CASE WHEN op <> 'd' THEN id END AS customer_id,
-  CASE WHEN op <> 'd' THEN c.first_name END AS first_name,
-  CASE WHEN op <> 'd' THEN c.last_name END AS last_name,
-  CASE WHEN op <> 'd' THEN new_email END AS email,
-  ts_ms AS source_timestamp
-FROM c
+    "parse_change_paths_typed": TYPED_PATHS,
+    "variant_change_paths": TYPED_PATHS,
+    "schema_drift": f"""
+WITH {CUSTOMERS}, {PRODUCTS},
+counts AS (
+  SELECT (SELECT count(*) FROM c WHERE op <> 'd') AS customers, (SELECT count(*) FROM p WHERE op <> 'd') AS products,
+    (SELECT count(*) FROM c WHERE op <> 'd' AND phone IS NOT NULL) AS phones),
+prices AS (
+  SELECT max(length(CAST(CAST(floor(new_price) AS BIGINT) AS VARCHAR))) AS digits,
+    max(CASE WHEN new_price * 10 % 1 <> 0 THEN 2 WHEN new_price % 1 <> 0 THEN 1 ELSE 0 END) AS scale
+  FROM p WHERE op <> 'd'),
+fields(table_name, field, seen_type, declared_type, status) AS (VALUES
+  ('customers', 'id', 'BIGINT', 'bigint', 'declared'), ('customers', 'first_name', 'STRING', 'string', 'declared'),
+  ('customers', 'last_name', 'STRING', 'string', 'declared'), ('customers', 'email', 'STRING', 'string', 'declared'),
+  ('customers', 'created_at', 'BIGINT', 'bigint', 'declared'), ('customers', 'updated_at', 'BIGINT', 'bigint', 'declared'),
+  ('customers', 'phone', 'STRING', NULL, 'undeclared'), ('products', 'id', 'BIGINT', 'bigint', 'declared'),
+  ('products', 'name', 'STRING', 'string', 'declared'), ('products', 'description', 'VOID', 'string', 'declared'),
+  ('products', 'price', 'DECIMAL', 'decimal(10,2)', 'declared'), ('products', 'quantity_in_stock', 'BIGINT', 'int', 'declared'),
+  ('products', 'category', 'STRING', 'string', 'declared'), ('products', 'created_at', 'BIGINT', 'bigint', 'declared'),
+  ('products', 'updated_at', 'BIGINT', 'bigint', 'declared'))
+SELECT table_name, field, CASE WHEN seen_type = 'DECIMAL' THEN 'DECIMAL(' || (digits + scale) || ',' || scale || ')' ELSE seen_type END AS seen_type,
+  declared_type, CASE WHEN field = 'phone' THEN phones WHEN table_name = 'customers' THEN customers ELSE products END AS changes, status
+FROM fields, counts, prices
 """,
     "changes": f"WITH {CUSTOMERS} SELECT ts AS kafka_timestamp, {FLAT_CUSTOMER} FROM c",
     "message_metadata": f"""
@@ -323,6 +360,12 @@ WITH {ORDERS} SELECT op AS operation, count(*) AS change_count FROM o GROUP BY R
     "change_metrics_history": METRICS,
     "op_stats": f"""
 SELECT {MINUTES}, event_type AS operation, count(*) AS change_count FROM events GROUP BY ALL
+""",
+    "op_stats_complete": f"""
+SELECT {MINUTES}, event_type AS operation, count(*) AS change_count FROM events GROUP BY ALL
+""",
+    "open_windows": f"""
+SELECT * FROM ({METRICS}) WHERE window_end > (WITH {ALL_CHANGES} SELECT max(ts) FROM a) - INTERVAL 1 MINUTE
 """,
     "late_changes": f"""
 WITH {ORDERS},
@@ -520,17 +563,8 @@ SELECT count(*) AS change_count,
   (SELECT max(CAST(o_orderdate AS TIMESTAMP)) FROM orders) - INTERVAL 1 MINUTE AS watermark
 FROM orders
 """,
-    "transaction_anomalies": f"""
-WITH {ORDERS},
-usual AS (
-  SELECT customer_id, count(total_amount) AS order_count,
-    avg(CAST(total_amount AS DOUBLE)) AS mean_amount,
-    stddev_samp(CAST(total_amount AS DOUBLE)) AS deviation
-  FROM o GROUP BY customer_id HAVING count(total_amount) >= 5)
-SELECT o.id AS order_id, o.customer_id, o.total_amount, order_count
-FROM o JOIN usual USING (customer_id)
-WHERE CAST(o.total_amount AS DOUBLE) > mean_amount + 2 * deviation
-""",
+    "transaction_anomalies": ANOMALIES,
+    "kept_transaction_anomalies": ANOMALIES,
     "restock_alerts": f"""
 WITH {PRODUCTS}, s AS ({STOCK}) SELECT * FROM s WHERE old_stock >= 10 AND new_stock < 10
 """,

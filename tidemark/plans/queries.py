@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
 from tidemark.operators import changes as ch
-from tidemark.operators import cohort_bitmaps, insight, metrics, parse, quality, retention, sales, state
+from tidemark.operators import cohort_bitmaps, insight, metrics, parse, quality, retention, sales, state, variants
 from tidemark.plans import daily_sales, monitor
 from tidemark.session import scratch_dir
 from tidemark.sources import feeds, replay, state_table, tables
@@ -323,6 +323,27 @@ def parse_change_paths_typed(spark: SparkSession, d: str) -> DataFrame:
     return parse.parse_change_paths(_customer_records(spark, d), typed=True)
 
 
+@_query
+def variant_change_paths(spark: SparkSession, d: str) -> DataFrame:
+    """The typed paths of ``parse_change_paths`` from messages of no declared type."""
+    paths = {
+        "operation": ("op", "string"),
+        "customer_id": ("after.id", "bigint"),
+        "first_name": ("after.first_name", "string"),
+        "last_name": ("after.last_name", "string"),
+        "email": ("after.email", "string"),
+        "source_timestamp": ("source.ts_ms", "bigint"),
+    }
+    return variants.change_paths(_customer_records(spark, d), paths)
+
+
+@_query
+def schema_drift(spark: SparkSession, d: str) -> DataFrame:
+    """Fields of customers and products as they arrive, against their first row types."""
+    records = _customer_records(spark, d).unionByName(_product_records(spark, d))
+    return variants.schema_drift(variants.seen_fields(records), ["customers", "products"])
+
+
 @_query
 def changes(spark: SparkSession, d: str) -> DataFrame:
     return _flat_customers(_customer_changes(spark, d, "id", "email"))
@@ -461,6 +482,22 @@ def op_stats(spark: SparkSession, d: str) -> DataFrame:
     return monitor.current_stats(spark, _replayed(spark, "stats-stream", arrivals, watch))
 
 
+@_query
+def op_stats_complete(spark: SparkSession, d: str) -> DataFrame:
+    """Complete mode: every window of the last trigger, in order."""
+    arrivals = [feeds.event_feed(p) for p in _slices(_t(spark, d, "events"), "ts")]
+    watch = partial(monitor.watch_stats, state_partitions=STATE_PARTITIONS, complete=True)
+    return sinks.latest_table(spark, _replayed(spark, "complete-stream", arrivals, watch), monitor.STATS)
+
+
+@_query
+def open_windows(spark: SparkSession, d: str) -> DataFrame:
+    """The counts that a stream still holds, read from its checkpoint after two runs."""
+    watch = partial(monitor.watch_metrics, state_partitions=STATE_PARTITIONS)
+    out = _replayed(spark, "audited-stream", _mixed_arrivals(spark, d), watch)
+    return metrics.kept_windows(spark, f"{out.removesuffix('/out')}/checkpoint")
+
+
 @_query
 def late_changes(spark: SparkSession, d: str) -> DataFrame:
     """Update mode with a quarter of the orders arriving late: those whose window closed before
@@ -777,6 +814,19 @@ def transaction_anomalies(spark: SparkSession, d: str) -> DataFrame:
     return flagged.select("order_id", "customer_id", "total_amount", "order_count")
 
 
+@_query
+def kept_transaction_anomalies(spark: SparkSession, d: str) -> DataFrame:
+    """Limits from moments kept per customer and merged in three batches, the second of them twice."""
+    orders = _stored(spark, d)["orders"]
+    path = scratch_dir(spark, "moments")
+    for batch, part in enumerate(_slices(orders, "id", 3)):
+        for _ in range(1 + batch % 2):
+            state_table.update(insight.order_moments(part), path, insight.merged_moments, 16, batch)
+    moments = state_table.read(spark, path, schemas.struct(insight.MOMENTS))
+    flagged = insight.anomalies_from_moments(orders, moments)
+    return flagged.select("order_id", "customer_id", "total_amount", "order_count")
+
+
 @_query
 def restock_alerts(spark: SparkSession, d: str) -> DataFrame:
     return insight.restock_alerts(_product_changes(spark, d))

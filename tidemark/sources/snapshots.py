@@ -23,11 +23,14 @@ _POINTERS = "_snapshots"
 
 
 class Snapshot(NamedTuple):
-    """``folders``: per partition folder ("" without partitions) its versions; ``upto``: a mark of the writer's."""
+    """``folders``: per partition folder ("" without partitions) its versions; ``upto``: the last batch it
+    holds, where batches are counted; ``buckets``: their number, where rows lie in buckets.
+    """
 
     number: int
     folders: dict[str, list[int]]
     upto: int = -1
+    buckets: int = 0
 
 
 class Conflict(RuntimeError):
@@ -62,7 +65,7 @@ def _load(spark: SparkSession, path: str, number: int) -> Snapshot:
         found = json.loads(bytes(stream.readAllBytes()))
     finally:
         stream.close()
-    return Snapshot(number, found["folders"], found["upto"])
+    return Snapshot(number, **found)
 
 
 def latest(spark: SparkSession, path: str) -> Snapshot:
@@ -89,7 +92,7 @@ def publish(spark: SparkSession, path: str, snapshot: Snapshot) -> None:
     _, draft = place(spark, f"{path}/{_POINTERS}/.{uuid.uuid4().hex}")
     _, target = place(spark, f"{path}/{_POINTERS}/{snapshot.number}")
     stream = files.create(draft, True)
-    stream.write(bytearray(json.dumps({"folders": snapshot.folders, "upto": snapshot.upto}).encode()))
+    stream.write(bytearray(json.dumps({k: v for k, v in snapshot._asdict().items() if k != "number"}).encode()))
     stream.close()
     if files.exists(target) or not files.rename(draft, target):
         files.delete(draft, False)

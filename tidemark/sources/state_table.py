@@ -11,6 +11,7 @@ effect at once or not at all, and repeating one changes nothing.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +31,8 @@ def _bucket(n: int) -> Column:
 
 def _registered(spark: SparkSession, path: str, schema: T.StructType, buckets: int) -> str:
     """Name of the bucketed table over ``path``, its folders as they are now."""
+    files, folder = snapshots.place(spark, path)
+    files.mkdirs(folder)
     name = "tidemark_state_" + hashlib.sha1(path.encode()).hexdigest()[:16]
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(
@@ -58,30 +61,41 @@ def merged(kept: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def merge(changes: DataFrame, path: str, key: str = "id", buckets: int = 64) -> list[int]:
-    """Bring the table up to date with changes; gives the buckets that were written.
+    """Bring a table of last changes up to date; gives the buckets that were written. A repeat changes nothing."""
+    return update(state.latest_changes(changes, key), path, merged, buckets)
 
-    ``buckets`` counts when the table is made: take it so that a bucket suits a task.
+
+def update(
+    new: DataFrame, path: str, combine: Callable[[DataFrame, DataFrame], DataFrame], buckets: int = 64, batch: int | None = None
+) -> list[int]:
+    """Bring a table of one row per key up to date with ``new``, of the same columns; gives the buckets written.
+
+    ``combine(kept, new)`` joins the two on the key and gives all of their keys. Where a repeat would count
+    twice, ``batch`` numbers the updates: one that is in already is passed over. ``buckets`` counts when
+    the table is made: take it so that a bucket suits a task.
     """
-    spark = changes.sparkSession
+    spark = new.sparkSession
     now = snapshots.latest(spark, path)
-    n = now.upto if now.number else buckets
-    new = state.latest_changes(changes, key).persist(StorageLevel.MEMORY_AND_DISK)
+    if batch is not None and batch <= now.upto:
+        return []
+    n = now.buckets or buckets
+    new = new.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         touched = sorted(r[0] for r in new.select(_bucket(n)).distinct().collect())
-        if now.number and not touched:
+        if now.number and not touched and batch is None:
             return []
         number = now.number + 1
         for bucket in touched:  # what a run that ended before its snapshot has left
             snapshots.delete(spark, f"{path}/bucket={bucket}/version={number}")
         name = _registered(spark, path, new.schema, n)
         known = [b for b in touched if f"bucket={b}" in now.folders]
-        rows = merged(_kept(spark, name, now, known), new) if known else new.repartition(n, KEY)
+        rows = combine(_kept(spark, name, now, known), new) if known else new.repartition(n, KEY)
         placed = rows.select(*new.columns, _bucket(n).alias("bucket"), F.lit(number).cast("bigint").alias("version"))
         placed.write.insertInto(name)
     finally:
         new.unpersist()
     folders = now.folders | {f"bucket={b}": [number] for b in touched}
-    snapshots.publish(spark, path, snapshots.Snapshot(number, folders, n))
+    snapshots.publish(spark, path, snapshots.Snapshot(number, folders, now.upto if batch is None else batch, n))
     _tidy(spark, path, touched, [now.folders, folders])
     return touched
 
@@ -96,13 +110,18 @@ def _tidy(spark: SparkSession, path: str, buckets: list[int], valid: list[dict[s
                 snapshots.delete(spark, f"{path}/{folder}/{version}")
 
 
-def latest(spark: SparkSession, path: str, image: T.DataType) -> DataFrame:
-    """The last change of every row, deletions included; ``image`` is the type of a row."""
+def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of a table kept by ``update``."""
     now = snapshots.latest(spark, path)
-    schema = T.StructType.fromDDL(f"{KEY} bigint, source_timestamp bigint, offset bigint, operation string").add("image", image)
     if not now.number:
         return spark.createDataFrame([], schema)
-    return _kept(spark, _registered(spark, path, schema, now.upto), now)
+    return _kept(spark, _registered(spark, path, schema, now.buckets), now)
+
+
+def latest(spark: SparkSession, path: str, image: T.DataType) -> DataFrame:
+    """The last change of every row, deletions included; ``image`` is the type of a row."""
+    ddl = f"{KEY} bigint, source_timestamp bigint, offset bigint, operation string"
+    return read(spark, path, T.StructType.fromDDL(ddl).add("image", image))
 
 
 def live(spark: SparkSession, path: str, image: T.DataType) -> DataFrame:
