@@ -12,7 +12,7 @@ from tidemark.sources import snapshots, state_table
 def _orders(spark, seed=1, n=600):
     draw = random.Random(seed)
     rows = [(i, draw.randint(1, 20), 1_000_000 + draw.randint(-300, 300) / 100) for i in range(n)]
-    rows += [(n, None, 5.0), (n + 1, 3, None), (n + 2, 99, 7.0)]
+    rows += [(n, None, 5.0), (n + 1, 3, None), (n + 2, 99, 7.0), (n + 3, 3, 1_000_100.0)]
     df = spark.createDataFrame(rows, "id bigint, customer_id bigint, total_amount double")
     return df.withColumn("total_amount", F.col("total_amount").cast("decimal(12,2)")).cache()
 
