@@ -14,7 +14,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 @pytest.mark.parametrize("name", sorted(expected.SQL))
 def test_query(spark, name):
     db = duckdb.connect()
-    for table in ("documents", "pages", "labels", "embeddings"):
+    for table in ("documents", "pages", "labels", "embeddings", "conversations"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     got = all_queries()[name](spark, SF_DIR)
     columns = ", ".join(f'"{c}"' for c in got.columns)

@@ -147,7 +147,8 @@ def _sampled(docs: DataFrame, ids: DataFrame, sample: int) -> np.ndarray:
     hashed = F.xxhash64(F.col("doc_id").cast("string"))
     chosen = ids.select("doc_id").distinct().orderBy(hashed, "doc_id").limit(sample)
     rows = docs.join(F.broadcast(chosen), "doc_id", "left_semi").select("doc_id", _vectors("text").alias("x"))
-    found = sorted(rows.dropDuplicates(["doc_id"]).collect(), key=lambda r: r["doc_id"])
+    # Of rows alike in doc_id one counts, the same in every run.
+    found = sorted(rows.groupBy("doc_id").agg(F.min("x").alias("x")).collect(), key=lambda r: r["doc_id"])
     return np.frombuffer(b"".join(r["x"] for r in found), np.float32).reshape(-1, N_FEATURES)
 
 
