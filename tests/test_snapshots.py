@@ -205,3 +205,21 @@ def test_files_read_for_one_key_fall(spark, out):
     finally:
         spark.conf.unset("spark.sql.files.maxRecordsPerFile")
     assert _files_scanned(near) <= _files_scanned(loose) / 5
+
+
+def test_batch_is_seen_when_all_of_it_is_written(spark, out):
+    """Of a batch that ended within its write, over several folders, readers see nothing; a repeat completes it."""
+    write = sinks.partitioned_table(f"{out}/log", ["part"])
+    batch = lambda n: spark.range(n * 10, n * 10 + 10).withColumn("part", F.col("id") % 3)
+    write(batch(0), 0)
+    ddl = "id bigint, part bigint"
+    before = _rows(sinks.read_batches(spark, f"{out}/log", ddl))
+    half = batch(1).filter("part = 1").withColumn("batch_id", F.lit(1))
+    half.write.mode("append").partitionBy("part", "batch_id").parquet(f"{out}/log")
+    assert _rows(sinks.read_batches(spark, f"{out}/log", ddl)) == before
+    write(batch(1), 1)
+    assert sinks.read_batches(spark, f"{out}/log", ddl).count() == 20
+    write(batch(1), 1)
+    write(batch(0), 0)
+    assert sinks.read_batches(spark, f"{out}/log", ddl).count() == 20
+    assert snapshots.names(spark, f"{out}/log/_finished") == ["1"]

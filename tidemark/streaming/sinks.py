@@ -80,6 +80,33 @@ def _kept(batch: DataFrame) -> Iterator[DataFrame]:
         kept.unpersist()
 
 
+_FINISHED = "_finished"
+
+
+def _finished(spark: SparkSession, path: str) -> int | None:
+    """The last batch that is written as a whole; None for a table without such marks."""
+    done = [int(n) for n in snapshots.names(spark, f"{path}/{_FINISHED}")]
+    return max(done, default=None)
+
+
+@contextmanager
+def _whole(spark: SparkSession, path: str, batch_id: int) -> Iterator[bool]:
+    """Whether a batch is still to be written; marked afterwards as there for readers, in one step.
+
+    Files become visible one by one as a write ends, over many folders where a table is partitioned;
+    readers pass over batches behind the last mark, and a marked batch is not written again.
+    """
+    last = _finished(spark, path)
+    if last is not None and batch_id <= last:
+        yield False
+        return
+    yield True
+    files, mark = snapshots.place(spark, f"{path}/{_FINISHED}/{batch_id}")
+    files.mkdirs(mark)
+    if last is not None:
+        snapshots.delete(spark, f"{path}/{_FINISHED}/{last}")
+
+
 def _skipped(kept: DataFrame, batch_id: int) -> bool:
     """Empty micro-batches write nothing, save the first, which leaves an empty table to read."""
     return batch_id > 0 and kept.isEmpty()
@@ -93,7 +120,9 @@ def batch_tables(results: dict[str, Transform], base: str) -> BatchFunction:
             if _skipped(kept, batch_id):
                 return
             for name, transform in results.items():
-                _overwrite(transform(kept), f"{base}/{name}/batch_id={batch_id}")
+                with _whole(batch.sparkSession, f"{base}/{name}", batch_id) as wanted:
+                    if wanted:
+                        _overwrite(transform(kept), f"{base}/{name}/batch_id={batch_id}")
 
     return _for_output(write, base)
 
@@ -106,12 +135,15 @@ def batch_table(path: str, transform: Transform | None = None) -> BatchFunction:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         target = f"{path}/batch_id={batch_id}"
-        if not transform:
-            _overwrite(batch, target)
-            return
-        with _kept(batch) as kept:
-            if not _skipped(kept, batch_id):
-                _overwrite(transform(kept), target)
+        with _whole(batch.sparkSession, path, batch_id) as wanted:
+            if not wanted:
+                return
+            if not transform:
+                _overwrite(batch, target)
+                return
+            with _kept(batch) as kept:
+                if not _skipped(kept, batch_id):
+                    _overwrite(transform(kept), target)
 
     return _for_output(write, path)
 
@@ -122,14 +154,17 @@ def partitioned_table(path: str, partition_by: Sequence[str]) -> BatchFunction:
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (
-            batch.hint("rebalance", *partition_by)
-            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partition_by, "batch_id")
-            .parquet(path)
-        )
+        with _whole(batch.sparkSession, path, batch_id) as wanted:
+            if not wanted:
+                return
+            (
+                batch.hint("rebalance", *partition_by)
+                .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*partition_by, "batch_id")
+                .parquet(path)
+            )
 
     return _for_output(write, path)
 
@@ -194,6 +229,9 @@ def _batch_folders(spark: SparkSession, path: str) -> dict[str, list[int]]:
 def read_batches(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """A result table with its ``batch_id``: the folded batches and those behind them."""
     batches = spark.read.schema(_with_batch(ddl)).parquet(path)
+    last = _finished(spark, path)
+    if last is not None:
+        batches = batches.filter(F.col("batch_id") <= last)
     folded = snapshots.latest(spark, path + _FOLDED)
     if not folded.folders:
         return batches
