@@ -89,7 +89,7 @@ def reconcile_order_totals(
     return compared.filter(~F.col("total_amount").eqNullSafe(F.col("line_total")))
 
 
-def _declared(names: Collection[str]) -> list[tuple[str, str, str]]:
+def declared(names: Collection[str]) -> list[tuple[str, str, str]]:
     """(table, rule, column) of every constraint that the tables given allow to check."""
     out = []
     for name in names:
@@ -113,7 +113,7 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
     row, and meet the counted ids of the parent, which lie as they were counted, by an anti join. What
     breaks a rule is summed once, for all rules together.
     """
-    rules = _declared(tables)
+    rules = declared(tables)
     number = {rule: i for i, rule in enumerate(rules)}
     found = []
     for name, df in tables.items():

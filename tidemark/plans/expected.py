@@ -504,6 +504,22 @@ WITH checks AS (
   UNION ALL SELECT 'addresses', 'foreign key', 'customer_id', count(*) FROM supplier
     WHERE s_suppkey IS NOT NULL AND s_suppkey NOT IN (SELECT c_custkey FROM customer))
 SELECT * FROM checks
+""",
+    "kept_constraint_report": """
+WITH c AS (
+  SELECT c_custkey AS id, c_mktsegment AS first_name, c_name AS last_name,
+    CASE WHEN c_custkey % 10 = 1 THEN 'all@example.com' ELSE lower(c_name) END AS email
+  FROM customer WHERE c_custkey % 10 <> 0),
+o AS (
+  SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN -1 WHEN o_orderkey % 11 = 5 THEN NULL ELSE o_custkey END AS customer_id,
+    CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 11 = 5 THEN NULL ELSE o_totalprice END AS total_amount
+  FROM orders)
+SELECT 'customers' AS table_name, 'not null' AS rule, unnest(['id', 'first_name', 'last_name', 'email']) AS column_name,
+  unnest([count(*) - count(id), count(*) - count(first_name), count(*) - count(last_name), count(*) - count(email)]) AS violations FROM c
+UNION ALL SELECT 'orders', 'not null', unnest(['id', 'total_amount']), unnest([count(*) - count(id), count(*) - count(total_amount)]) FROM o
+UNION ALL SELECT 'customers', 'unique', unnest(['id', 'email']), unnest([count(id) - count(DISTINCT id), count(email) - count(DISTINCT email)]) FROM c
+UNION ALL SELECT 'orders', 'unique', 'id', count(id) - count(DISTINCT id) FROM o
+UNION ALL SELECT 'orders', 'foreign key', 'customer_id', count(*) FROM o WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT id FROM c)
 """,
     # ---- change log, state, insight
     "change_log": LOG,

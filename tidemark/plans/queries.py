@@ -12,13 +12,13 @@ import datetime as dt
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
 from tidemark.operators import changes as ch
-from tidemark.operators import cohort_bitmaps, insight, metrics, parse, quality, retention, sales, state, variants
+from tidemark.operators import cohort_bitmaps, insight, kept_constraints, metrics, parse, quality, retention, sales, state, variants
 from tidemark.plans import daily_sales, monitor
 from tidemark.session import scratch_dir
 from tidemark.sources import feeds, replay, state_table, tables
@@ -650,6 +650,46 @@ def constraint_report(spark: SparkSession, d: str) -> DataFrame:
     return quality.constraint_report(_stored(spark, d))
 
 
+def _table_changes(spark: SparkSession, d: str) -> list[dict[str, DataFrame]]:
+    """Changes of customers and orders in three batches: all rows, then some customers go and some get the
+    e-mail of all, then some orders lose their customer or total.
+    """
+    stored = _stored(spark, d)
+    customers, orders = stored["customers"], stored["orders"]
+
+    def changed(df: DataFrame, operation: str, **new: Column) -> DataFrame:
+        before, after = F.struct(*df.columns), F.struct(*[new.get(c, F.col(c)).cast(df.schema[c].dataType).alias(c) for c in df.columns])
+        none = F.lit(None)
+        return df.select(
+            F.lit(operation).alias("operation"),
+            (none.cast(df.select(before).schema[0].dataType) if operation == "c" else before).alias("before_data"),
+            (none.cast(df.select(before).schema[0].dataType) if operation == "d" else after).alias("after_data"),
+        )
+
+    gone, renamed = customers.filter("id % 10 = 0"), customers.filter("id % 10 = 1")
+    lost, empty = orders.filter("id % 7 = 0"), orders.filter("id % 11 = 5 AND id % 7 <> 0")
+    return [
+        {"customers": changed(customers, "c"), "orders": changed(orders, "c")},
+        {"customers": changed(gone, "d").unionByName(changed(renamed, "u", email=F.lit("all@example.com")))},
+        {
+            "orders": changed(lost, "u", customer_id=F.lit(-1)).unionByName(
+                changed(empty, "u", customer_id=F.lit(None), total_amount=F.lit(None))
+            )
+        },
+    ]
+
+
+@_query
+def kept_constraint_report(spark: SparkSession, d: str) -> DataFrame:
+    """Violations from counts kept over three batches of changes, the second of them delivered twice."""
+    path = scratch_dir(spark, "constraints")
+    for batch, found in enumerate(_table_changes(spark, d)):
+        for _ in range(1 + batch % 2):
+            state_table.update(kept_constraints.signed_values(found), path, kept_constraints.added, 16, batch)
+    counts = state_table.read(spark, path, schemas.struct(kept_constraints.COUNTS))
+    return kept_constraints.report(counts, ["customers", "orders"])
+
+
 # ---- change log, state, insight -------------------------------------------------------------
 
 
