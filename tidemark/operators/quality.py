@@ -125,7 +125,8 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
         if rule == "unique":
             found.append(counted.filter("n > 1").select(F.lit(i).alias("i"), F.col("n") - 1))
         elif rule == "foreign key":
-            parents = _counted(tables[FOREIGN_KEYS[name][column]], "id").select("value")
+            # Counted as for the unique rule, so that its shuffle is run once.
+            parents = _counted(tables[FOREIGN_KEYS[name][column]], "id").filter("n > 0")
             found.append(counted.join(parents, "value", "left_anti").select(F.lit(i).alias("i"), "n"))
     broken = reduce(DataFrame.union, found).groupBy("i").agg(F.sum("n").alias("violations"))
     every = tables[rules[0][0]].sparkSession.createDataFrame(

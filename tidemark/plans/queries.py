@@ -248,7 +248,7 @@ def write_metrics(spark: SparkSession, d: str) -> DataFrame:
 def archive_metrics(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_dir(spark, "archive")
     tables.archive_metrics(sales.daily_metrics(_staging(spark, d)), path)
-    return tables.read_metrics(spark, path)
+    return tables.read_archive(spark, path)
 
 
 # ---- parsing --------------------------------------------------------------------------------

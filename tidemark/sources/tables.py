@@ -153,3 +153,8 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
 def archive_metrics(df: DataFrame, path: str) -> None:
     """Full backup copy of the metrics."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
+def read_archive(spark: SparkSession, path: str) -> DataFrame:
+    """A backup copy of the metrics."""
+    return spark.read.schema(schemas.struct(schemas.DAILY_METRICS)).parquet(path)
