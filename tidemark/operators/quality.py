@@ -110,8 +110,8 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
 
     Missing values are found in one pass over a table, unique columns are counted per value in their
     own type. References are folded to their distinct values first, so one held by very many rows is one
-    row, and meet the counted ids of the parent, which lie as they were counted, by an anti join. What
-    breaks a rule is summed once, for all rules together.
+    row, and meet the distinct ids of the parent by an anti join. What breaks a rule is summed once, for all
+    rules together.
     """
     rules = declared(tables)
     number = {rule: i for i, rule in enumerate(rules)}
@@ -125,8 +125,7 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
         if rule == "unique":
             found.append(counted.filter("n > 1").select(F.lit(i).alias("i"), F.col("n") - 1))
         elif rule == "foreign key":
-            # Counted as for the unique rule, so that its shuffle is run once.
-            parents = _counted(tables[FOREIGN_KEYS[name][column]], "id").filter("n > 0")
+            parents = _counted(tables[FOREIGN_KEYS[name][column]], "id").select("value")
             found.append(counted.join(parents, "value", "left_anti").select(F.lit(i).alias("i"), "n"))
     broken = reduce(DataFrame.union, found).groupBy("i").agg(F.sum("n").alias("violations"))
     every = tables[rules[0][0]].sparkSession.createDataFrame(
