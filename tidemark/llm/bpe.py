@@ -39,12 +39,12 @@ VOCABULARY = "word_bpe_49k.json"
 FOREST = 64
 
 #: Bounds of what one Python worker remembers: parts of text, and the characters of a part.
-CACHE_PARTS = 300_000
+CACHE_PARTS = 100_000
 CACHE_CHARS = 48
 
 #: Documents, and bytes of them, whose new words are merged together; a longer text is alone.
 TEXTS_AT_ONCE = 2048
-BYTES_AT_ONCE = 1 << 22
+BYTES_AT_ONCE = 1 << 21
 
 _NONE = np.iinfo(np.int32).max
 _AT_ONCE = 1 << 14
