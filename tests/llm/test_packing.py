@@ -74,3 +74,19 @@ def test_plan_uses_every_piece(seed):
     assert used == counts
     bound = max(sum(k * n for k, n in counts.items()) / 100, sum(n for k, n in counts.items() if k > 50))
     assert bins <= bound * 1.02 + 2
+
+
+def test_ranks_come_from_the_sorted_ranges(spark, documents):
+    """Many ranges, of which several hold one length: pieces are placed where they lie, without another shuffle."""
+    rows = [(i, "word " * (i % 3 if i % 4 else 4100), "a") for i in range(120)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 40)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = packing.pack(documents(rows))
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+        assert not any(step in plan for step in ("Exchange", "Window", "Join"))
+        _check(placed.collect(), [(i, t) for i, t, _ in rows])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

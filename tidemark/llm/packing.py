@@ -7,7 +7,7 @@ appears without it more tightly, they take its place.
 Only lengths matter for that, and there are at most ``CAPACITY`` of them. So the plan is made from the
 number of pieces per length - a table of bounded size, whatever the number of documents - as a list
 of patterns, each for as many sequences as its lengths allow at once. Pieces are then ranked within
-their length by a range sort and take the places of that rank. The whole collection is packed as one,
+their length by one range sort, counted on from what lies in earlier ranges, and take the places of that rank. The whole collection is packed as one,
 with no loss at task borders, and no task holds more than its range of narrow rows.
 
 Defined cases: a null text is an empty one, whose only token is the end mark; repeated rows are packed
@@ -16,9 +16,8 @@ each for itself; an empty table packs to nothing; other columns are ignored.
 
 from __future__ import annotations
 
-import bisect
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import Encoder, encodings
-from tidemark.llm.common import offsets, ranged, running
+from tidemark.llm.common import ranged
 
 CAPACITY = 4096
 END = 1
@@ -113,35 +112,57 @@ def places(plan: Iterator[tuple[list[int], int]]) -> dict[int, tuple[list[int],
     return out
 
 
+def _starts(counts: Iterable[tuple[int, int, int]]) -> dict[tuple[int, int], int]:
+    """Per (part, length): how many pieces of that length lie in earlier parts; from (part, length, pieces)."""
+    seen: dict[int, int] = {}
+    out: dict[tuple[int, int], int] = {}
+    for part, length, n in sorted(counts):
+        out[part, length] = seen.get(length, 0)
+        seen[length] = out[part, length] + n
+    return out
+
+
 def place(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``parts`` with ``sequence_id`` and ``offset``; needs the columns of ``pieces``."""
+    """``parts`` with ``sequence_id`` and ``offset``; needs the columns of ``pieces``.
+
+    A range begins with the length at which the one before ends, so there are fewer pairs of part and
+    length than parts and lengths together, and a piece's rank follows from its place in its sorted range.
+    """
     order = ["length", "doc_id", "piece", "ids_crc32"]
     columns = parts.columns
-    cut = ranged(parts.withColumn("one", F.lit(1)), *order)
-    counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    shared = parts.sparkSession.sparkContext.broadcast(places(patterns(counts, capacity)))
-    before = offsets(cut, "one", ["length"])
-    rank = F.col("inside") + F.col("before") - 1
-    ranked = cut.withColumn("inside", running("one", order, ["length"])).join(before, ["part", "length"])
-    ranked = ranked.select(*columns, rank.alias("rank"))
+    cut = ranged(parts, *order)
+    counts = [tuple(r) for r in cut.groupBy("part", "length").agg(F.count(F.lit(1))).collect()]
+    pieces_of: dict[int, int] = {}
+    for _, length, n in counts:
+        pieces_of[length] = pieces_of.get(length, 0) + n
+    shared = parts.sparkSession.sparkContext.broadcast((places(patterns(pieces_of, capacity)), _starts(counts)))
     kinds = ", ".join(f"{n} {t}" for n, t in parts.dtypes)
 
     def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        table, starts = shared.value
+        now, rank = None, 0
         for batch in batches:
             names = batch.schema.names
-            sequences, starts = [], []
-            for length, r in zip(*(batch.column(names.index(c)).to_pylist() for c in ("length", "rank"))):
-                ranks, runs = table[length]
-                i = bisect.bisect_right(ranks, r) - 1
-                first, offset = runs[i]
-                sequences.append(first + r - ranks[i])
-                starts.append(offset)
+            part, length = (batch.column(names.index(c)).to_numpy() for c in ("part", "length"))
+            ends = [*(np.flatnonzero((np.diff(length) != 0) | (np.diff(part) != 0)) + 1).tolist(), len(length)]
+            sequences, offsets = np.empty(len(length), np.int64), np.empty(len(length), np.int64)
+            at = 0
+            for end in ends if len(length) else []:
+                here = int(part[at]), int(length[at])
+                if here != now:
+                    now, rank = here, starts[here]
+                ranks, runs = (np.array(x, np.int64) for x in table[here[1]])
+                found = np.arange(rank, rank + end - at)
+                run = np.searchsorted(ranks, found, side="right") - 1
+                sequences[at:end] = runs[run, 0] + found - ranks[run]
+                offsets[at:end] = runs[run, 1]
+                rank, at = rank + end - at, end
             kept = [batch.column(names.index(c)) for c in columns]
-            added = [pa.array(sequences, pa.int64()), pa.array(starts, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*kept, *added], names=[*columns, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(sequences), pa.array(offsets)], names=[*columns, "sequence_id", "offset"]
+            )
 
-    return ranked.mapInArrow(seat, f"{kinds}, sequence_id bigint, offset bigint")
+    return cut.sortWithinPartitions(*order).mapInArrow(seat, f"{kinds}, sequence_id bigint, offset bigint")
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
