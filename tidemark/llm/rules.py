@@ -11,10 +11,11 @@ that fails ends the walk, so trying many steps needs no further correction, and
 rules of a stratum together. The steps passed are taken. Some 90 good documents in the half suffice
 where none is rejected; a stratum with fewer gets no rule.
 
-Statistics are made in one pass over whole texts and stored as narrow rows. A path is laid on at most
-``PATH_SAMPLE`` labelled documents of a stratum, those of the smallest hash; the proof counts all of its
-half, per stratum and step, in tables of bounded size. Cutoffs meet the documents by a join that broadcasts
-only strata with very many rows.
+Statistics are made in one pass over whole texts and stored as narrow rows. Both halves count all their
+labelled documents. For the paths these are folded to the combinations of cutoffs that they exceed; a round
+over those finds the next step of every stratum, from one sum per stratum and cutoff, until no stratum
+has another. The proof counts its half per stratum and step. Cutoffs meet the documents by a join that
+broadcasts only strata with very many rows.
 
 Defined cases: a null text has no words and fails the base; a null language is a stratum of its own;
 a document with both labels counts as not labelled; no labels mean no verdicts; repeated rows get equal
@@ -28,7 +29,7 @@ from operator import eq
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.skew import join_per_key
@@ -37,7 +38,6 @@ from tidemark.llm.common import mapped, stored
 ALPHA = 0.05
 DELTA = 0.05
 GOOD_WEIGHT = 10.0
-PATH_SAMPLE = 4_000
 LEAST_WORDS = 50
 MOST_REPEATED = 50
 
@@ -150,7 +150,8 @@ def safe_cutoffs(rejected: list[int], n: int, share: float, level: float) -> int
 def path_of(values: np.ndarray, good: np.ndarray) -> list[tuple[int, float]]:
     """Steps (rule, cutoff) that reject more and more documents, each worth most where it stands.
 
-    ``values`` has a row per document and a column per rule, -inf where a measure has no value.
+    ``values`` has a row per document and a column per rule, -inf where a measure has no value. It
+    states for documents in memory what ``paths`` finds for all strata of a table.
     """
     steps: list[tuple[int, float]] = []
     at, rejected = [0] * len(RULES), np.zeros(len(values), bool)
@@ -171,6 +172,54 @@ def path_of(values: np.ndarray, good: np.ndarray) -> list[tuple[int, float]]:
         steps.append((rule, float(cuts[rule][i])))
 
 
+def paths(rows: DataFrame) -> DataFrame:
+    """stratum, rules and cuts: the path of each stratum of ``rows`` (stratum, quality, values), as ``path_of`` has it.
+
+    A document counts by the first cutoff of each rule that it exceeds. A step that was taken leaves its rule's
+    earlier cutoffs nothing to reject, so they are never worth another.
+    """
+    longest = max(map(len, RULES.values()))
+
+    def first(rule: int, cuts: tuple[float, ...]):
+        kept = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: F.element_at("values", rule + 1) <= cut))
+        return F.when(kept < len(cuts), kept).otherwise(longest)
+
+    firsts = F.array(*[first(rule, cuts) for rule, cuts in enumerate(RULES.values())])
+    folded = rows.select("stratum", "quality", firsts.alias("firsts")).groupBy("stratum", "quality", "firsts")
+    folded = stored(folded.agg(F.count(F.lit(1)).alias("n")), "rule-levels")
+
+    none = F.array(*[F.lit(-1)] * len(RULES))
+    state = folded.select("stratum").distinct().select(
+        "stratum",
+        none.alias("reached"),
+        F.lit([]).cast("array<int>").alias("rules"),
+        F.lit([]).cast("array<double>").alias("cuts"),
+        F.lit(True).alias("open"),
+    )
+    state = stored(state, "paths")
+    worth = F.col("n") * F.when(F.col("quality") == 1, -GOOD_WEIGHT).otherwise(1.0)
+    every = [(r, i, cut) for r, cuts in enumerate(RULES.values()) for i, cut in enumerate(cuts)]
+    sums = [F.coalesce(F.sum(F.when(F.element_at("firsts", r + 1) <= i, F.col("worth"))), F.lit(0.0)) for r, i, _ in every]
+    steps = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(i).alias("i"), F.lit(cut).alias("cut")) for r, i, cut in every])
+    left = ~F.exists(F.zip_with("firsts", "reached", lambda first, at: first <= at), lambda x: x)
+    while not state.filter("open").isEmpty():
+        ahead = state.filter("open").select("stratum", "reached")
+        met = folded.join(ahead, "stratum").filter(left).select("stratum", "firsts", worth.alias("worth"))
+        best = met.groupBy("stratum").agg(F.array(*sums).alias("sums"))
+        best = best.select("stratum", F.array_max("sums").alias("most"), F.array_position("sums", F.array_max("sums")).alias("at"))
+        best = best.filter("most > 0").select("stratum", F.element_at(steps, F.col("at").cast("int")).alias("step"))
+        found = F.col("step").isNotNull()
+        state = state.join(best, "stratum", "left").select(
+            "stratum",
+            F.transform("reached", lambda at, r: F.when(found & (F.col("step.rule") == r), F.col("step.i")).otherwise(at)).alias("reached"),
+            F.when(found, F.array_append("rules", F.col("step.rule"))).otherwise(F.col("rules")).alias("rules"),
+            F.when(found, F.array_append("cuts", F.col("step.cut"))).otherwise(F.col("cuts")).alias("cuts"),
+            found.alias("open"),
+        )
+        state = stored(state, "paths")
+    return state.select("stratum", "rules", "cuts")
+
+
 def cutoffs(measures: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """Per stratum: one column per rule with its cutoff, null where none is taken."""
     rated = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id")
@@ -181,23 +230,16 @@ def cutoffs(measures: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta:
     values = F.array(*[F.coalesce(F.col(r), F.lit(float("-inf"))) for r in RULES])
     passing = stored(passing.select("stratum", "quality", mark.alias("mark"), values.alias("values")), "labelled")
 
-    def lay(rows: pd.DataFrame) -> pd.DataFrame:
-        steps = path_of(np.stack(rows["values"].to_list()), rows.quality.to_numpy() == 1)
-        return pd.DataFrame({"stratum": [rows.stratum.iloc[0]], "rules": [[r for r, _ in steps]], "cuts": [[c for _, c in steps]]})
-
-    first = Window.partitionBy("stratum").orderBy("mark", "quality", "values")
-    some = passing.filter(F.pmod("mark", F.lit(2)) == 0).withColumn("row", F.row_number().over(first))
-    some = some.filter(F.col("row") <= PATH_SAMPLE).select("stratum", "quality", "values")
-    paths = stored(some.groupBy("stratum").applyInPandas(lay, "stratum string, rules array<int>, cuts array<double>"), "paths")
+    laid = paths(passing.filter(F.pmod("mark", F.lit(2)) == 0))
 
     proof = passing.filter(F.pmod("mark", F.lit(2)) == 1)
     sizes = proof.groupBy("stratum").agg(F.count(F.lit(1)).alias("rows"))
-    met = join_per_key(proof, sizes.join(paths, "stratum"), "stratum", "rows")
+    met = join_per_key(proof, sizes.join(laid, "stratum"), "stratum", "rows")
     hits = F.transform(
         F.arrays_zip("rules", "cuts"), lambda x, i: F.when(F.element_at("values", x["rules"] + 1) > x["cuts"], i)
     )
     counted = met.withColumn("step", F.array_min(hits)).groupBy("stratum", "quality", "step").agg(F.count(F.lit(1)).alias("n"))
-    counted = counted.withColumn("n_strata", paths.agg(F.count(F.lit(1))).scalar()).join(paths, "stratum")
+    counted = counted.withColumn("n_strata", laid.agg(F.count(F.lit(1))).scalar()).join(laid, "stratum")
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
         rules, cuts = list(rows.rules.iloc[0]), list(rows.cuts.iloc[0])
