@@ -11,6 +11,7 @@ from tidemark import schemas
 from tidemark.functions.skew import join_per_key
 from tidemark.operators import insight, quality, retention, sales, state
 from tidemark.plans import daily_sales
+from tidemark.plans.queries import all_queries
 from tidemark.sources import tables
 
 D = decimal.Decimal
@@ -365,3 +366,12 @@ def test_activity_change(spark):
         (0, 1, -1),
         (2, 0, 2),
     ]
+
+
+def test_drift_parses_each_message_once(spark):
+    """Neither a filter of tables nor the spreading of fields parses the messages again, and a small file is dealt out."""
+    plan = all_queries()["schema_drift"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+    lines = plan.toString().splitlines()
+    assert not [line for line in lines if "Filter" in line.split("(")[0] and "parseJson" in line]
+    # Between the join of fields and the scans, only dealing out and single evaluations are left.
+    assert sum("RepartitionByExpression" in line for line in lines) == 2

@@ -31,16 +31,17 @@ def change_paths(records: DataFrame, paths: dict[str, tuple[str, str]]) -> DataF
 
 def seen_fields(records: DataFrame) -> DataFrame:
     """table_name, field, seen_type and changes: the fields of the after-images and the narrowest type that
-    holds all values of each. Types are merged per task first; no message moves.
+    holds all values of each. Types are merged per task first; no message moves. The images are spread by an
+    outer explode, since for a plain one the optimizer adds a filter that parses every message once more.
     """
     parsed = records.select(_message().alias("message"))
     bodies = [F.try_variant_get("message", path, "variant") for path in ("$.payload", "$")]
     body = parsed.select(F.coalesce(*bodies).alias("body"))
     image = body.select(
         F.try_variant_get("body", "$.source.table", "string").alias("table_name"),
-        F.explode(F.try_variant_get("body", "$.after", "map<string,variant>")).alias("field", "value"),
+        F.explode_outer(F.try_variant_get("body", "$.after", "map<string,variant>")).alias("field", "value"),
     )
-    return image.groupBy("table_name", "field").agg(
+    return image.filter(F.col("field").isNotNull()).groupBy("table_name", "field").agg(
         F.schema_of_variant_agg("value").alias("seen_type"), F.count(F.lit(1)).alias("changes")
     )
 
@@ -49,7 +50,8 @@ def schema_drift(seen: DataFrame, tables: list[str]) -> DataFrame:
     """The seen fields against the declared ones of some tables: ``status`` is declared, undeclared or unseen."""
     rows = [(t, f.name, f.dataType.simpleString()) for t in tables for f in schemas.row_schema(t).fields]
     declared = seen.sparkSession.createDataFrame(rows, "table_name string, field string, declared_type string")
-    met = seen.filter(F.col("table_name").isin(tables)).join(F.broadcast(declared), ["table_name", "field"], "full")
+    # Filtered behind the join, since before it the optimizer would parse every message once more for the filter.
+    met = seen.join(F.broadcast(declared), ["table_name", "field"], "full").filter(F.col("table_name").isin(tables))
     status = F.when(F.col("declared_type").isNull(), "undeclared").when(F.col("seen_type").isNull(), "unseen")
     return met.select(
         "table_name",

@@ -55,12 +55,19 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return tables.table(spark, name, d)
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` dealt out by ``key`` over all cores. A table of a few million rows may be one small file, which a
+    scan gives to a task or two; what is made of its rows costs far more than to move them.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def _customer_records(spark: SparkSession, d: str) -> DataFrame:
-    return feeds.customer_feed(_t(spark, d, "customer"))
+    return feeds.customer_feed(_spread(_t(spark, d, "customer"), "c_custkey"))
 
 
 def _product_records(spark: SparkSession, d: str) -> DataFrame:
-    return feeds.product_feed(_t(spark, d, "part"))
+    return feeds.product_feed(_spread(_t(spark, d, "part"), "p_partkey"))
 
 
 def _order_records(spark: SparkSession, d: str) -> DataFrame:
