@@ -375,3 +375,17 @@ def test_drift_parses_each_message_once(spark):
     assert not [line for line in lines if "Filter" in line.split("(")[0] and "parseJson" in line]
     # Between the join of fields and the scans, only dealing out and single evaluations are left.
     assert sum("RepartitionByExpression" in line for line in lines) == 2
+
+
+def test_runs_read_the_joined_sales_as_stored(spark, monkeypatch):
+    """Orders and items are joined once for all runs; no step of a run joins, and so shuffles, them again."""
+    class Seen(Exception):
+        pass
+
+    def run_day(spark, raw, *_, **__):
+        raise Seen(raw._jdf.queryExecution().optimizedPlan().toString())
+
+    monkeypatch.setattr(daily_sales, "run_day", run_day)
+    with pytest.raises(Seen) as seen:
+        all_queries()["daily_sales_run"](spark, "/root/testdata/sf0.001")
+    assert "Join" not in str(seen.value) and "Relation" in str(seen.value)

@@ -20,7 +20,7 @@ from tidemark import schemas
 from tidemark.operators import changes as ch
 from tidemark.operators import cohort_bitmaps, insight, kept_constraints, metrics, parse, quality, retention, sales, state, variants
 from tidemark.plans import daily_sales, monitor
-from tidemark.session import scratch_dir
+from tidemark.session import scratch_dir, stored
 from tidemark.sources import feeds, replay, state_table, tables
 from tidemark.streaming import progress, runner, sinks
 
@@ -585,10 +585,10 @@ def daily_report(spark: SparkSession, d: str) -> DataFrame:
 @_query
 def daily_sales_run(spark: SparkSession, d: str) -> DataFrame:
     """A backfill by month, then runs of single days: the last three, and again the last, by then
-    without sales.
+    without sales. The raw sales are joined once and stored; each step of each run reads them again.
     """
     base = scratch_dir(spark, "daily-sales")
-    last_day, raw = _last_order_day(spark, d), _raw(spark, d)
+    last_day, raw = _last_order_day(spark, d), stored(_raw(spark, d), "raw-sales")
     daily_sales.run_day(spark, raw, base, last_day, backfill=True, grain="month")
     for back in (2, 1, 0):
         daily_sales.run_day(spark, raw, base, last_day - dt.timedelta(days=back), grain="month")
