@@ -4,7 +4,7 @@ import datetime as dt
 import json
 
 from tidemark import schemas
-from tidemark.plans import monitor
+from tidemark.plans import monitor, queries
 from tidemark.sources import replay
 from tidemark.streaming import progress, runner, sinks
 
@@ -58,3 +58,17 @@ def test_order_without_items_comes_once(spark, out):
         _run(spark, out, [_order(hour, hour), _item(hour, hour, hour)])
     assert _lines(spark, out).count((1, None)) == 1
     assert (2, None) not in _lines(spark, out)
+
+
+def test_more_arrivals_give_the_same_lines(spark, monkeypatch):
+    """A long history arrives in more batches, so the state holds no more; the lines are the same."""
+    made, write = [], replay.write_records
+    monkeypatch.setattr(replay, "write_records", lambda records, path: (made.append(records), write(records, path)))
+    stream = lambda: sorted(map(tuple, queries.order_lines_stream(spark, "/root/testdata/sf0.001").collect()), key=repr)
+    want = stream()
+    assert want and len(made) == 3
+    # Either table of an arrival is dealt out before messages are made of its rows.
+    assert made[0]._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 2
+    monkeypatch.setattr(queries, "ARRIVAL_ROWS", 1600)
+    assert stream() == want
+    assert len(made) == 3 + 5

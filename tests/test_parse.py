@@ -207,3 +207,18 @@ def test_large_ids_and_changes_that_name_no_row(spark):
     live = state.current_state(changes).select("id", "first_name")
     assert sorted(map(tuple, live.collect())) == [(i, f"n{i}") for i in ids[:2]]
     assert sorted(map(tuple, state.set_aside(changes).collect())) == [("c", 1), ("t", 1)]
+
+
+def test_changes_of_some_operations_are_told_before_parsing(spark):
+    """Escaped and single-quoted operations count; what cannot be one of them never reaches the parser."""
+    bodies = [message(op, after=customer(i), wrapped=w) for w in (False, True) for i, op in enumerate("crud")]
+    escaped = message("c", after=customer(7)).replace('"op": "c"', '"op": "\\u0063"')
+    single = message("r", after=customer(8)).replace('"op": "r"', "'op': 'r'")
+    named = message("d", before=customer(9, "c"))
+    found = records(spark, [*bodies, escaped, single, named, message("c", after=customer(10, "d")), None, "c", "{"])
+    for operations in (["c"], ["c", "r"], ["d"], ["x"]):
+        want = parse.changes(found, "customers").filter(F.col("operation").isin(*operations))
+        assert rows(parse.changes(found, "customers", operations=operations)) == rows(want)
+    assert {r.after_data.id for r in parse.changes(found, "customers", ["id"], ["c", "r"]).collect()} == {0, 1, 7, 8, 10}
+    plan = parse.changes(found, "customers", ["id"], ["c"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains" in plan.split("Generate")[1]

@@ -10,6 +10,7 @@ only these are decoded.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,11 +76,25 @@ def parse_wrapped_changes(
     ).filter(F.col("operation").isNotNull())
 
 
-def changes(records: DataFrame, table: str, columns: Sequence[str] | None = None) -> DataFrame:
+def _may_hold(operations: Sequence[str]) -> Column:
+    """Whether a message's text can carry one of ``operations``: quoted either way, or written with escapes."""
+    text = F.col("value").cast("string")
+    signs = [f'"{o}"' for o in operations] + ["\\"] + [f"'{o}'" for o in operations]
+    return reduce(Column.__or__, [text.contains(s) for s in signs])
+
+
+def changes(
+    records: DataFrame, table: str, columns: Sequence[str] | None = None, operations: Sequence[str] | None = None
+) -> DataFrame:
     """Flat changes of one table. Messages without an operation (tombstones, broken text, other
-    content) are dropped. ``columns`` limits the row images to the columns a caller reads.
+    content) are dropped. ``columns`` limits the row images to the columns a caller reads,
+    ``operations`` (letters, as c, r, u, d) the changes to those kinds: a message that cannot be one,
+    since its text nowhere names them, is dropped before it is parsed.
     """
-    return parse_wrapped_changes(records, table, columns).drop("schema_name", "schema_version")
+    if operations is not None:
+        records = records.filter(_may_hold(operations))
+    flat = parse_wrapped_changes(records, table, columns).drop("schema_name", "schema_version")
+    return flat if operations is None else flat.filter(F.col("operation").isin(*operations))
 
 
 def evolved_changes(records: DataFrame, table: str = "customers") -> DataFrame:

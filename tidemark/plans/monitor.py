@@ -127,7 +127,11 @@ def watch_order_lines(
     kind. What both watermarks have passed can meet nothing more: it leaves the state, and an order
     that met no item is put out, once. So the state holds what came last, not the history.
     """
-    orders, items = (_inserted(records, table).withWatermark("at", late) for table in ("orders", "order_items"))
+    read = {
+        "orders": ["id", "customer_id", "total_amount"],
+        "order_items": ["id", "order_id", "product_id", "quantity", "unit_price"],
+    }
+    orders, items = (_inserted(records, table, columns).withWatermark("at", late) for table, columns in read.items())
     orders = orders.select(
         F.col("row.id").alias("order_id"), "row.customer_id", "row.total_amount", F.col("at").alias("order_time")
     )
@@ -144,10 +148,10 @@ def watch_order_lines(
     )
 
 
-def _inserted(records: DataFrame, table: str) -> DataFrame:
-    """New rows of a table, in ``row``, with the time of their change."""
+def _inserted(records: DataFrame, table: str, columns: list[str]) -> DataFrame:
+    """New rows of a table, in ``row``, with the time of their change. Other changes are not parsed."""
     own = records.filter(F.col("topic") == f"{TOPIC_PREFIX}.{table}")
-    created = parse.changes(own, table).filter(F.col("operation").isin("c", "r"))
+    created = parse.changes(own, table, columns, ["c", "r"])
     return created.select(F.col("after_data").alias("row"), F.timestamp_millis("source_timestamp").alias("at"))
 
 

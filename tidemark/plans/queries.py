@@ -30,6 +30,10 @@ Start = Callable[[DataFrame, str, str], StreamingQuery | list[StreamingQuery]]
 # The windowed counts of the test streams need little state.
 STATE_PARTITIONS = 8
 
+# Rows of both tables that arrive at once in the stream of order lines: what arrives is in its state until the next
+# batch, so this bounds the state, however long the history.
+ARRIVAL_ROWS = 16_000_000
+
 _QUERIES: dict[str, Query] = {}
 
 
@@ -812,18 +816,26 @@ def enrich_change_stream(spark: SparkSession, d: str) -> DataFrame:
 
 @_query
 def order_lines_stream(spark: SparkSession, d: str) -> DataFrame:
-    """New orders and their new items as two streams, in three batches."""
+    """New orders and their new items as two streams, in three batches, or more of about ``ARRIVAL_ROWS``."""
     orders, lineitem = _t(spark, d, "orders"), _t(spark, d, "lineitem")
-    low, high = orders.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
-    edges = [None, *([low + (high - low) * i / 3 for i in (1, 2)] if low else []), None]
+    low, high, rows = orders.agg(F.min("o_orderdate"), F.max("o_orderdate"), F.count(F.lit(1))).first()
+    n = max(3, -(-(rows + lineitem.count()) // ARRIVAL_ROWS))
+    edges = [None, *([low + (high - low) * i / n for i in range(1, n)] if low else []), None]
+    made = (
+        (orders, "o_orderdate", "o_orderkey", feeds.order_feed),
+        (lineitem, "l_shipdate", "l_orderkey", feeds.order_item_feed),
+    )
     arrivals = []
     for start, end in zip(edges, edges[1:]):
         parts = []
-        for df, column, feed in ((orders, "o_orderdate", feeds.order_feed), (lineitem, "l_shipdate", feeds.order_item_feed)):
+        for df, column, key, feed in made:
             of = df if start is None else df.filter(F.col(column) >= F.lit(start))
-            parts.append(feed(of if end is None else of.filter(F.col(column) < F.lit(end))))
+            parts.append(feed(_spread(of if end is None else of.filter(F.col(column) < F.lit(end)), key)))
         arrivals.append(parts[0].unionByName(parts[1]))
-    watch = partial(monitor.watch_order_lines, late="36 hours", within="60 days", state_partitions=STATE_PARTITIONS)
+    cores = spark.sparkContext.defaultParallelism
+    watch = partial(
+        monitor.watch_order_lines, late="36 hours", within="60 days", state_partitions=max(STATE_PARTITIONS, cores)
+    )
     out = _replayed(spark, "order-lines", arrivals, watch)
     return sinks.read_batches(spark, out, monitor.ORDER_LINES).drop("batch_id")
 

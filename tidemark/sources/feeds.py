@@ -66,12 +66,14 @@ def _described(table: str, version: Column) -> Column:
 def _record(
     rows: DataFrame, table: str, value: Column, time: Column | None = None
 ) -> DataFrame:
-    """``rows`` needs key ``k``, offset ``seq`` and change time ``ts_ms``."""
+    """``rows`` needs key ``k``, offset ``seq`` and change time ``ts_ms``. Text is UTF-8 already, so the cast
+    to bytes copies nothing; ``encode`` would decode it first.
+    """
     if time is None:
         time = F.timestamp_millis(F.col("ts_ms"))
     return rows.select(
-        F.encode(_json(F.col("k").cast("bigint").alias("id")), "UTF-8").alias("key"),
-        F.encode(value, "UTF-8").alias("value"),
+        _json(F.col("k").cast("bigint").alias("id")).cast("binary").alias("key"),
+        value.cast("binary").alias("value"),
         F.lit(topic_name(table)).alias("topic"),
         F.pmod(F.col("k"), F.lit(PARTITIONS)).cast("int").alias("partition"),
         F.col("seq").alias("offset"),
