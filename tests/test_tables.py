@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.skew import join_per_key
 from tidemark.operators import insight, quality, retention, sales, state
-from tidemark.plans import daily_sales
+from tidemark.plans import daily_sales, queries
 from tidemark.plans.queries import all_queries
 from tidemark.sources import tables
 
@@ -389,3 +389,18 @@ def test_runs_read_the_joined_sales_as_stored(spark, monkeypatch):
     with pytest.raises(Seen) as seen:
         all_queries()["daily_sales_run"](spark, "/root/testdata/sf0.001")
     assert "Join" not in str(seen.value) and "Relation" in str(seen.value)
+
+
+@pytest.mark.parametrize("name", ["compacted_change_log", "change_log", "change_stream", "enrich_change_stream", "late_changes"])
+def test_arrivals_are_dealt_out(spark, monkeypatch, name):
+    """No arrival's messages are made, and so written and parsed, by the one task that reads a small file."""
+    class Seen(Exception):
+        pass
+
+    def replayed(spark, label, arrivals, *_, **__):
+        raise Seen([a._jdf.queryExecution().optimizedPlan().toString() for a in arrivals])
+
+    monkeypatch.setattr(queries, "_replayed", replayed)
+    with pytest.raises(Seen) as seen:
+        all_queries()[name](spark, "/root/testdata/sf0.001")
+    assert all(p.count("RepartitionByExpression") == p.count("Relation [") > 0 for p in seen.value.args[0])

@@ -75,7 +75,7 @@ def _product_records(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _order_records(spark: SparkSession, d: str) -> DataFrame:
-    return feeds.order_feed(_t(spark, d, "orders"))
+    return feeds.order_feed(_spread(_t(spark, d, "orders"), "o_orderkey"))
 
 
 def _all_records(spark: SparkSession, d: str) -> DataFrame:
@@ -162,11 +162,11 @@ def _replayed(
 
 
 def _customer_arrivals(spark: SparkSession, d: str, n: int = 2) -> list[DataFrame]:
-    return [feeds.customer_feed(p) for p in _slices(_t(spark, d, "customer"), "c_custkey", n)]
+    return [feeds.customer_feed(_spread(p, "c_custkey")) for p in _slices(_t(spark, d, "customer"), "c_custkey", n)]
 
 
 def _product_arrivals(spark: SparkSession, d: str) -> list[DataFrame]:
-    return [feeds.product_feed(p) for p in _slices(_t(spark, d, "part"), "p_partkey")]
+    return [feeds.product_feed(_spread(p, "p_partkey")) for p in _slices(_t(spark, d, "part"), "p_partkey")]
 
 
 def _mixed_arrivals(spark: SparkSession, d: str) -> list[DataFrame]:
@@ -516,7 +516,7 @@ def late_changes(spark: SparkSession, d: str) -> DataFrame:
     """
     orders = _t(spark, d, "orders")
     late = F.col("o_orderkey") % 4 == 0
-    arrivals = [feeds.order_feed(orders.filter(~late)), feeds.order_feed(orders.filter(late))]
+    arrivals = [feeds.order_feed(_spread(orders.filter(of), "o_orderkey")) for of in (~late, late)]
     watch = partial(monitor.watch_metrics, state_partitions=STATE_PARTITIONS)
     out = _replayed(spark, "late-stream", arrivals, watch)
     return monitor.current_metrics(spark, out)
@@ -733,7 +733,7 @@ def compacted_change_log(spark: SparkSession, d: str) -> DataFrame:
         monitor.compact_change_log(spark, out)
         return query
 
-    orders = [feeds.order_feed(p) for p in _slices(_t(spark, d, "orders"), "o_orderdate", 2)]
+    orders = [feeds.order_feed(_spread(p, "o_orderkey")) for p in _slices(_t(spark, d, "orders"), "o_orderdate", 2)]
     rest = [_customer_records(spark, d), _product_records(spark, d)]
     out = _replayed(spark, "compacted-log", [*orders, *rest], start)
     return _log_summary(monitor.change_log(spark, out))
@@ -809,7 +809,7 @@ def enrich_change_stream(spark: SparkSession, d: str) -> DataFrame:
     def start(records, out, checkpoint):
         return monitor.watch_orders(records, customers, out, checkpoint)
 
-    arrivals = [feeds.order_feed(p) for p in _slices(_t(spark, d, "orders"), "o_orderdate")]
+    arrivals = [feeds.order_feed(_spread(p, "o_orderkey")) for p in _slices(_t(spark, d, "orders"), "o_orderdate")]
     out = _replayed(spark, "enriched", arrivals, start)
     return sinks.read_batches(spark, f"{out}/enriched", monitor.ENRICHED).drop("batch_id")
 
@@ -859,7 +859,7 @@ def observed_late_changes(spark: SparkSession, d: str) -> DataFrame:
     """What the stream of ``late_changes`` reports of itself: rows read and the watermark it came to."""
     orders = _t(spark, d, "orders")
     late = F.col("o_orderkey") % 4 == 0
-    arrivals = [feeds.order_feed(orders.filter(~late)), feeds.order_feed(orders.filter(late))]
+    arrivals = [feeds.order_feed(_spread(orders.filter(of), "o_orderkey")) for of in (~late, late)]
     path = scratch_dir(spark, "progress")
     with progress.recording(spark, path):
         _replayed(spark, "observed-late", arrivals, partial(monitor.watch_metrics, state_partitions=STATE_PARTITIONS))
