@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -80,6 +81,33 @@ def test_small_memory_gives_the_same(library, monkeypatch):
         assert len(encoder.parts) <= 7
 
 
+@pytest.mark.parametrize("words", [3, 200_000])
+def test_latin_words_and_endings(library, monkeypatch, words):
+    """Words found in bulk, with apostrophes of any surroundings, beside parts that the library has to split."""
+    monkeypatch.setattr(bpe, "CACHE_WORDS", words, raising=False)
+    draw = random.Random(9)
+    signs = ["'", "'", "s", "T", "re", "ve", "m", "LL", "l", "d", "a", "É", "ß", "1", "²", "!", "<", " ", " ", "\n"]
+    texts = ["".join(draw.choices(signs, k=draw.randint(0, 12))) for _ in range(4000)]
+    _same(library, texts)
+    _same(library, [t + draw.choice(["", "", " 中", "<|"]) for t in texts])
+    _same(library, ["", "", ""])
+
+
+def test_common_words_stay_in_a_full_memory(monkeypatch):
+    """A word of every batch is merged once, however many others come and go, and in whatever part it stands."""
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 200, raising=False)
+    monkeypatch.setattr(bpe, "CACHE_PARTS", 200)
+    encoder = bpe.Encoder(public_tokenizers.path(bpe.VOCABULARY))
+    draw, merged, merge = random.Random(4), Counter(), encoder._merged_words
+    monkeypatch.setattr(encoder, "_merged_words", lambda words: merged.update(words) or merge(words))
+    common = ["".join(draw.choices("aeinrst", k=9)) for _ in range(40)]
+    for batch in range(20):
+        rare = ["".join(draw.choices("aeinrst", k=12)) for _ in range(40)]
+        encoder.encode_all([" ".join(draw.choice([w, w + ",", w.title()]) for w in common + rare)])
+    assert [merged[w] for w in common] == [1] * 40
+    assert len(encoder.words) <= 200
+
+
 def _expected(library, rows):
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
     out = []

@@ -8,8 +8,10 @@ and the one that vanishes - and the nodes above them, until the root says that n
 
 Short words of a batch are worked on together: their trees lie side by side in one array for each
 size, and each step does one merge in every word that still has one. Long words have a tree of their
-own, so a word of n symbols costs n log n steps however long it is. Parts of text between blanks
-are remembered in each Python worker, up to a bounded number.
+own, so a word of n symbols costs n log n steps however long it is. Words are remembered in each
+Python worker, up to a bounded number, beyond which the half asked for last is kept; so common words
+stay. Parts of text between blanks, distinct ones of a batch, are split into words all at once and get
+their ids from those of their words; only parts that the library has to split are remembered themselves.
 
 Defined cases: a null text is an empty one and has no tokens; a null doc_id is kept; repeated rows are
 encoded each for itself; an empty table gives no rows; other columns are ignored. Lone surrogates,
@@ -38,7 +40,8 @@ VOCABULARY = "word_bpe_49k.json"
 #: Symbols up to which words share a forest of trees; longer ones have a tree each.
 FOREST = 64
 
-#: Bounds of what one Python worker remembers: parts of text, and the characters of a part.
+#: Bounds of what one Python worker remembers: words, odd parts of text, and the characters of either.
+CACHE_WORDS = 200_000
 CACHE_PARTS = 100_000
 CACHE_CHARS = 48
 
@@ -57,7 +60,10 @@ SIMPLE = (
     r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
 )
 _LETTERS, _DIGITS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
-_LATIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^ {_LETTERS}{_DIGITS}]+| ")
+_LETTER, _OTHER = 1, 3
+_KINDS = np.full(256, _OTHER, np.uint8)
+for _kind_of, _chars in enumerate((" ", _LETTERS, _DIGITS)):
+    _KINDS[[c for c in range(256) if re.match(f"[{_chars}]", chr(c))]] = _kind_of
 
 
 def _described(spec: dict) -> tuple:
@@ -112,6 +118,12 @@ class Encoder:
         letters, ends = self._single.astype(np.int64), np.concatenate([self._single, self._last]).astype(np.int64)
         self._first = self._ranks(np.repeat(letters, 512), np.tile(ends, 256)).astype(np.int32)
         self.parts: dict[str, bytes] = {"": b""}
+        # Remembered words, of which the first is a blank without ids: their ids one after another, where each
+        # word's begin, how many it has, and the number of the batch that asked for it last.
+        self.words = pa.array([b" "], pa.large_binary())
+        self._numbers = np.zeros(0, "<u4")
+        self._starts, self._counts, self._asked = np.zeros((3, 1), np.int64)
+        self._batch = 0
 
     @classmethod
     def of(cls, path: str | None) -> Encoder:
@@ -138,33 +150,94 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = split.flatten().dictionary_encode()
-        # Parts hold no blank, so one string of all of them is made and cut again.
-        listed = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
-        known, parts = self.parts, pc.binary_join(listed, pa.scalar(" ", pa.large_string()))[0].as_py().split(" ")
-        pieces = list(map(known.get, parts))
-        new = self._parts([p for p, found in zip(parts, pieces) if found is None])
-        pieces = [new[p] if found is None else found for p, found in zip(parts, pieces)]
-        ids, bounds = _joined(pieces, coded.indices.to_numpy())
-        if len(known) + len(new) > CACHE_PARTS:
-            known.clear()
-            known[""] = b""
-        known.update(islice(((p, i) for p, i in new.items() if len(p) <= CACHE_CHARS), CACHE_PARTS))
+        ids, bounds = _gathered(*self._parts(_listed(coded.dictionary, " ")), coded.indices.to_numpy())
         return ids, bounds[split.offsets.to_numpy() - split.offsets[0].as_py()]
 
-    def _parts(self, parts: list[str]) -> dict[str, bytes]:
-        """Ids of blank-free parts; words are found in one string of all of them and encoded once each.
+    def _remembered(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words, where those of each of the distinct ``words`` begin and how many it has.
+
+        Only words that are not remembered are merged.
+        """
+        self._batch += 1
+        found = pc.index_in(words, value_set=self.words)
+        at = pc.fill_null(found, -1).to_numpy().astype(np.int64)
+        if found.null_count:
+            new = words.filter(pc.is_null(found))
+            pieces = self._merged_words(_listed(new, b"\n").decode("latin-1").split("\n"))
+            counts = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+            at[at < 0] = len(self.words) + np.arange(len(new))
+            self.words = pa.concat_arrays([self.words, new])
+            self._starts = np.concatenate([self._starts, len(self._numbers) + np.cumsum(counts) - counts])
+            self._counts = np.concatenate([self._counts, counts])
+            self._asked = np.concatenate([self._asked, np.zeros(len(new), np.int64)])
+            self._numbers = np.concatenate([self._numbers, np.frombuffer(b"".join(pieces), "<u4")])
+        self._asked[at] = self._batch
+        out = self._numbers, self._starts[at], self._counts[at]
+        self._forget()
+        return out
+
+    def _forget(self) -> None:
+        """Drops words that are too long, and of too many those not asked for lately; never the blank."""
+        keep = pc.binary_length(self.words).to_numpy() <= CACHE_CHARS
+        if len(keep) > CACHE_WORDS:
+            keep[np.argsort(-self._asked, kind="stable")[CACHE_WORDS // 2 :]] = False
+        keep[0] = True
+        if not keep.all():
+            at = np.flatnonzero(keep)
+            self.words = self.words.take(pa.array(at))
+            self._numbers, bounds = _gathered(self._numbers, self._starts, self._counts, at)
+            self._starts, self._counts, self._asked = bounds[:-1], self._counts[at], self._asked[at]
+
+    def _parts(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers, and for each of the distinct parts that ``text`` holds between blanks its first one and how many.
 
         Parts with special tokens or white space of another kind are split one by one, and such with
         other letters than those of Western Europe by the library.
         """
-        text = " ".join(parts)
-        strange = "<|" in text or not text.isprintable() or len(text.split()) != len(parts)
-        out = {p: self._alone(p) for p in parts if strange and self._strange(p)}
-        plain = [p for p in parts if p not in out] if out else parts
-        if self._simple:
-            latin = plain if text.isascii() else [p for p in plain if p.isascii() or max(p) <= "\xff"]
-            out |= self._latin(latin)
-            plain = [] if latin is plain else [p for p in plain if p not in out]
+        if self._latin(text):
+            return self._latin_parts(text)
+        parts = text.split(" ")
+        latin = [p if self._latin(p) else "" for p in parts]
+        numbers, starts, counts = self._latin_parts(" ".join(latin))
+        odd = [i for i, (p, found) in enumerate(zip(parts, latin)) if p != found]
+        more = self._odd_parts([parts[i] for i in odd])
+        counts[odd] = np.fromiter(map(len, more), np.int64, len(more)) // 4
+        starts[odd] = len(numbers) + np.cumsum(counts[odd]) - counts[odd]
+        return np.concatenate([numbers, np.frombuffer(b"".join(more), "<u4")]), starts, counts
+
+    def _latin(self, text: str) -> bool:
+        """Whether words can be found without the library: all of Latin-1, and nothing strange."""
+        if not self._simple or "<|" in text or not text.isprintable():
+            return False
+        try:
+            return text.isascii() or bool(text.encode("latin-1"))
+        except UnicodeEncodeError:
+            return False
+
+    def _latin_parts(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``_parts``; words are found in the whole text and looked up once each. A blank is a word without ids."""
+        data = text.lower().encode("latin-1")
+        letters = np.frombuffer(data, np.uint8)
+        begins = _word_starts(letters)
+        buffers = [None, pa.py_buffer(np.append(begins, len(letters))), pa.py_buffer(data)]
+        coded = pa.Array.from_buffers(pa.large_binary(), len(begins), buffers).dictionary_encode()
+        ids, bounds = _gathered(*self._remembered(coded.dictionary), coded.indices.to_numpy())
+        edges = np.concatenate([[0], bounds[np.flatnonzero(letters[begins] == 32)], bounds[-1:]])
+        return ids, edges[:-1], np.diff(edges)
+
+    def _odd_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts, made only of those that are not remembered."""
+        known = list(map(self.parts.get, parts))
+        new = self._split_by_library([p for p, ids in zip(parts, known) if ids is None])
+        if len(self.parts) + len(new) > CACHE_PARTS:
+            self.parts.clear()
+            self.parts[""] = b""
+        self.parts.update(islice(((p, ids) for p, ids in new.items() if len(p) <= CACHE_CHARS), CACHE_PARTS))
+        return [new[p] if ids is None else ids for p, ids in zip(parts, known)]
+
+    def _split_by_library(self, parts: list[str]) -> dict[str, bytes]:
+        out = {p: self._alone(p) for p in parts if self._strange(p)}
+        plain = [p for p in parts if p not in out]
         text = self._normal(" ".join(plain))
         if plain and text.count(" ") != len(plain) - 1:
             return out | {p: self._alone(p) for p in plain}
@@ -174,22 +247,8 @@ class Encoder:
             words.append(text[start:end])
             at = end
         words += [" "] * (len(text) - at)
-        return out | self._regrouped(plain, words, self._ids(dict.fromkeys(words)))
-
-    def _latin(self, parts: list[str]) -> dict[str, bytes]:
-        """Ids of parts of Latin-1 characters; one of letters alone is a word."""
-        alone, rest = [], []
-        for p in parts:
-            (alone if p.isalpha() else rest).append(p)
-        whole = " ".join(alone).lower().split(" ") if alone else []
-        words = _LATIN_WORDS.findall(" ".join(rest).lower())
-        ids = self._ids(dict.fromkeys(whole) | dict.fromkeys(words))
-        return dict(zip(alone, map(ids.__getitem__, whole))) | self._regrouped(rest, words, ids)
-
-    def _ids(self, words: dict[str, None]) -> dict[str, bytes]:
-        """Ids of distinct words; a blank, which stands between parts, is no word."""
-        words.pop(" ", None)
-        return dict(zip(words, self._merged_words(list(words)))) | {" ": _BETWEEN}
+        distinct = [w for w in dict.fromkeys(words) if w != " "]
+        return out | self._regrouped(plain, words, dict(zip(distinct, self._merged_words(distinct))) | {" ": _BETWEEN})
 
     @staticmethod
     def _regrouped(parts: list[str], words: list[str], ids: dict[str, bytes]) -> dict[str, bytes]:
@@ -358,14 +417,35 @@ class Encoder:
         return " ".join([tokens[i] for i in ids if 0 <= i < n and tokens[i]])
 
 
-def _joined(pieces: list[bytes], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of the pieces that ``codes`` names one after another, and where each begins and ends."""
-    lengths = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
-    starts = np.cumsum(lengths) - lengths
-    counts = lengths[codes]
-    bounds = np.concatenate([[0], np.cumsum(counts)])
-    numbers = np.frombuffer(b"".join(pieces), "<u4")
-    return numbers[np.repeat(starts[codes] - bounds[:-1], counts) + np.arange(bounds[-1])], bounds
+def _listed(strings: pa.Array, between: str | bytes) -> str | bytes:
+    """All strings as one, with ``between`` between them: far sooner made than a string of each."""
+    whole = pa.LargeListArray.from_arrays(pa.array([0, len(strings)], pa.int64()), strings)
+    return pc.binary_join(whole, pa.scalar(between, strings.type))[0].as_py()
+
+
+def _word_starts(letters: np.ndarray) -> np.ndarray:
+    """Where the words of lower-case Latin-1 text begin, by the pattern of SIMPLE; each blank counts as one."""
+    kind = _KINDS[letters]
+    begin = np.ones(len(letters), bool)
+    begin[1:] = (kind[1:] != kind[:-1]) | ((kind[1:] != _LETTER) & (kind[1:] != _OTHER))
+    # An apostrophe that begins a word takes these endings with it.
+    quotes = np.flatnonzero((letters == ord("'")) & begin)
+    after = np.concatenate([letters, np.full(2, 32, np.uint8)])
+    a, b = after[quotes + 1], after[quotes + 2]
+    two = (((a == ord("r")) | (a == ord("v"))) & (b == ord("e"))) | ((a == ord("l")) & (b == ord("l")))
+    taken = np.where(np.isin(a, np.frombuffer(b"stmd", np.uint8)), 1, 2 * two)
+    quotes, taken = quotes[taken > 0], taken[taken > 0]
+    begin[quotes + 1] = False
+    ends = quotes + 1 + taken
+    begin[ends[ends < len(letters)]] = True
+    return np.flatnonzero(begin)
+
+
+def _gathered(numbers: np.ndarray, starts: np.ndarray, counts: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of numbers that ``codes`` names one after another, and where each begins and ends."""
+    taken = counts[codes]
+    bounds = np.concatenate([[0], np.cumsum(taken)])
+    return numbers[np.repeat(starts[codes] - bounds[:-1], taken) + np.arange(bounds[-1])], bounds
 
 
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
