@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import pii, trees
@@ -84,6 +85,36 @@ def test_base_of_tangled_texts(seed):
     assert [f"{k}:{a}:{b}" for k, a, b in pii.base_spans(text)] == _base(text)
 
 
+@pytest.mark.parametrize("seed", range(30))
+def test_texts_without_signs_have_nothing(seed):
+    """Of short tangled texts, all with a base span or candidate show a sign; plain words and numbers show none."""
+    draw = random.Random(seed)
+    pieces = [*"a1@.+- ()[]{}25\n-–＠\u3000\xa0", " at ", "(at)", "[ @ ]", " dot ", "[.]", " . ", "[dot]", "(dot)", " DOT ", "AT", "at", "b.c", "x", "é"]
+    texts = ["".join(draw.choices(pieces, k=draw.randint(0, 12))) for _ in range(3000)]
+    texts += ["".join(draw.choices("129", k=3)).join(draw.choices(pieces, k=draw.randint(2, 8))) for _ in range(1000)]
+    shown = pii.signed(pa.array(texts)).to_pylist()
+    held = [bool(pii.base_spans(t) or pii.candidates(t)) for t in texts]
+    assert sum(held) > 100 and not any(h and not s for h, s in zip(held, shown))
+    plain = ["in 219 we met at the house. Dot by dot", "look at it", "1 or 2 at most", "", None]
+    assert pii.signed(pa.array(plain)).to_pylist() == [False, False, False, False, False]
+    assert pii.signed(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_signs_are_not_sought_row_by_row(spark, monkeypatch):
+    """No pass filters its rows by a pattern of the JVM, which goes back and forth at each character."""
+    docs = spark.createDataFrame([(i, f"write to a{i}@b.c or call +12 345 678 {i}") for i in range(60)], "doc_id bigint, text string")
+    plans, keep = [], type(docs).mapInArrow
+
+    def noted(df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return keep(df, *args, **kwargs)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", noted)
+    rows = pii.find(docs, pii.fit(docs, sample=50)).collect()
+    assert len(plans) == 4 and not any("RLIKE" in p for p in plans), plans
+    assert all(r.n_email == 1 for r in rows)
+
+
 def test_trees_learn_and_thresholds_hold():
     draw = np.random.default_rng(2)
     x = draw.normal(size=(2000, 5))

@@ -17,6 +17,9 @@ lie and counted by kind, score and label. The threshold of a kind is the smalles
 least ``PRECISION`` of them are examples. A kind that has none, or fewer than ten from there on in the
 whole table, adds nothing.
 
+Each pass over the texts first asks, in one linear run over an Arrow batch, which of them hold a sign that
+every base span and candidate has; only those are searched by the patterns of the kinds.
+
 Defined cases: a null text is empty; repeated rows get equal results; a table without a base span
 gives the base alone; an empty table gives no rows; other columns are ignored.
 """
@@ -30,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -138,6 +142,19 @@ def candidates(text: str) -> list[Found]:
     return found
 
 
+#: What a text with a base span or candidate must hold: a mark, four digits with little between them, or
+#: a written-out "at" before words that a dot, or what may stand for one, joins.
+_SIGNS = (
+    r"@|＠|\+[0-9]|[0-9](?:[^0-9]{0,5}[0-9]){3}|[^A-Za-z0-9](?:at|AT)[^A-Za-z0-9-]{1,3}[A-Za-z0-9-]+"
+    r"(?:\.|[^A-Za-z0-9-]{1,3}(?:dot|DOT|\.)[^A-Za-z0-9-]{1,3})[A-Za-z0-9-]"
+)
+
+
+def signed(texts: pa.Array) -> pa.Array:
+    """Whether each text holds a sign; one without has no base span and no candidate. False for null."""
+    return pc.fill_null(pc.match_substring_regex(texts, _SIGNS), False)
+
+
 N_FEATURES = 28
 
 
@@ -233,17 +250,13 @@ def stepped(margin: np.ndarray) -> np.ndarray:
     return np.floor(np.clip(margin, -LARGEST, LARGEST) * STEPS) / STEPS
 
 
-#: What a text with a base span or candidate must hold.
-_SIGNS = r"@|＠|\+[0-9]|[0-9](?:[^0-9]{0,5}[0-9]){3}|(?:^|[^A-Za-z0-9])(?:at|AT)(?:[^A-Za-z0-9]|$)"
-
-
 def _sampled(hashed: DataFrame, sample: int) -> list[int]:
     """Hashes of the documents to train on: the smallest for each kind, and of those without a base span."""
 
     def sorts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
             hs, masks = [], []
-            for h, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for h, text in zip(*(c.to_pylist() for c in batch.filter(signed(batch.column(1))).columns)):
                 kinds = {kind for kind, _, _ in base_spans(text)}
                 mask = sum(1 << k for k, kind in enumerate(KINDS) if kind in kinds)
                 if not mask and candidates(text):
@@ -253,7 +266,7 @@ def _sampled(hashed: DataFrame, sample: int) -> list[int]:
                     masks.append(mask)
             yield pa.RecordBatch.from_arrays([pa.array(hs, pa.int64()), pa.array(masks, pa.int32())], names=["h", "mask"])
 
-    pool = hashed.filter(F.col("text").rlike(_SIGNS) & (F.pmod("h", F.lit(3)) != 0))
+    pool = hashed.filter(F.pmod("h", F.lit(3)) != 0)
     found = cut_lineage(pool.mapInArrow(sorts, "h bigint, mask int"))
     chosen: set[int] = set()
     for k in range(len(KINDS) + 1):
@@ -298,7 +311,7 @@ def _thresholds(hashed: DataFrame, trees: Trees, chosen: np.ndarray) -> dict[str
         counts: dict[tuple, int] = {}
         for batch in in_slices(batches):
             back = ~np.isin(batch.column(0).to_numpy(zero_copy_only=False), chosen)
-            texts = batch.column(1).filter(pa.array(back)).to_pylist()
+            texts = batch.column(1).filter(pc.and_(pa.array(back), signed(batch.column(1)))).to_pylist()
             found = [e for t in texts for e in examples(t)]
             if not found:
                 continue
@@ -311,7 +324,7 @@ def _thresholds(hashed: DataFrame, trees: Trees, chosen: np.ndarray) -> dict[str
             columns = [*zip(*counts), counts.values()]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=["kind", "score", "y", "n"])
 
-    counted = hashed.filter(F.col("text").rlike(_SIGNS)).mapInArrow(count, "kind bigint, score bigint, y bigint, n bigint")
+    counted = hashed.mapInArrow(count, "kind bigint, score bigint, y bigint, n bigint")
     rows = counted.groupBy("kind", "score", "y").agg(F.sum("n").alias("n")).collect()
     out = {}
     for k, kind in enumerate(KINDS):
@@ -367,7 +380,8 @@ def find(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            column = batch.column(1)
+            texts = pc.if_else(signed(column), column, pa.scalar("", column.type)).to_pylist()
             bases = [base_spans(t) for t in texts]
             more = added(texts, bases, model)
             columns: list[pa.Array] = [batch.column(0)]
